@@ -11,6 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tagtable.operators.skew import spread_join
 from tagtable.sources.dictionary import CodeBook
 from tagtable.specs import CODE_SEPARATOR
 
@@ -111,7 +112,5 @@ def with_code_list_names(
         )
         .select(column, F.expr(_names_sql("_names", on_unknown)).alias(name))
     )
-    # NULL never matches, so those rows stay out of the shuffle of the join
-    coded = frame.where(F.col(column).isNotNull()).join(names, column, "left").select(*frame.columns, name)
-    rest = frame.where(F.col(column).isNull()).withColumn(name, F.lit(""))
-    return coded.unionByName(rest)
+    joined = spread_join(frame, names.withColumnRenamed(column, "_codes"), column, "_codes")
+    return joined.selectExpr(*[f"`{c}`" for c in frame.columns], f"coalesce(`{name}`, '') AS `{name}`")

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagtable.operators.skew import Splits, join_chain
+from tagtable.operators.skew import Splits, join_chain, spread_join
 from tagtable.sources.dictionary import CodeBook
 
 _MASK_BITS = 62
@@ -34,9 +34,9 @@ def presence_masks(facts: Mapping[str, DataFrame], key: str) -> tuple[DataFrame,
     tagged, flags = [], {}
     for i, (name, frame) in enumerate(facts.items()):
         own, bit = divmod(i, _MASK_BITS)
-        marks = [F.lit(1 << bit if m == own else 0).cast("bigint").alias(masks[m]) for m in range(len(masks))]
-        tagged.append(frame.where(F.col(key).isNotNull()).select(key, *marks))
-        flags[name] = F.coalesce(F.shiftright(masks[own], bit).bitwiseAND(F.lit(1)), F.lit(0)).cast("int")
+        marks = [f"{1 << bit if m == own else 0}L AS {mask}" for m, mask in enumerate(masks)]
+        tagged.append(frame.where(F.col(key).isNotNull()).selectExpr(f"`{key}`", *marks))
+        flags[name] = F.expr(f"CAST(coalesce(shiftright({masks[own]}, {bit}) & 1, 0) AS INT)")
     union = reduce(DataFrame.unionAll, tagged)
     return union.groupBy(key).agg(*[F.bit_or(m).alias(m) for m in masks]), flags
 
@@ -66,16 +66,12 @@ def enrich(
 def lookup_default(frame: DataFrame, code: str, book: CodeBook, name: str) -> DataFrame:
     """Add the dictionary name of a single code, ``''`` for NULL and unknown codes.
 
-    A dictionary of a checked small size is broadcast. A larger one is joined by shuffle; rows without a
-    code stay out of that, and popular codes are left to Spark's own skew split.
+    A dictionary of a checked small size is broadcast. A larger one is joined by shuffle, spread so that
+    neither a popular code nor the rows without one end up in a single task.
     """
-    names = book.joinable().select(F.col("code").alias("_code"), F.col("name").alias("_name"))
-
-    def look_up(part: DataFrame) -> DataFrame:
-        joined = part.join(names, F.col(code) == F.col("_code"), "left")
-        return joined.select(*frame.columns, F.coalesce("_name", F.lit("")).alias(name))
-
+    names = book.frame.selectExpr("code AS _code", "name AS _name")
     if book.fits():
-        return look_up(frame)
-    rest = frame.where(F.col(code).isNull()).withColumn(name, F.lit(""))
-    return look_up(frame.where(F.col(code).isNotNull())).unionByName(rest)
+        joined = frame.join(F.broadcast(names), F.col(code) == F.col("_code"), "left")
+    else:
+        joined = spread_join(frame, names, code, "_code")
+    return joined.selectExpr(*[f"`{c}`" for c in frame.columns], f"coalesce(_name, '') AS `{name}`")

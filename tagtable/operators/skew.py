@@ -119,3 +119,16 @@ def join_chain(
         if hot:
             left = left.where(~is_hot(F.col(key), hot) | F.col(_MATCHED)).drop(_RIGHT, _MATCHED)
     return left.drop(_LEFT)
+
+
+def spread_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread: int = 64) -> DataFrame:
+    """Left join to a right side of moderate size and unique keys, every key spread over ``spread`` tasks.
+
+    For a left side whose keys are not worth measuring: each right row is copied ``spread`` times, and left
+    rows without a key are spread as well.
+    """
+    place = F.xxhash64(*left.columns) + F.spark_partition_id()
+    left = left.withColumn(_LEFT, F.pmod(place, F.lit(spread)).cast("int"))
+    right = right.withColumn(_RIGHT, F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    on = (F.col(left_key) == F.col(right_key)) & (F.col(_LEFT) == F.col(_RIGHT))
+    return left.join(right, on, "left").drop(_LEFT, _RIGHT)

@@ -6,8 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagtable.functions.columns import yes_no_label
-from tagtable.functions.decode import with_code_list_names
+from tagtable.functions.decode import sql_text, with_code_list_names
 from tagtable.operators.joins import lookup_default
 from tagtable.sources.dictionary import CodeBook
 from tagtable.specs import FREE, MULTI_CODE, SINGLE_CODE, TAG_SCHEMA, TAGS, YES_NO, TagSpec
@@ -20,8 +19,8 @@ def tag_code(column: Column, specs: Sequence[TagSpec] = TAGS) -> Column:
 
 def unpivot_tags(wide: DataFrame, customer: str, specs: Sequence[TagSpec] = TAGS) -> DataFrame:
     """One row per customer row and tag, NULL values kept, in a single pass over the wide table."""
-    columns = [F.col(s.column).cast("string").alias(s.code) for s in specs]
-    renamed = wide.select(F.col(customer).cast("string").alias("CUST_ID"), *columns)
+    columns = [f"CAST(`{s.column}` AS STRING) AS `{s.code}`" for s in specs]
+    renamed = wide.selectExpr(f"CAST(`{customer}` AS STRING) AS CUST_ID", *columns)
     return renamed.unpivot("CUST_ID", [s.code for s in specs], "TAG_CODE", "TAG_VALUE")
 
 
@@ -37,35 +36,26 @@ def emit_tags(
     """The long tag table of one day.
 
     Yes/no tags get their words, code tags the names of their codes, free values no label. ``industries``
-    names the codes of code lists, ``regions`` single codes.
+    names the codes of code lists, ``regions`` single codes. Labels are worked out once per customer row,
+    and all tags are then emitted in one pass.
     """
-    kinds: dict[str, list[TagSpec]] = {}
-    for spec in specs:
-        kinds.setdefault(spec.kind, []).append(spec)
-    unknown = set(kinds) - {MULTI_CODE, SINGLE_CODE, FREE, *YES_NO}
-    if unknown:
-        raise ValueError(f"unknown tag kinds: {sorted(unknown)}")
-
-    long = unpivot_tags(wide, customer, specs)
-    code_lists = _codes(kinds, MULTI_CODE)
-    single = _codes(kinds, SINGLE_CODE)
-    label = F.lit(None).cast("string")
-    if code_lists:
-        long = long.withColumn("_list", F.when(F.col("TAG_CODE").isin(code_lists), F.col("TAG_VALUE")))
-        long = with_code_list_names(long, "_list", industries, "_list_names", on_unknown)
-        label = F.when(F.col("TAG_CODE").isin(code_lists), F.col("_list_names")).otherwise(label)
-    if single:
-        long = long.withColumn("_single", F.when(F.col("TAG_CODE").isin(single), F.col("TAG_VALUE")))
-        long = lookup_default(long, "_single", regions, "_single_name")
-        label = F.when(F.col("TAG_CODE").isin(single), F.col("_single_name")).otherwise(label)
-    for kind, (yes, no) in YES_NO.items():
-        if kind in kinds:
-            words = yes_no_label(F.col("TAG_VALUE").try_cast("int"), yes, no)
-            label = F.when(F.col("TAG_CODE").isin(_codes(kinds, kind)), words).otherwise(label)
-    return long.withColumn("TAG_VALUE_NAME", label).withColumn("DATA_DATE", F.lit(data_date)).select(
-        *TAG_SCHEMA.fieldNames()
-    )
-
-
-def _codes(kinds: dict[str, list[TagSpec]], kind: str) -> list[str]:
-    return [s.code for s in kinds.get(kind, [])]
+    wide = wide.select(customer, *[s.column for s in specs])
+    emitted = []
+    for i, spec in enumerate(specs):
+        label = f"_label{i}"
+        if spec.kind == MULTI_CODE:
+            wide = with_code_list_names(wide, spec.column, industries, label, on_unknown)
+        elif spec.kind == SINGLE_CODE:
+            wide = lookup_default(wide, spec.column, regions, label)
+        elif spec.kind in YES_NO:
+            yes, no = YES_NO[spec.kind]
+            label = f"CASE `{spec.column}` WHEN 1 THEN {sql_text(yes)} WHEN 0 THEN {sql_text(no)} END"
+        elif spec.kind == FREE:
+            label = "CAST(NULL AS STRING)"
+        else:
+            raise ValueError(f"unknown tag kind: {spec.kind}")
+        emitted.append(f"{sql_text(spec.code)}, CAST(`{spec.column}` AS STRING), {label}")
+    return wide.selectExpr(
+        f"CAST(`{customer}` AS STRING) AS CUST_ID",
+        f"stack({len(specs)}, {', '.join(emitted)}) AS (TAG_CODE, TAG_VALUE, TAG_VALUE_NAME)",
+    ).selectExpr(*TAG_SCHEMA.fieldNames()[:-1], f"{sql_text(data_date)} AS DATA_DATE")

@@ -55,25 +55,22 @@ def customer_wide(
         splits.get("relation"),
         [None, splits.get("capital"), splits.get("base_info")],
     )
-    columns = {
-        "cust_id": F.col("cust_id"),
-        "createDate": F.col("createTime"),
-        "custNameCn": F.col("custName"),
-        **flags,
-        "t6": contains_flag(F.col("oper_scope"), scope_text),
-        "reg_caps2": F.col("reg_caps2"),
-        **{c: F.col(c) for c in BASE_COLUMNS},
-    }
+    copy = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
     found = (
-        enriched.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*[c.alias(name) for name, c in columns.items()])
-    )
-    alone = (
-        customers.join(related, on_customer, "left_anti")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select("cust_id")
+        enriched.select("*", copy)
+        .drop("_copy")
+        .select("*", copy)
+        .select(
+            "cust_id",
+            F.col("createTime").alias("createDate"),
+            F.col("custName").alias("custNameCn"),
+            *[flag.alias(name) for name, flag in flags.items()],
+            contains_flag(F.col("oper_scope"), scope_text).alias("t6"),
+            "reg_caps2",
+            *BASE_COLUMNS,
+        )
     )
+    alone = customers.join(related, on_customer, "left_anti").select("cust_id", copy).select("cust_id")
     return found.unionByName(alone, allowMissingColumns=True)
 
 

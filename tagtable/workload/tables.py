@@ -20,9 +20,13 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._read: dict[str, DataFrame] = {}
+        self._book: CodeBook | None = None
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     def dim(self) -> DataFrame:
         return self.read("customer").select(_text("c_custkey").alias("cust_id"))
@@ -90,7 +94,8 @@ class Tables:
         )
 
     def book(self) -> CodeBook:
-        return CodeBook(self.dictionary())
+        self._book = self._book or CodeBook(self.dictionary())
+        return self._book
 
     def promotion(self) -> DataFrame:
         event = F.col("event_type")
