@@ -5,6 +5,7 @@ Overwriting files is not transactional: a reader of the overwritten folder may m
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -48,13 +49,26 @@ def replace_dates(frame: DataFrame, path: str) -> None:
 def refresh_snapshot(frame: DataFrame, base: str, table: str, version: str) -> DataFrame:
     """Write a dated version of a snapshot and read it back, which also cuts the lineage.
 
-    A rerun replaces its own version only, so readers of earlier versions are not disturbed.
+    A rerun replaces its own version only, so readers of other versions are not disturbed. The rows are
+    complete in a folder of their own before the old ones go, so the frame may read what it replaces.
     """
-    spark: SparkSession = frame.sparkSession
-    frame.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{table}/version={version}")
+    spark = frame.sparkSession
+    folder = f"{base.rstrip('/')}/{table}"
+    staging = f"{folder}/_staging-{uuid.uuid4().hex}"  # readers skip names that start with an underscore
+    write_new(frame, staging)
+    _put_in_place(spark, staging, f"{folder}/version={version}")
     return read_snapshot(spark, base, table, version)
 
 
+def _put_in_place(spark: SparkSession, staging: str, target: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path(target), True)
+    if not files.rename(path(staging), path(target)):
+        raise OSError(f"could not rename {staging} to {target}")
+    spark.catalog.refreshByPath(target)
+
+
 def preview(frame: DataFrame, order: Sequence[str], rows: int = 20) -> DataFrame:
     """The first rows in a total order; planned as a per-task top-n, not as a full sort."""
     return frame.orderBy(*order).limit(rows)
