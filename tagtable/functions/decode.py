@@ -28,27 +28,16 @@ def _map_sql(entries: Mapping[str, str]) -> str:
     return f"map({', '.join(sql_text(t) for pair in entries.items() for t in pair)})"
 
 
-def _pieces_sql(code: str, separator: str) -> str:
-    # trailing empty pieces do not count, leading ones do
-    ends = sql_text(f"(\\Q{separator}\\E)+$")
-    return (
-        f"if({code} <> '' and regexp_replace({code}, {ends}, '') = '', cast(array() as array<string>), "
-        f"split(regexp_replace({code}, {ends}, ''), {sql_text(f'\\Q{separator}\\E')}))"
-    )
+def _pieces_sql(code: str) -> str:
+    """The pieces of a code list: trailing empty ones do not count, leading ones do."""
+    separator = sql_text(CODE_SEPARATOR)
+    stripped = f"trim(TRAILING {separator} FROM {code})"
+    return f"if({code} <> '' AND {stripped} = '', CAST(array() AS array<string>), split({stripped}, {separator}))"
 
 
-def _names_sql(names: str, on_unknown: str) -> str:
-    """Join an array of looked-up names; a NULL in it is an unknown code."""
-    if on_unknown == "skip":
-        return f"array_join(filter({names}, n -> n is not null and n <> ''), ',')"
-    if on_unknown != "truncate":
+def _check_mode(on_unknown: str) -> None:
+    if on_unknown not in ("truncate", "skip"):
         raise ValueError(f"on_unknown must be 'truncate' or 'skip', not {on_unknown!r}")
-    # names before the first unknown code, with a closing comma to show the cut
-    text = "array_join(filter(slice(b.names, 1, b.known), n -> n <> ''), ',')"
-    cut = f"if(b.known < size(b.names) and {text} <> '', concat({text}, ','), {text})"
-    known = f"coalesce(nullif(array_position(transform({names}, n -> n is null), true), 0) - 1, size({names}))"
-    bound = f"array(named_struct('names', {names}, 'known', cast({known} as int)))"
-    return f"element_at(transform({bound}, b -> {cut}), 1)"
 
 
 def decode_code_sql(code: str, entries: Mapping[str, str]) -> str:
@@ -56,17 +45,23 @@ def decode_code_sql(code: str, entries: Mapping[str, str]) -> str:
     return f"coalesce(try_element_at({_map_sql(entries)}, {code}), '')"
 
 
-def decode_codes_sql(
-    code: str, entries: Mapping[str, str], on_unknown: str = "truncate", separator: str = CODE_SEPARATOR
-) -> str:
+def decode_codes_sql(code: str, entries: Mapping[str, str], on_unknown: str = "truncate") -> str:
     """Comma-joined names of a separated code list; ``''`` for NULL.
 
     ``on_unknown="truncate"`` stops at the first unknown code and keeps a closing comma if any name came
     before it; ``"skip"`` leaves out only the unknown codes. Entries with an empty name add nothing.
     """
-    looked_up = f"transform({_pieces_sql(code, separator)}, c -> try_element_at({_map_sql(entries)}, c))"
-    bound = f"element_at(transform(array({looked_up}), l -> {_names_sql('l', on_unknown)}), 1)"
-    return f"coalesce({bound}, '')"
+    _check_mode(on_unknown)
+    name = f"try_element_at({_map_sql(entries)}, c)"
+    if on_unknown == "truncate":
+        # an unknown code leaves a mark that no name contains, and the joined text is cut there
+        used = set("".join(entries.values()))
+        mark = sql_text(next(char for char in map(chr, range(1, 0xD800)) if char not in used and char != ","))
+        name = f"coalesce({name}, {mark})"
+    joined = f"array_join(filter(transform({_pieces_sql(code)}, c -> {name}), n -> n <> ''), ',')"
+    if on_unknown == "truncate":
+        joined = f"substring_index({joined}, {mark}, 1)"
+    return f"coalesce({joined}, '')"
 
 
 def decode_code(column: str, entries: Mapping[str, str]) -> Column:
@@ -95,22 +90,27 @@ def with_code_list_names(
     """Add the decoded name list of ``column``, inlining a small dictionary and joining a large one."""
     if book.fits(INLINE_CODES):
         return frame.withColumn(name, decode_codes(column, book.entries(INLINE_CODES), on_unknown))
-    # Each distinct code list is decoded once. An array here holds the pieces of a single list.
+    _check_mode(on_unknown)
+    # Each distinct code list is decoded once; a group below holds the pieces of a single list.
     lists = frame.select(column).where(F.col(column).isNotNull()).distinct()
-    pieces = lists.select(
-        column, F.posexplode_outer(F.expr(_pieces_sql(f"`{column}`", CODE_SEPARATOR))).alias("_pos", "code")
-    )
+    pieces = lists.select(column, F.posexplode(F.expr(_pieces_sql(f"`{column}`"))).alias("_pos", "code"))
+    found = F.when(F.col("name") != "", F.struct("_pos", "name"))
     names = (
         pieces.join(book.frame, "code", "left")
         .groupBy(column)
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", "code", "name"))).alias("_looked_up"))
-        .select(
-            column,
-            F.expr(
-                "transform(filter(_looked_up, p -> p._pos is not null), p -> p.name)"
-            ).alias("_names"),
+        .agg(
+            F.array_sort(F.collect_list(found)).alias("_found"),
+            F.min(F.when(F.col("name").isNull(), F.col("_pos"))).alias("_unknown"),
         )
-        .select(column, F.expr(_names_sql("_names", on_unknown)).alias(name))
+        .select(column, F.expr(_found_names_sql(on_unknown)).alias(name))
     )
     joined = spread_join(frame, names.withColumnRenamed(column, "_codes"), column, "_codes")
     return joined.selectExpr(*[f"`{c}`" for c in frame.columns], f"coalesce(`{name}`, '') AS `{name}`")
+
+
+def _found_names_sql(on_unknown: str) -> str:
+    """Names from the sorted ``_found`` pieces and the place of the first ``_unknown`` one."""
+    if on_unknown == "skip":
+        return "array_join(transform(_found, p -> p.name), ',')"
+    before = "transform(filter(_found, p -> _unknown IS NULL OR p._pos < _unknown), p -> p.name)"
+    return f"concat(array_join({before}, ','), if(get(_found, 0)._pos < _unknown, ',', ''))"

@@ -35,10 +35,13 @@ def read_dictionary(spark: SparkSession, path: str, trim: bool = False) -> DataF
 
 
 class CodeBook:
-    """A dictionary frame ``(code, name)``, unique by code, with a check of its size made once."""
+    """A dictionary frame ``(code, name)``, unique by code, with a check of its size made once.
+
+    A code with a NULL name counts as unknown.
+    """
 
     def __init__(self, frame: DataFrame):
-        self.frame = frame.select("code", "name")
+        self.frame = frame.select("code", "name").where("code IS NOT NULL AND name IS NOT NULL")
         self._small: dict[str, str] | None = None
         self._checked = False
 
@@ -51,7 +54,7 @@ class CodeBook:
             .limit(BROADCAST_CODES + 1)
             .collect()
         )
-        if len(rows) <= BROADCAST_CODES and all(len(r["name"] or "") <= BROADCAST_NAME_CHARS for r in rows):
+        if len(rows) <= BROADCAST_CODES and all(len(r["name"]) <= BROADCAST_NAME_CHARS for r in rows):
             self._small = {r["code"]: r["name"] for r in rows}
         self._checked = True
 
