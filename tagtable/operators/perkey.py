@@ -6,7 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tagtable.operators.skew import Splits, is_hot
+from tagtable.operators.skew import Splits, is_hot, split_lookup
+
+GROUP_LIMIT = 1_000  # Spark's spark.sql.optimizer.windowGroupLimitThreshold
+SPREAD = 64
 
 
 def distinct_keys(frame: DataFrame, *columns: str) -> DataFrame:
@@ -17,16 +20,39 @@ def distinct_keys(frame: DataFrame, *columns: str) -> DataFrame:
 def limit_by(frame: DataFrame, keys: Sequence[str], order: Sequence[Column], rows: int = 1) -> DataFrame:
     """The first rows of every key in an order, which should end in a unique column to be repeatable.
 
-    Spark drops the rows that cannot be among the first before the shuffle (a window group limit, for up
-    to ``spark.sql.optimizer.windowGroupLimitThreshold`` rows), so a hot key sends only that many per task.
+    Spark drops the rows that cannot be among the first before the shuffle (a window group limit), so a hot
+    key sends only that many per task. It does so for up to ``GROUP_LIMIT`` rows; for more, a first step
+    takes the rows of each of ``SPREAD`` parts of a key, and the second one picks among those.
     """
-    place = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    return frame.withColumn("_place", place).where(F.col("_place") <= rows).drop("_place")
+    parts = []
+    if rows > GROUP_LIMIT:
+        frame = frame.withColumn("_part", F.pmod(F.xxhash64(*frame.columns), F.lit(SPREAD)))
+        parts = [[*keys, "_part"]]
+    for partition in [*parts, keys]:
+        place = F.row_number().over(W.partitionBy(*partition).orderBy(*order))
+        frame = frame.withColumn("_place", place).where(F.col("_place") <= rows).drop("_place")
+    return frame.drop("_part")
+
 
+def ranked(frame: DataFrame, key: str, day: str, name: str = "rk", splits: Splits | None = None) -> DataFrame:
+    """Rank the rows of every key from the latest day on, NULL days last.
 
-def ranked(frame: DataFrame, key: str, day: str, name: str = "rk") -> DataFrame:
-    """Rank the rows of every key from the latest day on, NULL days last."""
-    return frame.withColumn(name, F.rank().over(W.partitionBy(key).orderBy(F.desc_nulls_last(day))))
+    Hot keys (``splits``) are ranked by day: the rows of a key and day have one rank, which follows from the
+    counts of the key's later days. Their rows then get it by a join that splits the key.
+    """
+    window = W.partitionBy(key).orderBy(F.desc_nulls_last(day))
+    cold = frame.where(~is_hot(F.col(key), splits)) if splits else frame
+    result = cold.withColumn(name, F.rank().over(window))
+    if not splits:
+        return result
+    hot = frame.where(is_hot(F.col(key), splits))
+    later = F.sum("_rows").over(window.rowsBetween(W.unboundedPreceding, -1))
+    ranks = (
+        hot.groupBy(key, day)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(key, day, (F.coalesce(later, F.lit(0)) + 1).cast("int").alias(name))
+    )
+    return result.unionByName(split_lookup(hot, ranks, key, day, splits))
 
 
 def latest_rows(frame: DataFrame, key: str, day: str, splits: Splits | None = None) -> DataFrame:

@@ -121,6 +121,22 @@ def join_chain(
     return left.drop(_LEFT)
 
 
+def split_lookup(left: DataFrame, right: DataFrame, key: str, second: str, splits: Splits) -> DataFrame:
+    """Add the columns of ``right``, unique by two columns, to matching left rows; the first key is split.
+
+    NULLs of the second column match each other.
+    """
+    own, copied = _own_split(left, key, splits), _all_splits(key, splits)
+    left = left.withColumn(_LEFT, own)
+    right = right.withColumn(_RIGHT, copied).withColumnsRenamed({key: "_key", second: "_second"})
+    on = (
+        (F.col(key) == F.col("_key"))
+        & F.col(second).eqNullSafe(F.col("_second"))
+        & (F.col(_LEFT) == F.col(_RIGHT))
+    )
+    return left.join(right, on).drop("_key", "_second", _LEFT, _RIGHT)
+
+
 def spread_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread: int = 64) -> DataFrame:
     """Left join to a right side of moderate size and unique keys, every key spread over ``spread`` tasks.
 

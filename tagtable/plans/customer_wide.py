@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tagtable.functions.columns import contains_flag
 from tagtable.operators.joins import presence_masks
@@ -13,7 +13,7 @@ from tagtable.plans.relation import pick_relation
 from tagtable.specs import IMPORT_EXPORT_TEXT
 
 BASE_COLUMNS = ("estimate_date", "cnei_code", "cnei_sec_code", "province_code", "city_code", "county_code")
-FACT_FLAGS = ("t1", "t2", "t3", "t4", "t5")
+COPIES_PER_CHUNK = 100_000
 
 
 def customer_wide(
@@ -32,11 +32,12 @@ def customer_wide(
     ``n`` times in the dimension gets its rows ``n * n`` times.
 
     The dimension is counted per customer before the join and the copies are made after it, so repeated
-    customers do not meet in a join. Customers without an enterprise skip the enterprise joins: all their
-    NULL keys would go to one task there.
+    customers do not meet in a join. Customers without an enterprise skip the enterprise joins, and rows
+    without a customer skip all joins: their NULL keys would go to one task there.
     """
     splits = splits or {}
-    customers = dimension.groupBy("cust_id").agg(F.count(F.lit(1)).alias("_copies"))
+    known = dimension.select("cust_id").where(F.col("cust_id").isNotNull())
+    customers = known.groupBy("cust_id").agg(F.count(F.lit(1)).alias("_copies"))
     related = relation.where(F.col("entId").isNotNull())
     on_customer = F.col("cust_id") == F.col("custId")
 
@@ -55,33 +56,49 @@ def customer_wide(
         splits.get("relation"),
         [None, splits.get("capital"), splits.get("base_info")],
     )
-    copy = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
-    found = (
-        enriched.select("*", copy)
-        .drop("_copy")
-        .select("*", copy)
-        .select(
-            "cust_id",
-            F.col("createTime").alias("createDate"),
-            F.col("custName").alias("custNameCn"),
-            *[flag.alias(name) for name, flag in flags.items()],
-            contains_flag(F.col("oper_scope"), scope_text).alias("t6"),
-            "reg_caps2",
-            *BASE_COLUMNS,
-        )
+    repeated = bool(splits.get("dimension"))
+    found = _copied(enriched, F.col("_copies") * F.col("_copies"), repeated).select(
+        "cust_id",
+        F.col("createTime").alias("createDate"),
+        F.col("custName").alias("custNameCn"),
+        *[flag.alias(name) for name, flag in flags.items()],
+        contains_flag(F.col("oper_scope"), scope_text).alias("t6"),
+        "reg_caps2",
+        *BASE_COLUMNS,
     )
-    alone = customers.join(related, on_customer, "left_anti").select("cust_id", copy).select("cust_id")
-    return found.unionByName(alone, allowMissingColumns=True)
+    alone = _copied(customers.join(related, on_customer, "left_anti"), F.col("_copies"), repeated)
+    unknown = dimension.select("cust_id").where(F.col("cust_id").isNull())
+    return found.unionByName(alone.select("cust_id").unionAll(unknown), allowMissingColumns=True)
+
+
+def _copied(frame: DataFrame, copies: Column, repeated: bool) -> DataFrame:
+    """Every row the given number of times.
+
+    Copies are made in chunks; where customers with very many copies are known (``repeated``), the chunks
+    are dealt out to all tasks first.
+    """
+    chunks = frame.withColumn("_n", copies).withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES_PER_CHUNK)))
+    )
+    if repeated:
+        chunks = chunks.repartition(F.col("cust_id"), F.col("_chunk"))
+    size = F.least(F.lit(COPIES_PER_CHUNK), F.col("_n") - F.col("_chunk") * COPIES_PER_CHUNK)
+    return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1), size)))
 
 
 def measure_splits(
-    relation_rows: DataFrame, capital: DataFrame, base_info: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    dimension: DataFrame,
+    relation_rows: DataFrame,
+    capital: DataFrame,
+    base_info: DataFrame,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> dict[str, Splits]:
-    """Hot enterprises of the inputs of ``customer_wide``.
+    """Hot customers and enterprises of the inputs of ``customer_wide``.
 
     The relation is measured before one row per customer is picked; that only means some splits too many.
     """
     keyed = {
+        "dimension": (dimension, "cust_id"),
         "relation": (relation_rows, "entId"),
         "capital": (capital, "ent_id"),
         "base_info": (base_info, "ent_id"),
@@ -98,7 +115,7 @@ def build_customer_wide(
     scope_text: str = IMPORT_EXPORT_TEXT,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """``customer_wide`` from the relation's raw rows, with hot enterprises measured and split."""
-    splits = measure_splits(relation_rows, capital, base_info, rows_per_task)
+    """``customer_wide`` from the relation's raw rows, with hot keys measured and split."""
+    splits = measure_splits(dimension, relation_rows, capital, base_info, rows_per_task)
     relation = pick_relation(relation_rows)
     return customer_wide(dimension, relation, facts, capital, base_info, scope_text, splits)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tagtable.functions.columns import not_blank
 from tagtable.operators.joins import matched
 from tagtable.operators.perkey import limit_by
-from tagtable.operators.skew import Splits
+from tagtable.operators.skew import ROWS_PER_TASK, Splits, hot_keys
 
 
 def pick_relation(rows: DataFrame, tie_break: Sequence[Column | str] = ("entId", "createTime", "custName")) -> DataFrame:
@@ -29,7 +29,10 @@ def matched_source(
     left_splits: Splits | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Customers of the dimension that have an enterprise, as ``cust_id, ent_id, createDate, custNameCn``."""
+    """Customers of the dimension that have an enterprise, as ``cust_id, ent_id, createDate, custNameCn``.
+
+    ``partitions`` deals the rows out evenly, also those of a customer that occurs many times.
+    """
     related = relation.where(F.col("entId").isNotNull()).select(
         F.col("custId").alias("cust_id"),
         F.col("entId").alias("ent_id"),
@@ -37,4 +40,15 @@ def matched_source(
         F.col("custName").alias("custNameCn"),
     )
     source = matched(dimension.select("cust_id"), related, "cust_id", left_splits)
-    return source.repartition(partitions, "cust_id", "ent_id") if partitions else source
+    return source.repartition(partitions) if partitions else source
+
+
+def build_matched_source(
+    dimension: DataFrame,
+    relation_rows: DataFrame,
+    partitions: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """``matched_source`` from the relation's raw rows, with often repeated customers measured and split."""
+    splits = hot_keys({"dimension": (dimension, "cust_id")}, rows_per_task)
+    return matched_source(dimension, pick_relation(relation_rows), splits["dimension"], partitions)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tagtable.operators.skew import hot_keys
 from tagtable.plans.customer_tags import customer_tags
 from tagtable.plans.decode_preview import decode_names, decode_preview
 from tagtable.plans.extract import load_customer_extract
 from tagtable.plans.latest_campaigns import build_latest_campaigns, latest_campaigns
-from tagtable.plans.relation import matched_source, pick_relation
+from tagtable.plans.relation import build_matched_source, pick_relation
 from tagtable.session import work_folder
 from tagtable.specs import FREE, HAS, IS, MULTI_CODE, SINGLE_CODE
 from tagtable.workload.registry import query
@@ -28,7 +29,7 @@ def job_relation(t: Tables) -> DataFrame:
 
 @query("job_source", "SELECT * FROM source", "source")
 def job_source(t: Tables) -> DataFrame:
-    return matched_source(t.dim(), pick_relation(t.relation_rows()), partitions=16)
+    return build_matched_source(t.dim(), t.relation_rows(), partitions=16)
 
 
 @query("job_customer_wide", f"SELECT {WIDE_COLUMNS} FROM wide", "wide")
@@ -69,7 +70,9 @@ def job_latest_campaigns_many(t: Tables) -> DataFrame:
     source = t.read("orders").selectExpr(
         "cast(o_custkey as string) as cust_id", "cast(o_orderkey as string) as ent_id"
     )
-    return latest_campaigns(source, t.promotion(), RUN_DATE)
+    promotion = t.promotion()
+    keyed = {"source": (source, "ent_id"), "promotion": (promotion, "ent_id"), "customer": (source, "cust_id")}
+    return latest_campaigns(source, promotion, RUN_DATE, splits=hot_keys(keyed))
 
 
 DECODED = """

@@ -101,7 +101,8 @@ def join_full_population(t: Tables) -> DataFrame:
     known = relation.groupBy(F.col("custId").alias("cust_id")).agg(
         F.max("entId").alias("ent_id"), F.max("custName").alias("custNameCn"), F.count(F.lit(1)).alias("found")
     )
-    return joins.enrich(t.dim(), [known], "cust_id")
+    splits = hot_keys({"dim": (t.dim(), "cust_id")})
+    return joins.enrich(t.dim(), [known], "cust_id", splits["dim"])
 
 
 @query(
@@ -173,7 +174,8 @@ def agg_string_set(t: Tables) -> DataFrame:
 )
 def win_rank(t: Tables) -> DataFrame:
     orders = t.read("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))
-    return perkey.ranked(orders, "o_custkey", "day")
+    splits = hot_keys({"orders": (orders, "o_custkey")})
+    return perkey.ranked(orders, "o_custkey", "day", splits=splits["orders"])
 
 
 @query(

@@ -5,7 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tagtable.operators import perkey
 from tagtable.operators.perkey import limit_by
+from tagtable.plans import customer_wide
 from tagtable.operators.tags import emit_tags
 from tagtable.plans.customer_tags import customer_tags, data_date_of, load_customer_tags
 from tagtable.plans.customer_wide import build_customer_wide
@@ -45,6 +47,14 @@ def test_limit_by_keeps_n_rows(frame, rows):
     assert rows(got) == [("a", "1"), ("a", "2"), ("b", None), ("b", "9")]
 
 
+def test_limit_by_beyond_the_group_limit(frame, rows, monkeypatch):
+    data = frame("k,v", [("a" if i % 3 else "b", f"{i:03}") for i in range(90)])
+    order = [F.col("v")]
+    wanted = rows(limit_by(data, ["k"], order, 7))
+    monkeypatch.setattr(perkey, "GROUP_LIMIT", 3)
+    assert rows(limit_by(data, ["k"], order, 7)) == wanted and len(wanted) == 14
+
+
 def test_matched_source(frame, rows):
     dim = frame("cust_id,x", [("c1", ""), ("c1", ""), ("c2", ""), ("c3", "")])
     relation = frame("custId,entId,createTime,custName", [("c1", "e1", "t1", "n1"), ("c3", None, "t", "n")])
@@ -100,9 +110,10 @@ def wide_model(dim, relation, facts, capital, base):
     return result
 
 
-@pytest.mark.parametrize("rows_per_task", [2_000_000, 3])
+@pytest.mark.parametrize("rows_per_task", [2_000_000, 2])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_customer_wide(frame, rows, seed, rows_per_task):
+def test_customer_wide(frame, rows, monkeypatch, seed, rows_per_task):
+    monkeypatch.setattr(customer_wide, "COPIES_PER_CHUNK", 2)
     inputs, plain = wide_inputs(frame, seed)
     got = build_customer_wide(*inputs, rows_per_task=rows_per_task)
     key = lambda r: [(v is not None, str(v)) for v in r]
@@ -113,7 +124,8 @@ def test_wide_splits_are_measured(frame):
     from tagtable.plans.customer_wide import measure_splits
 
     inputs, _ = wide_inputs(frame)
-    splits = measure_splits(inputs[1], inputs[3], inputs[4], 3)
+    splits = measure_splits(inputs[0], inputs[1], inputs[3], inputs[4], 2)
+    assert splits["dimension"] == {"c1": 2}
     assert splits["relation"]["hot"] > 1 and splits["base_info"]["hot"] > 1
 
 

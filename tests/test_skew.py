@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagtable.operators import skew
 from tagtable.operators.joins import enrich, presence_flags
-from tagtable.operators.perkey import latest_rows
+from tagtable.operators.perkey import latest_rows, ranked
 
 
 def hot_pairs(seed, count, keys, hot_share=0.4):
@@ -123,3 +123,12 @@ def test_latest_rows(frame, rows, splits):
         best[key] = max(best.get(key, ""), day or "")
     wanted = [r for r in data if (r[1] or "") == best[r[0]]]
     assert rows(got) == sorted(wanted, key=lambda r: [(v is not None, str(v)) for v in r])
+
+
+def test_ranked_with_hot_keys(frame, rows):
+    rng = random.Random(9)
+    days = [None, "2024-01-01", "2024-01-02", "2024-01-03"]
+    data = frame("key,day,v", [(k, rng.choice(days), v) for k, v in hot_pairs(9, 300, KEYS)])
+    wanted = ranked(data, "key", "day")
+    assert rows(ranked(data, "key", "day", splits={"hot": 4, "k1": 2})) == rows(wanted)
+    assert wanted.schema["rk"].dataType == ranked(data, "key", "day", splits={"hot": 2}).schema["rk"].dataType
