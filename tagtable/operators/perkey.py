@@ -60,7 +60,7 @@ def latest_rows(frame: DataFrame, key: str, day: str, splits: Splits | None = No
 
     Rows older than the latest day of their own task are dropped before the shuffle. That does not help a
     hot key whose rows share one day, so hot keys (``splits``) are not shuffled at all: their latest days
-    are one row per hot key, at most 256 by ``hot_keys``, and are broadcast to where the rows are.
+    are one row per hot key, at most 257 by ``hot_keys``, and are broadcast to where the rows are.
     """
     cold = frame.where(~is_hot(F.col(key), splits)) if splits else frame
     latest = ranked(cold, key, day, "_rank").where("_rank = 1").drop("_rank")
@@ -68,7 +68,7 @@ def latest_rows(frame: DataFrame, key: str, day: str, splits: Splits | None = No
         return latest
     hot = frame.where(is_hot(F.col(key), splits))
     days = hot.groupBy(F.col(key).alias("_key")).agg(F.max(day).alias("_day"))
-    same_day = (F.col(key) == F.col("_key")) & F.col(day).eqNullSafe(F.col("_day"))
+    same_day = F.col(key).eqNullSafe(F.col("_key")) & F.col(day).eqNullSafe(F.col("_day"))
     return latest.unionByName(hot.join(F.broadcast(days), same_day, "left_semi"))
 
 

@@ -22,19 +22,18 @@ _LEFT = "_left_split"
 _RIGHT = "_right_split"
 _MATCHED = "_matched"
 
-Splits = Mapping[str, int]
+Splits = Mapping[str | None, int]
 
 
 def hot_keys(
-    keyed: Mapping[str, tuple[DataFrame, str]], rows_per_task: int = ROWS_PER_TASK
-) -> dict[str, dict[str, int]]:
+    keyed: Mapping[str, tuple[DataFrame, str]], rows_per_task: int = ROWS_PER_TASK, nulls: bool = False
+) -> dict[str, dict[str | None, int]]:
     """For each named ``(frame, key column)``, the keys over ``rows_per_task`` rows and their split counts.
 
     Tables without that many rows are told by a row count, which for parquet reads file footers only. The
-    rest go through one frequent-items sketch: no shuffle by key, and at most 256 keys per table reach the
-    driver. Keys are given as text.
+    rest go through one frequent-items sketch: no shuffle by key, and 256 keys per table reach the driver. Keys are given as text. With ``nulls``, a missing key counts as a key, ``None``.
     """
-    found: dict[str, dict[str, int]] = {name: {} for name in keyed}
+    found: dict[str, dict[str | None, int]] = {name: {} for name in keyed}
     if not keyed:
         return found
     sizes = _union([f.select(F.lit(n).alias("t")) for n, (f, _) in keyed.items()]).groupBy("t").count()
@@ -44,17 +43,19 @@ def hot_keys(
     tagged = [
         keyed[n][0].select(F.lit(n).alias("t"), F.col(keyed[n][1]).cast("string").alias("k")) for n in large
     ]
-    heavy = (
+    sketches = (
         _union(tagged)
-        .where(F.col("k").isNotNull())
         .groupBy("t")
-        .agg(F.expr(f"approx_top_k(k, {HEAVIEST_KEYS}, {TRACKED_ITEMS})").alias("top"))
-        .select("t", F.explode("top").alias("top"))
-        .select("t", "top.item", "top.count")
-        .where(F.col("count") > rows_per_task)
+        .agg(
+            F.expr(f"approx_top_k(k, {HEAVIEST_KEYS}, {TRACKED_ITEMS}) FILTER (WHERE k IS NOT NULL)").alias("top"),
+            F.count_if(F.col("k").isNull()).alias("nulls"),
+        )
     )
-    for row in heavy.collect():
-        found[row["t"]][row["item"]] = -(-row["count"] // rows_per_task)
+    for row in sketches.collect():
+        counts = {item["item"]: item["count"] for item in row["top"] or []}
+        if nulls:
+            counts[None] = row["nulls"]
+        found[row["t"]] = {k: -(-n // rows_per_task) for k, n in counts.items() if n > rows_per_task}
     return found
 
 
@@ -63,15 +64,21 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def is_hot(key: Column, splits: Splits) -> Column:
-    """Whether the key is hot; false for NULL."""
-    return F.coalesce(key.cast("string").isin(list(splits)), F.lit(False)) if splits else F.lit(False)
+    """Whether the key is hot; true or false for NULL too."""
+    named = [k for k in splits if k is not None]
+    hot = F.coalesce(key.cast("string").isin(named), F.lit(False)) if named else F.lit(False)
+    return (hot | key.isNull()) if None in splits else hot
 
 
 def split_count(key: Column, splits: Splits) -> Column:
-    if not splits:
-        return F.lit(1)
-    counts = F.create_map(*[F.lit(v) for pair in splits.items() for v in pair])
-    return F.when(is_hot(key, splits), F.element_at(counts, key.cast("string"))).otherwise(1)
+    named = {k: n for k, n in splits.items() if k is not None}
+    result = F.lit(1)
+    if named:
+        counts = F.create_map(*[F.lit(v) for pair in named.items() for v in pair])
+        result = F.when(is_hot(key, named), F.element_at(counts, key.cast("string"))).otherwise(result)
+    if None in splits:
+        result = F.when(key.isNull(), splits[None]).otherwise(result)
+    return result
 
 
 def _own_split(frame: DataFrame, key: str, splits: Splits) -> Column:
@@ -98,7 +105,8 @@ def join_chain(
     Rows of a key in ``left_splits`` spread over that many tasks, each of which gets a copy of the key's
     right rows; ``right_splits`` work the other way round. With ``how="left"``, every key of a right
     frame's splits must occur in that frame: a left row of such a key is dropped from the tasks where no
-    right row of it landed, because it is matched in another one.
+    right row of it landed, because it is matched in another one. Left rows without a key find no partner,
+    but ``None`` in ``left_splits`` spreads them too.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
@@ -109,6 +117,8 @@ def join_chain(
         left_keys.append(_LEFT)
     for right, hot in zip(rights, right_splits, strict=True):
         keys = list(left_keys)
+        right = right.where(F.col(key).isNotNull())
+        hot = {k: n for k, n in (hot or {}).items() if k is not None}
         if hot:
             right = right.withColumn(_RIGHT, _own_split(right, key, hot)).withColumn(_MATCHED, F.lit(True))
             left = left.withColumn(_RIGHT, _all_splits(key, hot))
@@ -124,13 +134,13 @@ def join_chain(
 def split_lookup(left: DataFrame, right: DataFrame, key: str, second: str, splits: Splits) -> DataFrame:
     """Add the columns of ``right``, unique by two columns, to matching left rows; the first key is split.
 
-    NULLs of the second column match each other.
+    NULLs match each other.
     """
     own, copied = _own_split(left, key, splits), _all_splits(key, splits)
     left = left.withColumn(_LEFT, own)
     right = right.withColumn(_RIGHT, copied).withColumnsRenamed({key: "_key", second: "_second"})
     on = (
-        (F.col(key) == F.col("_key"))
+        F.col(key).eqNullSafe(F.col("_key"))
         & F.col(second).eqNullSafe(F.col("_second"))
         & (F.col(_LEFT) == F.col(_RIGHT))
     )

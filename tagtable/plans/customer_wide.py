@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagtable.functions.columns import contains_flag
+from tagtable.functions.columns import contains_flag, not_blank
 from tagtable.operators.joins import presence_masks
 from tagtable.operators.skew import ROWS_PER_TASK, Splits, hot_keys, join_chain
 from tagtable.plans.relation import pick_relation
@@ -99,7 +99,7 @@ def measure_splits(
     """
     keyed = {
         "dimension": (dimension, "cust_id"),
-        "relation": (relation_rows, "entId"),
+        "relation": (relation_rows.where(not_blank(F.col("entId"))), "entId"),
         "capital": (capital, "ent_id"),
         "base_info": (base_info, "ent_id"),
     }

@@ -16,7 +16,7 @@ def customer_extract(
     listed = customers.select("custId")
     rights = [master.select("custId", "custNameCn", "createDate"), relation_rows.select("custId", "entId")]
     keyed = {"listed": (listed, "custId"), "master": (rights[0], "custId"), "relation": (rights[1], "custId")}
-    splits = hot_keys(keyed, rows_per_task)
+    splits = hot_keys(keyed, rows_per_task, nulls=True)
     return enrich(listed, rights, "custId", splits["listed"], [splits["master"], splits["relation"]])
 
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from tagtable.functions.columns import safe_date
+from tagtable.functions.columns import not_blank, safe_date
 from tagtable.operators.joins import matched
 from tagtable.operators.perkey import latest_rows, string_set
 from tagtable.operators.skew import ROWS_PER_TASK, Splits, hot_keys
@@ -69,7 +69,7 @@ def build_latest_campaigns(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``latest_campaigns`` from the relation's raw rows, with hot enterprises measured and split."""
-    keyed = {"source": (relation_rows, "entId"), "promotion": (promotion, "ent_id")}
+    keyed = {"source": (relation_rows.where(not_blank(F.col("entId"))), "entId"), "promotion": (promotion, "ent_id")}
     splits = hot_keys(keyed, rows_per_task)
     related = pick_relation(relation_rows).select(
         F.col("custId").alias("cust_id"), F.col("entId").alias("ent_id")

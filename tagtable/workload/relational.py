@@ -38,8 +38,8 @@ def join_left(t: Tables) -> DataFrame:
 def join_left_using(t: Tables) -> DataFrame:
     capital = t.capital().distinct()
     base = t.base_info().select("ent_id", "estimate_date")
-    splits = hot_keys({"base": (base, "ent_id")})
-    return joins.enrich(capital, [base], "ent_id", right_splits=[splits["base"]])
+    splits = hot_keys({"capital": (t.capital(), "ent_id"), "base": (base, "ent_id")}, nulls=True)
+    return joins.enrich(capital, [base], "ent_id", splits["capital"], [splits["base"]])
 
 
 @query(
@@ -66,7 +66,7 @@ def join_matched(t: Tables) -> DataFrame:
 )
 def join_presence_flags(t: Tables) -> DataFrame:
     source = _many_source(t)
-    splits = hot_keys({"source": (source, "ent_id")})
+    splits = hot_keys({"source": (source, "ent_id")}, nulls=True)
     return joins.presence_flags(source, t.facts(), "ent_id", splits["source"])
 
 
@@ -83,7 +83,7 @@ def join_enrich_chain(t: Tables) -> DataFrame:
     source, capital = _many_source(t), t.capital()
     base = t.base_info().select("ent_id", "province_code", "city_code")
     keyed = {"source": (source, "ent_id"), "capital": (capital, "ent_id"), "base": (base, "ent_id")}
-    splits = hot_keys(keyed)
+    splits = hot_keys(keyed, nulls=True)
     rights = [capital.distinct(), base]
     return joins.enrich(source, rights, "ent_id", splits["source"], [splits["capital"], splits["base"]])
 
@@ -101,7 +101,7 @@ def join_full_population(t: Tables) -> DataFrame:
     known = relation.groupBy(F.col("custId").alias("cust_id")).agg(
         F.max("entId").alias("ent_id"), F.max("custName").alias("custNameCn"), F.count(F.lit(1)).alias("found")
     )
-    splits = hot_keys({"dim": (t.dim(), "cust_id")})
+    splits = hot_keys({"dim": (t.dim(), "cust_id")}, nulls=True)
     return joins.enrich(t.dim(), [known], "cust_id", splits["dim"])
 
 
@@ -174,7 +174,7 @@ def agg_string_set(t: Tables) -> DataFrame:
 )
 def win_rank(t: Tables) -> DataFrame:
     orders = t.read("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))
-    splits = hot_keys({"orders": (orders, "o_custkey")})
+    splits = hot_keys({"orders": (orders, "o_custkey")}, nulls=True)
     return perkey.ranked(orders, "o_custkey", "day", splits=splits["orders"])
 
 
@@ -187,7 +187,7 @@ def win_rank(t: Tables) -> DataFrame:
 )
 def win_latest_rank(t: Tables) -> DataFrame:
     events = t.read("events").select("event_id", "user_id", "event_type", F.col("ts").cast("date").alias("day"))
-    splits = hot_keys({"events": (events, "user_id")})
+    splits = hot_keys({"events": (events, "user_id")}, nulls=True)
     return perkey.latest_rows(events, "user_id", "day", splits["events"])
 
 

@@ -21,8 +21,8 @@ KEYS = [f"k{i}" for i in range(40)]
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("hot_left", [{}, {"hot": 7}, {"hot": 5, "k1": 2, "gone": 3}])
-@pytest.mark.parametrize("hot_right", [None, {"hot": 4}, {"hot": 3, "k2": 6}])
+@pytest.mark.parametrize("hot_left", [{}, {"hot": 7}, {"hot": 5, "k1": 2, "gone": 3, None: 4}])
+@pytest.mark.parametrize("hot_right", [None, {"hot": 4}, {"hot": 3, "k2": 6, None: 2}])
 def test_join_chain_equals_plain_join(frame, rows, how, hot_left, hot_right):
     left = frame("key,a", hot_pairs(1, 300, KEYS + ["only_left"]))
     right = frame("key,b", hot_pairs(2, 60, KEYS + ["only_right"]))
@@ -53,6 +53,16 @@ def test_hot_keys(frame):
     assert skew.hot_keys({"left": (left, "key")}) == {"left": {}}
 
 
+def test_hot_keys_count_missing_keys_if_asked(frame):
+    data = frame("key,a", [(None, str(i)) for i in range(50)] + [("k", "x")] * 10)
+    assert skew.hot_keys({"d": (data, "key")}, 20)["d"] == {}
+    assert skew.hot_keys({"d": (data, "key")}, 20, nulls=True)["d"] == {None: 3}
+    nothing = frame("key,a", [(None, "x")] * 50)
+    assert skew.hot_keys({"d": (nothing, "key")}, 20, nulls=True)["d"] == {None: 3}
+    split = data.withColumn("s", skew._own_split(data, "key", {None: 8}))
+    assert split.where("key is null").select("s").distinct().count() > 4
+
+
 def test_hot_keys_of_numbers(spark):
     numbers = spark.range(5000).select(F.when(F.col("id") < 2000, 7).otherwise(F.col("id")).alias("key"))
     splits = skew.hot_keys({"n": (numbers, "key")}, rows_per_task=500)["n"]
@@ -111,11 +121,11 @@ def test_enrich_multiplies_rows(frame, rows):
     assert len(rows(got)) == 5
 
 
-@pytest.mark.parametrize("splits", [None, {"hot": 3}, {"hot": 3, "k1": 2, "nulls": 2}])
+@pytest.mark.parametrize("splits", [None, {"hot": 3}, {"hot": 3, "k1": 2, "nulls": 2, None: 2}])
 def test_latest_rows(frame, rows, splits):
     rng = random.Random(8)
     days = [None, "2024-01-01", "2024-01-02", "2024-01-03"]
-    data = [(k or "hot", rng.choice(days), v) for k, v in hot_pairs(8, 300, KEYS)]
+    data = [(k, rng.choice(days), v) for k, v in hot_pairs(8, 300, KEYS)]
     data += [("nulls", None, "a"), ("nulls", None, "b")]
     got = latest_rows(frame("key,day,v", data), "key", "day", splits)
     best = {}
@@ -130,5 +140,5 @@ def test_ranked_with_hot_keys(frame, rows):
     days = [None, "2024-01-01", "2024-01-02", "2024-01-03"]
     data = frame("key,day,v", [(k, rng.choice(days), v) for k, v in hot_pairs(9, 300, KEYS)])
     wanted = ranked(data, "key", "day")
-    assert rows(ranked(data, "key", "day", splits={"hot": 4, "k1": 2})) == rows(wanted)
+    assert rows(ranked(data, "key", "day", splits={"hot": 4, "k1": 2, None: 2})) == rows(wanted)
     assert wanted.schema["rk"].dataType == ranked(data, "key", "day", splits={"hot": 2}).schema["rk"].dataType
