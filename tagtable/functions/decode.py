@@ -75,12 +75,20 @@ def decode_codes(column: str, entries: Mapping[str, str], on_unknown: str = "tru
 def register_decoders(
     spark: SparkSession, multi: CodeBook, single: CodeBook, on_unknown: str = "truncate"
 ) -> None:
-    """Make ``decode_codes(code)`` and ``decode_code(code)`` usable in SQL text, without Python or Scala UDFs."""
-    bodies = {
-        "decode_codes": decode_codes_sql("code", multi.entries(INLINE_CODES), on_unknown),
-        "decode_code": decode_code_sql("code", single.entries(INLINE_CODES)),
-    }
-    for name, body in bodies.items():
+    """Make ``decode_codes(code)`` and ``decode_code(code)`` usable in SQL text, without Python or Scala UDFs.
+
+    A single-code dictionary too large to inline is a subquery of the function, which Spark plans as a join.
+    Code lists need a dictionary of a bounded size here; ``with_code_list_names`` takes any.
+    """
+    names = {"decode_codes": decode_codes_sql("code", multi.entries(), on_unknown)}
+    if single.fits(INLINE_CODES):
+        names["decode_code"] = decode_code_sql("code", single.entries(INLINE_CODES))
+    else:
+        single.frame.createOrReplaceTempView("decode_code_names")
+        names["decode_code"] = (
+            "coalesce((SELECT max(n.name) FROM decode_code_names n WHERE n.code = decode_code.code), '')"
+        )
+    for name, body in names.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(code STRING) RETURNS STRING RETURN {body}")
 
 

@@ -25,6 +25,18 @@ def get_session(app: str = "tagtable", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, shuffled_bytes: int, partition_bytes: int = 200 << 20) -> int:
+    """Raise the number of shuffle partitions so that one fits in a task's memory; return the number.
+
+    Adaptive execution merges partitions that turn out small but does not add any, so a large job has to
+    start with enough of them.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = max(current, -(-shuffled_bytes // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    return needed
+
+
 def work_folder(spark: SparkSession) -> str:
     """A new folder name under the session's ``spark.checkpoint.dir``, which every executor can see.
 

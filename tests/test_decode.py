@@ -98,6 +98,15 @@ def test_sql_functions(spark, frame, book):
     assert codes.selectExpr("decode_codes(codes) as a").first()["a"] == "nameA,nameB"
 
 
+def test_sql_function_of_a_large_dictionary_is_a_join(spark, frame, rows, book, monkeypatch):
+    monkeypatch.setattr(decode, "INLINE_CODES", 2)
+    decode.register_decoders(spark, book, book)
+    codes = frame("id,code", [("1", "A"), ("2", None), ("3", "?"), ("4", "E"), ("5", "T")])
+    got = codes.selectExpr("id", "decode_code(code) as name")
+    assert rows(got) == [("1", "nameA"), ("2", ""), ("3", ""), ("4", ""), ("5", "tail ")]
+    assert "Join" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_large_dictionary_is_not_inlined(book, monkeypatch):
     with pytest.raises(ValueError):
         book.entries(2)

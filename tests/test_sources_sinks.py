@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tagtable.functions import columns as C
-from tagtable.session import work_folder
+from tagtable.session import size_shuffles, work_folder
 from tagtable.sinks import files as sinks
 from tagtable.sinks.jdbc import append_jdbc
 from tagtable.sources import files, jdbc
@@ -135,6 +135,16 @@ def test_work_folder_is_in_the_shared_folder(spark):
     assert work_folder(spark) != work_folder(spark)
 
 
+def test_shuffles_are_sized_upwards_only(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 1000 << 20, 100 << 20) == 10
+        assert size_shuffles(spark, 1) == 10
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "10"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_scalar_functions(frame):
     values = frame("id,time,flag", [("1", "2024-03-01 23:59:59", "1"), ("2", "not a date", "0"), ("3", None, None)])
     got = values.select(
