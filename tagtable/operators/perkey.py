@@ -26,7 +26,8 @@ def limit_by(frame: DataFrame, keys: Sequence[str], order: Sequence[Column], row
     """
     parts = []
     if rows > GROUP_LIMIT:
-        frame = frame.withColumn("_part", F.pmod(F.xxhash64(*frame.columns), F.lit(SPREAD)))
+        place = F.xxhash64(*frame.columns) + F.spark_partition_id()
+        frame = frame.withColumn("_part", F.pmod(place, F.lit(SPREAD)))
         parts = [[*keys, "_part"]]
     for partition in [*parts, keys]:
         place = F.row_number().over(W.partitionBy(*partition).orderBy(*order))
