@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tagtable.functions.columns import contains_flag, not_blank
 from tagtable.operators.joins import presence_masks
@@ -57,33 +57,33 @@ def customer_wide(
         [None, splits.get("capital"), splits.get("base_info")],
     )
     repeated = bool(splits.get("dimension"))
-    found = _copied(enriched, F.col("_copies") * F.col("_copies"), repeated).select(
+    found = _copied(enriched, "_copies * _copies", repeated).select(
         "cust_id",
-        F.col("createTime").alias("createDate"),
-        F.col("custName").alias("custNameCn"),
+        F.expr("createTime AS createDate"),
+        F.expr("custName AS custNameCn"),
         *[flag.alias(name) for name, flag in flags.items()],
         contains_flag(F.col("oper_scope"), scope_text).alias("t6"),
         "reg_caps2",
         *BASE_COLUMNS,
     )
-    alone = _copied(customers.join(related, on_customer, "left_anti"), F.col("_copies"), repeated)
+    alone = _copied(customers.join(related, on_customer, "left_anti"), "_copies", repeated)
     unknown = dimension.select("cust_id").where(F.col("cust_id").isNull())
     return found.unionByName(alone.select("cust_id").unionAll(unknown), allowMissingColumns=True)
 
 
-def _copied(frame: DataFrame, copies: Column, repeated: bool) -> DataFrame:
+def _copied(frame: DataFrame, copies: str, repeated: bool) -> DataFrame:
     """Every row the given number of times.
 
     Copies are made in chunks; where customers with very many copies are known (``repeated``), the chunks
     are dealt out to all tasks first.
     """
-    chunks = frame.withColumn("_n", copies).withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES_PER_CHUNK)))
+    chunks = frame.selectExpr("*", f"{copies} AS _n").selectExpr(
+        "*", f"explode(sequence(0, (_n - 1) div {COPIES_PER_CHUNK})) AS _chunk"
     )
     if repeated:
-        chunks = chunks.repartition(F.col("cust_id"), F.col("_chunk"))
-    size = F.least(F.lit(COPIES_PER_CHUNK), F.col("_n") - F.col("_chunk") * COPIES_PER_CHUNK)
-    return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1), size)))
+        chunks = chunks.repartition("cust_id", "_chunk")
+    size = f"least({COPIES_PER_CHUNK}, _n - _chunk * {COPIES_PER_CHUNK})"
+    return chunks.selectExpr("*", f"explode(sequence(1, {size})) AS _copy")
 
 
 def measure_splits(
