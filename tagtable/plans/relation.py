@@ -12,7 +12,9 @@ from tagtable.operators.perkey import limit_by
 from tagtable.operators.skew import ROWS_PER_TASK, Splits, hot_keys
 
 
-def pick_relation(rows: DataFrame, tie_break: Sequence[Column | str] = ("entId", "createTime", "custName")) -> DataFrame:
+def pick_relation(
+    rows: DataFrame, tie_break: Sequence[Column | str] = ("entId", "createTime", "custName")
+) -> DataFrame:
     """The oldest relation row of every customer, among rows that name an enterprise.
 
     ``rows`` holds ``custId, entId, createTime, custName, updateTime``. Rows without an update time come

@@ -10,6 +10,7 @@ from tagtable.plans.decode_preview import decode_names, decode_preview
 from tagtable.plans.extract import load_customer_extract
 from tagtable.plans.latest_campaigns import build_latest_campaigns, latest_campaigns
 from tagtable.plans.relation import build_matched_source, pick_relation
+from tagtable.plans.snapshots import refresh_inputs
 from tagtable.session import work_folder
 from tagtable.specs import FREE, HAS, IS, MULTI_CODE, SINGLE_CODE
 from tagtable.workload.registry import query
@@ -75,6 +76,18 @@ def job_latest_campaigns_many(t: Tables) -> DataFrame:
     return latest_campaigns(source, promotion, RUN_DATE, splits=hot_keys(keyed))
 
 
+@query("job_campaigns_from_snapshots", CAMPAIGNS.format(source="shared_source"), "shared_source", "promotion")
+def job_campaigns_from_snapshots(t: Tables) -> DataFrame:
+    """Customers with their enterprise, and promotions that name one, are extracted first."""
+    inputs = {
+        "source": build_matched_source(t.dim(), t.shared_relation_rows()),
+        "promotion": t.promotion().where(F.col("ent_id").isNotNull()),
+    }
+    taken = refresh_inputs(inputs, work_folder(t.spark), "2024-01-31")
+    splits = hot_keys({name: (frame, "ent_id") for name, frame in taken.items()})
+    return latest_campaigns(taken["source"], taken["promotion"], RUN_DATE, one_enterprise=True, splits=splits)
+
+
 DECODED = """
     SELECT ent_id, t1, 0 AS t2, 0 AS t3, 0 AS t4, 0 AS t5, t6, reg_caps2, estimate_date,
            COALESCE((SELECT name FROM dictionary WHERE code = cnei_code), '') AS cnei,

@@ -89,8 +89,9 @@ class Tables:
         regions = self.read("region")
         named = self.read("nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
         name = F.when(F.col("n_name") == "NATION_7", "").otherwise(F.col("n_name"))
-        return regions.select(F.concat(F.lit("R"), _text("r_regionkey")).alias("code"), F.col("r_name").alias("name")).unionAll(
-            named.where(F.col("r_name") != "ASIA").select(F.concat(F.lit("N"), _text("n_nationkey")), name)
+        nations = named.where(F.col("r_name") != "ASIA")
+        return regions.selectExpr("concat('R', r_regionkey) AS code", "r_name AS name").unionAll(
+            nations.select(F.concat(F.lit("N"), _text("n_nationkey")), name)
         )
 
     def book(self) -> CodeBook:

@@ -13,7 +13,7 @@ from tagtable.session import work_folder
 from tagtable.sinks.files import preview
 from tagtable.sources.dictionary import CodeBook
 
-WRITERS = {"snk_", "src_dictionary", "phy_persist", "job_extract"}
+WRITERS = {"snk_", "src_dictionary", "phy_persist", "job_extract", "job_campaigns_from_snapshots"}
 
 
 @pytest.fixture
