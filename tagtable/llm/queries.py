@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagtable.llm import archives, mixing, secrets, token_counts, token_files
+from tagtable.llm import archives, decontamination, fingerprints, mixing, secrets, sharding, token_counts, token_files
 from tagtable.llm.store import table
 from tagtable.llm.tokenizer import public_path
 from tagtable.session import work_folder
@@ -104,7 +104,52 @@ FROM p LEFT JOIN w ON p.d = w.d AND p.n >= 1000
 """
 
 
+@registered
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontamination.contaminated().alias("contaminated"),
+    )
+
+
 @registered
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.count_tokens(table(spark, folder, "documents"), public_path("piece_bpe_32k.model"))
     return token_counts.over_limit(counts, 4096)
+
+
+@registered
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows whose id is divisible by 50 also tell how many other rows are within 6 of 128 bits."""
+    rows = fingerprints.compared_with_next(table(spark, folder, "documents"))
+    own, edited, following = ((F.col(f"{x}1"), F.col(f"{x}2")) for x in "fen")
+    told = fingerprints.searched(rows, F.col("doc_id") % 50 == 0)
+    return told.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.hexadecimal(*own).alias("fingerprint"),
+        fingerprints.hexadecimal(*edited).alias("edited_fingerprint"),
+        fingerprints.likeness(own, edited).alias("near_edited"),
+        fingerprints.likeness(own, following).alias("near_next"),
+        "n_within",
+    )
+
+
+@registered
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard(table(spark, folder, "documents"), shards=24)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
