@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagtable.llm import archives, decontamination, fingerprints, mixing, secrets, sharding, token_counts, token_files
+from tagtable.llm import archives, decontamination, fingerprints, mixing, quality, secrets, sharding, token_counts, token_files
 from tagtable.llm.store import table
 from tagtable.llm.tokenizer import public_path
 from tagtable.session import work_folder
@@ -141,6 +141,12 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@registered
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.classify(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
 @registered
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard(table(spark, folder, "documents"), shards=24)
