@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagtable.llm import archives, decontamination, fingerprints, mixing, quality, secrets, sharding, token_counts, token_files
+from tagtable.llm import archives, decontamination, fingerprints, jaccard, mixing, quality, secrets, sharding, token_counts, token_files
 from tagtable.llm.store import table
 from tagtable.llm.tokenizer import public_path
 from tagtable.session import work_folder
@@ -20,6 +20,11 @@ def registered(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spa
     return build
 
 
+@registered
+def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.classes(table(spark, folder, "documents"), k=4, percent=85)
+
+
 @registered
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = work_folder(spark)
