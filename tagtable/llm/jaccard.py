@@ -73,21 +73,26 @@ def _parities(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8), axis=1, bitorder="little").view("<i8")
 
 
+def row_key(doc_id: str, text: str) -> Column:
+    return F.xxhash64(doc_id, text)
+
+
 def _per_chunk(docs: DataFrame, made: Callable[[Texts], list[pa.Array]], names: list[str], schema: str, text: str) -> DataFrame:
-    """``doc_id`` and what ``made`` makes of the texts."""
+    """``doc_id``, ``key`` (a hash of id and text) and what ``made`` makes of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, texts in chunks(batch.column(1)):
-                arrays = [batch.column(0)[first:end], *made(texts)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *names])
+                arrays = [batch.column(0)[first:end], batch.column(2)[first:end], *made(texts)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", text), run, f"doc_id {kind}, {schema}")
+    read = docs.select("doc_id", text, row_key("doc_id", text).alias("key"))
+    return map_batches(read, run, f"doc_id {kind}, key long, {schema}")
 
 
 def members(docs: DataFrame, k: int, percent: int, text: str = "text") -> DataFrame:
-    """``doc_id, node, n`` of each row and ``head``, the shingles that may come first in its order."""
+    """``doc_id, key, node, n`` of each row and ``head``, the shingles that may come first in its order."""
 
     def made(texts: Texts) -> list[pa.Array]:
         flat, bounds = shingle_sets(texts, k)
@@ -132,7 +137,7 @@ def prefixes(docs: DataFrame, rows: DataFrame, k: int, percent: int, text: str =
     found = _per_chunk(docs, made, columns, "node binary, n long, bits array<long>, prefix array<long>, grouped binary", text)
     chosen = rows.where("n > 0").groupBy(F.col("node").alias("_node")).agg(F.min("doc_id").alias("_doc"))
     own = (F.col("node") == F.col("_node")) & same(F.col("doc_id"), F.col("_doc"))
-    one = found.where("n > 0").join(chosen, own, "left_semi").dropDuplicates(["node"])
+    one = found.where("n > 0").drop("key").join(chosen, own, "left_semi").dropDuplicates(["node"])
     return saved(one.withColumn("id", F.monotonically_increasing_id()))
 
 
@@ -222,7 +227,10 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, k: int, percent
 
 
 def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of each row: the smallest id that links lead to."""
+    """``doc_id, n_shingles, component_id`` of each row: the smallest id that links lead to.
+
+    ``key`` and ``stays`` follow: one id and text of each class stays, that of the smallest id.
+    """
     rows = members(docs, k, percent, text)
     sets = prefixes(docs, rows, k, percent, text)
     live, grouped = shared_shingles(sets)
@@ -262,13 +270,22 @@ def _with_bits(pairs: DataFrame, about: DataFrame) -> DataFrame:
 
 
 def _labelled(rows: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFrame:
-    smallest = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
+    smallest = rows.where("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("least"))
     linked = comps.join(sets.select(F.col("id").alias("_i"), "node"), F.col("id") == F.col("_i")).select("node", "comp")
     known = smallest.join(linked, "node", "left")
     of_class = known.where("comp is not null").groupBy(F.col("comp").alias("_comp")).agg(F.min("least").alias("of_class"))
     label = known.join(of_class, F.col("comp") == F.col("_comp"), "left")
-    label = label.select(F.col("node").alias("_node"), F.coalesce("of_class", "least").alias("component_id"))
+    label = label.select(F.col("node").alias("_node"), F.coalesce("of_class", "least").alias("first"))
     told = rows.where("n > 0").join(label, F.col("node") == F.col("_node"))
-    alone = rows.where("n = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    alone = rows.where("n = 0").withColumn("first", F.struct("doc_id", "key"))
+    stays = (same(F.col("doc_id"), F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))).alias("stays")
+    columns = ["doc_id", F.col("n").alias("n_shingles"), F.col("first.doc_id").alias("component_id"), "key", stays]
     return told.select(*columns).unionByName(alone.select(*columns))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` of which one stays in each class; repeated rows stay once."""
+    columns = docs.columns
+    stay = classes(docs, k, percent).where("stays").select(F.col("key").alias("_key")).distinct()
+    wrapped = docs.select(F.struct(*columns).alias("_row")).withColumn("_own", row_key("_row.doc_id", "_row.text"))
+    return wrapped.join(stay, F.col("_own") == F.col("_key"), "left_semi").dropDuplicates(["_own"]).select("_row.*")

@@ -22,7 +22,8 @@ def registered(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spa
 
 @registered
 def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.classes(table(spark, folder, "documents"), k=4, percent=85)
+    found = jaccard.classes(table(spark, folder, "documents"), k=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @registered
