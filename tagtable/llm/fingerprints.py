@@ -182,21 +182,22 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = _written(kind, *(batch.column(i).to_pylist() for i in range(3)), 0, None, None)
+            made = _written(kind, *(batch.column(i).to_pylist() for i in range(3)), 0, None, None, in_order=False)
             yield pa.RecordBatch.from_arrays(made.columns[:9], names=made.schema.names[:9])
 
     return done.unionByName(map_batches(gaps, close, f"doc_id {kind}, {fields}"))
 
 
-def _written(kind: str, ids: list, texts: list[str], following: list[str], part: int, head: str | None, tail: str | None) -> pa.RecordBatch:
+def _written(kind: str, ids: list, texts: list[str], following: list[str], part: int, head: str | None, tail: str | None, in_order: bool = True) -> pa.RecordBatch:
+    """Rows of texts and the texts that follow them, of which all but the last are the next rows' if ``in_order``."""
     edited = []
     for text, after in zip(texts, following, strict=True):
         third = len(text) // 3
         edited.append((text[: len(text) - third] + after[:third]).encode())
     own = simhash(_texts([t.encode() for t in texts])).view(np.int64)
-    last = simhash(_texts([following[-1].encode()])).view(np.int64)
+    others = simhash(_texts([t.encode() for t in (following[-1:] if in_order else following)])).view(np.int64)
     changed = simhash(_texts(edited)).view(np.int64)
-    after = np.concatenate([own[1:], last])
+    after = np.concatenate([own[1:], others]) if in_order else others
     numbers = [pa.array(np.ascontiguousarray(x[:, i])) for x in (own, changed, after) for i in range(2)]
     id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     first_only = [head] + [None] * (len(ids) - 1)
