@@ -87,17 +87,14 @@ def points(docs: DataFrame, dimensions: Sequence[str], shards: int) -> DataFrame
         .agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), *(F.min(v).alias(f"g{v}") for v in names))
         .where(F.col("n") > 1)
     )
-    whole = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("total"))
-    limit = F.col("total") / F.lit(shards * GROUP_PARTS)
-    parts = F.when(F.col("bytes") > limit, F.ceil(F.col("bytes") / limit)).otherwise(1).cast("long")
-    copies = (
-        groups.join(F.broadcast(whole))  # one row
-        .select(
-            F.col("key").alias("_key"),
-            parts.alias("_parts"),
-            *(f"g{v}" for v in names),
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
-        )
+    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    limit = max(1.0, total / (shards * GROUP_PARTS))
+    parts = F.when(F.col("bytes") > limit, F.ceil(F.col("bytes") / F.lit(limit))).otherwise(1).cast("long")
+    copies = groups.select(
+        F.col("key").alias("_key"),
+        parts.alias("_parts"),
+        *(f"g{v}" for v in names),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
     )
     salt = F.pmod(F.xxhash64("doc_id", "part"), F.lit(SALTS)).cast("int")
     joined = rows.join(copies, (F.col("key") == F.col("_key")) & (salt == F.col("_salt")), "left")
