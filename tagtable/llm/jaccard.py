@@ -16,7 +16,7 @@ shingle is compared with the others there, as well as leaders with their members
 Then all remaining pairs between different classes are made, expanded and verified. A family of near copies thus
 takes as many comparisons as it has members, and no link between different classes is lost.
 
-Broadcast are frequent shingles, at most ``HEAVY`` of them, and a Bloom filter of fixed size of the rows whose
+Broadcast are frequent shingles, fewer than ``HEAVY`` of them, and a Bloom filter of fixed size of the rows whose
 sets are wanted, which only saves work. Ids and lists of documents never come to the driver.
 
 Defined cases: a text without words, or a missing one, is an empty set, links with nothing and is its own
@@ -33,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tagtable.llm.components import components
-from tagtable.llm.store import map_batches, same, saved
+from tagtable.llm.store import map_batches, same, saved, scratch, tidy
 from tagtable.llm.words import Texts, as_long, chunks, list_of_longs, mix, rows_of, shingle_sets, sums
 
 HEAVY = 1 << 18  # at most so many shingles are put last
 FREQUENT = 64  # a shingle in more prefixes than this is put last, if there is room
-BITMAP = 256
+BITMAP = 2048  # bits of a set's bitmap, of which a short one with an eighth of them is folded
+FOLDS = 8
 FILTER_BITS = 24
+PAIRS_AT_ONCE = 256
 
 
 def least_overlap(n, percent: int):
@@ -67,10 +69,14 @@ def _prefix_sizes(bounds: np.ndarray, percent: int) -> np.ndarray:
     return np.where(n > 0, n - least_overlap(n, percent) + 1, 0)
 
 
-def _parities(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def _parities(flat: np.ndarray, bounds: np.ndarray) -> tuple[pa.ListArray, pa.ListArray]:
+    """A short and a wide bitmap of each set."""
     at = rows_of(bounds) * BITMAP + (flat & np.uint64(BITMAP - 1)).astype(np.int64)
     parity = np.bincount(at, minlength=(len(bounds) - 1) * BITMAP).reshape(-1, BITMAP) & 1
-    return np.packbits(parity.astype(np.uint8), axis=1, bitorder="little").view("<i8")
+    wide = np.packbits(parity.astype(np.uint8), axis=1, bitorder="little").view("<i8")
+    short = np.bitwise_xor.reduce(wide.reshape(len(wide), FOLDS, -1), axis=1)
+    lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+    return lists(short), lists(wide)
 
 
 def row_key(doc_id: str, text: str) -> Column:
@@ -91,33 +97,43 @@ def _per_chunk(docs: DataFrame, made: Callable[[Texts], list[pa.Array]], names:
     return map_batches(read, run, f"doc_id {kind}, key long, {schema}")
 
 
-def members(docs: DataFrame, k: int, percent: int, text: str = "text") -> DataFrame:
-    """``doc_id, key, node, n`` of each row and ``head``, the shingles that may come first in its order."""
+def members(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
+    """``doc_id, key, node, n`` of each row."""
 
     def made(texts: Texts) -> list[pa.Array]:
         flat, bounds = shingle_sets(texts, k)
-        sizes = _prefix_sizes(bounds, percent)
-        head = _first_of_each(flat, bounds, sizes + sizes // 2 + 8)
-        return [_names(flat, bounds), pa.array(np.diff(bounds)), list_of_longs(*head)]
+        return [_names(flat, bounds), pa.array(np.diff(bounds))]
 
-    return saved(_per_chunk(docs, made, ["node", "n", "head"], "node binary, n long, head array<long>", text))
+    return saved(_per_chunk(docs, made, ["node", "n"], "node binary, n long", text))
 
 
-def frequent(rows: DataFrame) -> np.ndarray:
-    """Sorted hashes of shingles in many heads, fewer than ``HEAVY``: each takes more than its share of all."""
-    heads = rows.select(F.explode("head").alias("shingle"))
-    total = rows.agg(F.coalesce(F.sum(F.size("head")), F.lit(0))).first()[0]
-    least = max(FREQUENT, total // HEAVY)
-    found = heads.groupBy("shingle").count().where(F.col("count") > least).select("shingle").collect()
+def frequent(docs: DataFrame, k: int, percent: int, text: str = "text") -> np.ndarray:
+    """Sorted hashes of shingles that many texts have among those that may come first, fewer than ``HEAVY``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, texts in chunks(batch.column(0)):
+                flat, bounds = shingle_sets(texts, k)
+                sizes = _prefix_sizes(bounds, percent)
+                heads, _ = _first_of_each(flat, bounds, sizes + sizes // 2)
+                yield pa.RecordBatch.from_arrays([pa.array(as_long(heads))], names=["shingle"])
+
+    spark = docs.sparkSession
+    counts = map_batches(docs.select(text), run, "shingle long").groupBy("shingle").count()
+    with tidy(spark):
+        several = saved(counts.where(F.col("count") > FREQUENT))
+        # each takes more than one in HEAVY of these, so that there can't be more
+        least = (several.agg(F.sum("count")).first()[0] or 0) // HEAVY
+        found = several.where(F.col("count") > least).select("shingle").collect()
     return np.sort(np.array([r[0] for r in found], dtype=np.int64).view(np.uint64))
 
 
 def prefixes(docs: DataFrame, rows: DataFrame, k: int, percent: int, text: str = "text") -> DataFrame:
-    """One row for each node with shingles: ``id, node, doc_id, n, bits, prefix, grouped``.
+    """One row for each node with shingles: ``id, node, key, n, bits, wide, prefix, grouped``.
 
-    ``doc_id`` is one row's that has the set, ``grouped`` names size and prefix.
+    ``key`` is one row's that has the set, ``grouped`` names size and prefix.
     """
-    last = docs.sparkSession.sparkContext.broadcast(frequent(rows))
+    last = docs.sparkSession.sparkContext.broadcast(frequent(docs, k, percent, text))
 
     def made(texts: Texts) -> list[pa.Array]:
         flat, bounds = shingle_sets(texts, k)
@@ -130,14 +146,14 @@ def prefixes(docs: DataFrame, rows: DataFrame, k: int, percent: int, text: str =
         first, cut = _first_of_each(flat[order], bounds, sizes)
         whole = np.stack([sums(mix(first, 3), cut), sums(mix(first, 4), cut) * np.uint64(3) + mix(np.diff(bounds))], axis=1)
         grouped = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(whole), [None, pa.py_buffer(np.ascontiguousarray(whole).tobytes())])
-        bits = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * (BITMAP // 64)), pa.array(_parities(flat, bounds).ravel()))
-        return [_names(flat, bounds), pa.array(np.diff(bounds)), bits, list_of_longs(first, cut), grouped.cast(pa.binary())]
-
-    columns = ["node", "n", "bits", "prefix", "grouped"]
-    found = _per_chunk(docs, made, columns, "node binary, n long, bits array<long>, prefix array<long>, grouped binary", text)
-    chosen = rows.where("n > 0").groupBy(F.col("node").alias("_node")).agg(F.min("doc_id").alias("_doc"))
-    own = (F.col("node") == F.col("_node")) & same(F.col("doc_id"), F.col("_doc"))
-    one = found.where("n > 0").drop("key").join(chosen, own, "left_semi").dropDuplicates(["node"])
+        return [_names(flat, bounds), pa.array(np.diff(bounds)), *_parities(flat, bounds), list_of_longs(first, cut), grouped.cast(pa.binary())]
+
+    columns = ["node", "n", "bits", "wide", "prefix", "grouped"]
+    schema = "node binary, n long, bits array<long>, wide array<long>, prefix array<long>, grouped binary"
+    found = _per_chunk(docs, made, columns, schema, text)
+    chosen = rows.where("n > 0").groupBy(F.col("node").alias("_node")).agg(F.min("key").alias("_key"))
+    own = (F.col("node") == F.col("_node")) & (F.col("key") == F.col("_key"))
+    one = found.where("n > 0").drop("doc_id").join(chosen, own, "left_semi").dropDuplicates(["node"])
     return saved(one.withColumn("id", F.monotonically_increasing_id()))
 
 
@@ -165,11 +181,11 @@ def _sizes_and_places(percent: int) -> Column:
     return (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent) & (most * (100 + percent) >= (n1 + n2) * percent)
 
 
-def _bitmaps(percent: int) -> Column:
+def _bitmaps(percent: int, name: str = "bits", words: int = BITMAP // FOLDS // 64) -> Column:
     """Whether the bitmaps of two sets allow a link."""
     both = F.col("na").cast("long") + F.col("nb").cast("long")
-    words = range(1, BITMAP // 64 + 1)
-    differ = sum(F.bit_count(F.element_at("bitsa", i).bitwiseXOR(F.element_at("bitsb", i))) for i in words)
+    pairs = ((F.element_at(f"{name}a", i), F.element_at(f"{name}b", i)) for i in range(1, words + 1))
+    differ = sum(F.bit_count(a.bitwiseXOR(b)) for a, b in pairs)
     return (both - differ) * (100 + percent) >= both * percent * 2
 
 
@@ -178,52 +194,48 @@ def _suffixed(frame: DataFrame, side: str, *keep: str) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, k: int, percent: int, text: str = "text") -> DataFrame:
-    """Those of ``a, b`` whose sets link."""
+    """Those of ``a, b`` whose sets link. Texts go with the pairs, as they are smaller than their shingles."""
+    spark = docs.sparkSession
     pairs = saved(pairs.select("a", "b").distinct())
     wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
-    known = saved(sets.select("id", "node", "doc_id").join(wanted, F.col("id") == F.col("_id"), "left_semi"))
-    word = F.pmod(F.xxhash64("node", "doc_id"), F.lit(1 << FILTER_BITS))
-    set_bits = known.groupBy(F.shiftright(word, 6).alias("w")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(xxhash64(node, doc_id), {1 << FILTER_BITS}) & 63 as int)))").alias("v"))
+    known = saved(sets.select("id", "key").join(wanted, F.col("id") == F.col("_id"), "left_semi"))
+    bit = F.pmod("key", F.lit(1 << FILTER_BITS)).cast("int")
+    marks = known.groupBy(F.shiftright(bit, 6).alias("w")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(key, {1 << FILTER_BITS}) & 63 as int)))"))
     bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
-    for w, v in set_bits.collect():  # at most 2 ** 18 numbers
-        bits[w] = v
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-
-    def made(texts: Texts) -> list[pa.Array]:
-        flat, bounds = shingle_sets(texts, k)
-        return [_names(flat, bounds), list_of_longs(flat, bounds)]
+    with tidy(spark):
+        for w, v in marks.collect():  # at most 2 ** 18 numbers
+            bits[w] = v
+    shared = spark.sparkContext.broadcast(bits)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Drops rows that the filter knows are not wanted, before their sets leave the task."""
+        """Drops rows that the filter knows are not wanted, before their texts leave the task."""
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            take = (shared.value[at >> 6] >> (at & 63) & 1).astype(bool)
-            yield batch.filter(pa.array(take))
-
-    found = _per_chunk(docs, made, ["node", "shingles"], "node binary, shingles array<long>", text)
-    marked = found.select("node", "shingles", word.cast("long").alias("word"), "doc_id")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    kept = map_batches(marked, pick, f"node binary, shingles array<long>, word long, doc_id {kind}")
-    names = known.select("id", F.col("node").alias("_node"), F.col("doc_id").alias("_doc"))
-    own = (F.col("node") == F.col("_node")) & same(F.col("doc_id"), F.col("_doc"))
-    full = saved(kept.join(names, own).select("id", "shingles").dropDuplicates(["id"]))
-    left = full.select(F.col("id").alias("_a"), F.col("shingles").alias("s1"))
-    right = full.select(F.col("id").alias("_b"), F.col("shingles").alias("s2"))
-    both = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b")).select("a", "b", "s1", "s2")
+            at = batch.column(0).to_numpy() & ((1 << FILTER_BITS) - 1)
+            yield batch.filter(pa.array((shared.value[at >> 6] >> (at & 63) & 1).astype(bool)))
 
+    read = docs.select(row_key("doc_id", text).alias("key"), F.col(text).alias("text"))
+    kept = map_batches(read, pick, "key long, text string")
+    names = known.select("id", F.col("key").alias("_key"))
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two = batch.column(2), batch.column(3)
-            o1, o2 = one.offsets.to_numpy(), two.offsets.to_numpy()
-            v1, v2 = one.values.to_numpy(), two.values.to_numpy()
-            keep = []
-            for i in range(len(batch)):
-                x, y = v1[o1[i] : o1[i + 1]], v2[o2[i] : o2[i + 1]]
-                overlap = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(overlap * 100 >= percent * (len(x) + len(y) - overlap))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for first in range(0, len(batch), PAIRS_AT_ONCE):
+                part = batch.slice(first, PAIRS_AT_ONCE)
+                one, two = ([x for _, _, texts in chunks(part.column(c)) for x in _split(*shingle_sets(texts, k))] for c in (2, 3))
+                keep = []
+                for x, y in zip(one, two, strict=True):
+                    overlap = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(overlap * 100 >= percent * (len(x) + len(y) - overlap))
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    with scratch(kept.join(names, F.col("key") == F.col("_key")).select("id", "text").dropDuplicates(["id"])) as full:
+        left = full.select(F.col("id").alias("_a"), F.col("text").alias("t1"))
+        right = full.select(F.col("id").alias("_b"), F.col("text").alias("t2"))
+        both = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
+        return saved(map_batches(both.select("a", "b", "t1", "t2"), link, "a long, b long"))
+
 
-    return saved(map_batches(both, link, "a long, b long"))
+def _split(flat: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    return [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
@@ -231,10 +243,10 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
 
     ``key`` and ``stays`` follow: one id and text of each class stays, that of the smallest id.
     """
-    rows = members(docs, k, percent, text)
+    rows = members(docs, k, text)
     sets = prefixes(docs, rows, k, percent, text)
     live, grouped = shared_shingles(sets)
-    about = sets.select(F.col("id").alias("_i"), "bits")
+    short, wide = (sets.select(F.col("id").alias("_i"), F.col(c).alias("b")) for c in ("bits", "wide"))
 
     # one group at each shingle with the others there, and leaders with their members
     dice = F.struct(F.xxhash64("id"), "id", "n", "place")
@@ -243,7 +255,7 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     spokes = spokes.select(F.col("m.id").alias("ida"), F.col("m.n").alias("na"), F.col("m.place").alias("placea"), F.col("id").alias("idb"), F.col("n").alias("nb"), F.col("place").alias("placeb"))
     in_group = grouped.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b"))
     near = spokes.where(_sizes_and_places(percent)).select("ida", "na", "idb", "nb").distinct()
-    first = _with_bits(near, about).where(_bitmaps(percent)).select(F.col("ida").alias("a"), F.col("idb").alias("b"))
+    first = _with_room(near, wide, percent)
     links = verified(first.union(in_group), docs, sets, k, percent, text)
     comps = saved(components(links))
 
@@ -254,19 +266,21 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     owned = owned.select("shingle", "id", "n", "place", F.coalesce("comp", "id").alias("comp"))
     mixed = owned.groupBy(F.col("shingle").alias("s")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("s")
     open_ = owned.join(mixed, F.col("shingle") == F.col("s"), "left_semi")
-    full = saved(open_.join(about, F.col("id") == F.col("_i")).select("shingle", "id", "n", "place", "comp", "bits"))
+    full = saved(open_.join(short, F.col("id") == F.col("_i")).select("shingle", "id", "n", "place", "comp", F.col("b").alias("bits")))
     a, b = _suffixed(full, "a"), _suffixed(full, "b")
     met = (F.col("shinglea") == F.col("shingleb")) & (F.col("ida") < F.col("idb")) & (F.col("compa") != F.col("compb"))
-    rest = a.join(b, met & _sizes_and_places(percent) & _bitmaps(percent)).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
+    near = a.join(b, met & _sizes_and_places(percent) & _bitmaps(percent)).select("ida", "na", "idb", "nb").distinct()
+    rest = _with_room(near, wide, percent)
     more = verified(rest.join(links, ["a", "b"], "left_anti"), docs, sets, k, percent, text)
     comps = saved(components(links.union(more)))
     return _labelled(rows, sets, comps)
 
 
-def _with_bits(pairs: DataFrame, about: DataFrame) -> DataFrame:
-    """Pairs ``ida, idb`` with both bitmaps."""
-    one = pairs.join(about.select(F.col("_i").alias("_ia"), F.col("bits").alias("bitsa")), F.col("ida") == F.col("_ia"))
-    return one.join(about.select(F.col("_i").alias("_ib"), F.col("bits").alias("bitsb")), F.col("idb") == F.col("_ib"))
+def _with_room(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
+    """Those of ``ida, na, idb, nb`` whose wide bitmaps allow a link, as ``a, b``."""
+    one = pairs.join(wide.withColumnsRenamed({"_i": "_ia", "b": "widea"}), F.col("ida") == F.col("_ia"))
+    two = one.join(wide.withColumnsRenamed({"_i": "_ib", "b": "wideb"}), F.col("idb") == F.col("_ib"))
+    return two.where(_bitmaps(percent, "wide", BITMAP // 64)).select(F.col("ida").alias("a"), F.col("idb").alias("b"))
 
 
 def _labelled(rows: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFrame:

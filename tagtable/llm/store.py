@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -28,17 +29,42 @@ def map_batches(
     return frame.mapInArrow(function, schema)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of queries that end in here; without, they stay until the driver collects garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def saved(frame: DataFrame) -> DataFrame:
     """The rows of ``frame``, written to a new folder under ``spark.checkpoint.dir`` and read from there."""
     spark = frame.sparkSession
     path = work_folder(spark)
-    frame.write.parquet(path)
+    with tidy(spark):
+        frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def balanced(frame: DataFrame) -> DataFrame:
-    """``frame`` dealt out by size: Spark splits large partitions and merges small ones."""
-    return frame.hint("rebalance")
+@contextmanager
+def scratch(frame: DataFrame) -> Iterator[DataFrame]:
+    """``frame`` written and read like ``saved``, for as long as the block lasts; what is made of it is saved inside."""
+    spark = frame.sparkSession
+    path = work_folder(spark)
+    with tidy(spark):
+        frame.write.parquet(path)
+    yield spark.read.schema(frame.schema).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
