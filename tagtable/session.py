@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,12 +39,21 @@ def size_shuffles(spark: SparkSession, shuffled_bytes: int, partition_bytes: int
 def work_folder(spark: SparkSession) -> str:
     """A new folder name under the session's ``spark.checkpoint.dir``, which every executor can see.
 
-    Only a local session may go without that setting; it then gets a folder of its own.
+    Where that is unset, it is set to a folder in the user's home on the session's default file system.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="tagtable-")
+        files = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+        base = f"{files.getHomeDirectory().toString()}/tagtable-work"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tagtable-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``work_folder`` named, once nothing reads it any more."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files.getFileSystem(spark._jsc.hadoopConfiguration()).delete(files, True)
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -1,7 +1,4 @@
-"""File sinks.
-
-Overwriting files is not transactional: a reader of the overwritten folder may meet a half-written one.
-"""
+"""File sinks. What a sink replaces stays until all new rows are written."""
 
 from __future__ import annotations
 
@@ -10,7 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagtable.sources.files import read_snapshot
+from tagtable.operators.skew import place_of
+from tagtable.sources.files import POINTERS, file_system, read_snapshot
 
 DATE_COLUMN = "DATA_DATE"
 
@@ -20,20 +18,57 @@ def write_new(frame: DataFrame, path: str) -> None:
     frame.write.mode("errorifexists").parquet(path)
 
 
-def write_compact(frame: DataFrame, path: str) -> None:
-    """Overwrite as few parquet files as the advisory partition size allows: a small result is one file.
+def write_compact(frame: DataFrame, path: str, file_rows: int = 1_000_000) -> None:
+    """Overwrite with files of about ``file_rows`` rows: one file for fewer rows, several for more.
 
-    The rebalance splits a large result, so that no single task has to write all of it.
+    The number of files follows from a count of the rows alone, not from settings of the session. Rows are dealt
+    out by a hash, so that no single task writes a large result.
     """
-    frame.hint("rebalance").write.mode("overwrite").parquet(path)
+    files = max(1, -(-frame.count() // file_rows))
+    dealt = frame.coalesce(1) if files == 1 else frame.repartition(files, place_of(frame))
+    dealt.write.mode("overwrite").parquet(path)
 
 
 def replace_date(frame: DataFrame, path: str, data_date: str) -> None:
     """Put the rows of one day in place of that day's folder, also when there are none.
 
-    Other days stay as they are, so a rerun for a day has the effect of a single run.
+    Other days stay as they are, so a rerun for a day has the effect of a single run. The rows are complete in a
+    folder next to the day before the old ones go: the frame may read what it replaces, and a run that fails
+    leaves the day as it was. If the frame has a date column, a row of another day fails the run.
     """
-    frame.drop(DATE_COLUMN).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{DATE_COLUMN}={data_date}")
+    if DATE_COLUMN in frame.columns:
+        wrong = F.concat(F.lit(f"a row is not of {data_date} but of "), F.coalesce(F.col(DATE_COLUMN).cast("string"), F.lit("no day")))
+        right = F.col(DATE_COLUMN).cast("string").eqNullSafe(F.lit(data_date))
+        frame = frame.where(F.when(right, F.lit(True)).otherwise(F.raise_error(wrong).cast("boolean"))).drop(DATE_COLUMN)
+    spark, base = frame.sparkSession, path.rstrip("/")
+    staging = f"{base}/_staging-{uuid.uuid4().hex}"  # readers skip names that start with an underscore
+    _written_or_gone(frame, staging)
+    _swap(spark, staging, f"{base}/{DATE_COLUMN}={data_date}", f"{base}/_old-{uuid.uuid4().hex}")
+
+
+def _written_or_gone(frame: DataFrame, folder: str) -> None:
+    """Write a new folder; a write that fails leaves none."""
+    try:
+        write_new(frame, folder)
+    except Exception:
+        files, path = file_system(frame.sparkSession, folder)
+        files.delete(path(folder), True)
+        raise
+
+
+def _swap(spark: SparkSession, staging: str, target: str, aside: str) -> None:
+    """Put a complete folder in the place of another, which goes last and comes back if the move fails."""
+    files, path = file_system(spark, target)
+    had = files.exists(path(target))
+    if had and not files.rename(path(target), path(aside)):
+        raise OSError(f"could not move {target} aside")
+    if not files.rename(path(staging), path(target)):
+        if had:
+            files.rename(path(aside), path(target))
+        raise OSError(f"could not move {staging} to {target}")
+    if had:
+        files.delete(path(aside), True)
+    spark.catalog.refreshByPath(target)
 
 
 def replace_dates(frame: DataFrame, path: str) -> None:
@@ -49,26 +84,25 @@ def replace_dates(frame: DataFrame, path: str) -> None:
 def refresh_snapshot(frame: DataFrame, base: str, table: str, version: str) -> DataFrame:
     """Write a dated version of a snapshot and read it back, which also cuts the lineage.
 
-    A rerun replaces its own version only, so readers of other versions are not disturbed. The rows are
-    complete in a folder of their own before the old ones go, so the frame may read what it replaces.
+    Executors write the rows once, to a folder of this run; then a small file names the run as the version's, and
+    earlier runs of the version go. Nothing is moved or copied, readers always find a complete version, the frame
+    may read what it replaces, and a run that fails leaves nothing.
     """
     spark = frame.sparkSession
     folder = f"{base.rstrip('/')}/{table}"
-    staging = f"{folder}/_staging-{uuid.uuid4().hex}"  # readers skip names that start with an underscore
-    write_new(frame, staging)
-    _put_in_place(spark, staging, f"{folder}/version={version}")
+    run = f"run-{uuid.uuid4().hex}"
+    _written_or_gone(frame, f"{folder}/version={version}/{run}")
+    files, path = file_system(spark, folder)
+    pointer = files.create(path(f"{folder}/{POINTERS}/version={version}"), True)
+    pointer.writeBytes(run)
+    pointer.close()
+    for entry in files.listStatus(path(f"{folder}/version={version}")):
+        if entry.getPath().getName() != run:
+            files.delete(entry.getPath(), True)
+    spark.catalog.refreshByPath(folder)
     return read_snapshot(spark, base, table, version)
 
 
-def _put_in_place(spark: SparkSession, staging: str, target: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(path(target), True)
-    if not files.rename(path(staging), path(target)):
-        raise OSError(f"could not rename {staging} to {target}")
-    spark.catalog.refreshByPath(target)
-
-
 def preview(frame: DataFrame, order: Sequence[str], rows: int = 20) -> DataFrame:
     """The first rows in a total order; planned as a per-task top-n, not as a full sort."""
     return frame.orderBy(*order).limit(rows)

@@ -14,10 +14,36 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
+POINTERS = "_current"  # a folder of small files that name the run of each version of a snapshot
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and what makes paths for it."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    return path_of(path).getFileSystem(spark._jsc.hadoopConfiguration()), path_of
+
+
 def read_snapshot(spark: SparkSession, base: str, table: str, version: str | None = None) -> DataFrame:
-    """Scan a named snapshot under a base folder, or one dated version of it."""
+    """Scan a named snapshot under a base folder, or one dated version of it.
+
+    A table that ``sinks.files.refresh_snapshot`` has written is read by the runs that its pointers name; without
+    a version, the column ``version`` tells them apart. Any other folder is read as it is.
+    """
     path = f"{base.rstrip('/')}/{table}"
-    return spark.read.parquet(f"{path}/version={version}" if version else path)
+    files, path_of = file_system(spark, path)
+    if not files.exists(path_of(f"{path}/{POINTERS}")):
+        return spark.read.parquet(f"{path}/version={version}" if version else path)
+    runs = []
+    for entry in files.listStatus(path_of(f"{path}/{POINTERS}")):
+        name = entry.getPath().getName()
+        if version is None or name == f"version={version}":
+            stream = files.open(entry.getPath())
+            run = bytes(stream.readNBytes(entry.getLen())).decode()
+            stream.close()
+            runs.append(f"{path}/{name}/{run}")
+    if not runs:
+        raise FileNotFoundError(f"{path} has no version {version}")
+    return spark.read.parquet(*runs) if version else spark.read.option("basePath", path).parquet(*runs)
 
 
 def read_format(
