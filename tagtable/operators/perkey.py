@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tagtable.operators.skew import Splits, is_hot, split_lookup
+from tagtable.operators.skew import Splits, free_name, is_hot, place_of, split_lookup
 
 GROUP_LIMIT = 1_000  # Spark's spark.sql.optimizer.windowGroupLimitThreshold
 SPREAD = 64
@@ -24,15 +24,15 @@ def limit_by(frame: DataFrame, keys: Sequence[str], order: Sequence[Column], row
     key sends only that many per task. It does so for up to ``GROUP_LIMIT`` rows; for more, a first step
     takes the rows of each of ``SPREAD`` parts of a key, and the second one picks among those.
     """
+    part, place = free_name("_part", frame), free_name("_place", frame)
     parts = []
     if rows > GROUP_LIMIT:
-        place = F.xxhash64(*frame.columns) + F.spark_partition_id()
-        frame = frame.withColumn("_part", F.pmod(place, F.lit(SPREAD)))
-        parts = [[*keys, "_part"]]
+        frame = frame.withColumn(part, F.pmod(place_of(frame), F.lit(SPREAD)))
+        parts = [[*keys, part]]
     for partition in [*parts, keys]:
-        place = F.row_number().over(W.partitionBy(*partition).orderBy(*order))
-        frame = frame.withColumn("_place", place).where(F.col("_place") <= rows).drop("_place")
-    return frame.drop("_part")
+        number = F.row_number().over(W.partitionBy(*partition).orderBy(*order))
+        frame = frame.withColumn(place, number).where(F.col(place) <= rows).drop(place)
+    return frame.drop(part)
 
 
 def ranked(frame: DataFrame, key: str, day: str, name: str = "rk", splits: Splits | None = None) -> DataFrame:
@@ -43,7 +43,7 @@ def ranked(frame: DataFrame, key: str, day: str, name: str = "rk", splits: Split
     """
     window = W.partitionBy(key).orderBy(F.desc_nulls_last(day))
     cold = frame.where(~is_hot(F.col(key), splits)) if splits else frame
-    result = cold.withColumn(name, F.rank().over(window))
+    result = cold.withColumn(name, F.rank().over(window).cast("long"))  # hot keys may outnumber an int
     if not splits:
         return result
     hot = frame.where(is_hot(F.col(key), splits))
@@ -51,7 +51,7 @@ def ranked(frame: DataFrame, key: str, day: str, name: str = "rk", splits: Split
     ranks = (
         hot.groupBy(key, day)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(key, day, (F.coalesce(later, F.lit(0)) + 1).cast("int").alias(name))
+        .select(key, day, (F.coalesce(later, F.lit(0)) + 1).alias(name))
     )
     return result.unionByName(split_lookup(hot, ranks, key, day, splits))
 
@@ -61,15 +61,19 @@ def latest_rows(frame: DataFrame, key: str, day: str, splits: Splits | None = No
 
     Rows older than the latest day of their own task are dropped before the shuffle. That does not help a
     hot key whose rows share one day, so hot keys (``splits``) are not shuffled at all: their latest days
-    are one row per hot key, at most 257 by ``hot_keys``, and are broadcast to where the rows are.
+    are one row per hot key, of which there are no more than rows by ``rows_per_task``, and are broadcast to
+    where the rows are.
     """
     cold = frame.where(~is_hot(F.col(key), splits)) if splits else frame
-    latest = ranked(cold, key, day, "_rank").where("_rank = 1").drop("_rank")
+    rank = free_name("_rank", frame)
+    window = W.partitionBy(key).orderBy(F.desc_nulls_last(day))
+    latest = cold.withColumn(rank, F.rank().over(window)).where(F.col(rank) == 1).drop(rank)
     if not splits:
         return latest
     hot = frame.where(is_hot(F.col(key), splits))
-    days = hot.groupBy(F.col(key).alias("_key")).agg(F.max(day).alias("_day"))
-    same_day = F.col(key).eqNullSafe(F.col("_key")) & F.col(day).eqNullSafe(F.col("_day"))
+    hot_key, hot_day = free_name("_key", frame), free_name("_day", frame)
+    days = hot.groupBy(F.col(key).alias(hot_key)).agg(F.max(day).alias(hot_day))
+    same_day = F.col(key).eqNullSafe(F.col(hot_key)) & F.col(day).eqNullSafe(F.col(hot_day))
     return latest.unionByName(hot.join(F.broadcast(days), same_day, "left_semi"))
 
 
@@ -77,7 +81,7 @@ def string_set(frame: DataFrame, keys: Sequence[str], column: str, name: str) ->
     """The distinct non-NULL strings of every group as a sorted array.
 
     Copies go first, so a group's array is built from distinct values and a group with many copies of few
-    values is small.
+    values is small. The result is one value per group, so a group's distinct strings have to fit one row.
     """
     return (
         frame.select(*keys, column)

@@ -11,16 +11,9 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 ROWS_PER_TASK = 2_000_000
-# Sketch size. A key above 1/256 of a table's rows is always among the 256 heaviest keys, and tracking
-# 2,048 items per task keeps the error of a count below a fifth of a percent of the rows.
-HEAVIEST_KEYS = 256
-TRACKED_ITEMS = 2_048
-
-_LEFT = "_left_split"
-_RIGHT = "_right_split"
-_MATCHED = "_matched"
 
 Splits = Mapping[str | None, int]
 
@@ -30,8 +23,10 @@ def hot_keys(
 ) -> dict[str, dict[str | None, int]]:
     """For each named ``(frame, key column)``, the keys over ``rows_per_task`` rows and their split counts.
 
-    Tables without that many rows are told by a row count, which for parquet reads file footers only. The
-    rest go through one frequent-items sketch: no shuffle by key, and 256 keys per table reach the driver. Keys are given as text. With ``nulls``, a missing key counts as a key, ``None``.
+    Tables without that many rows are told by a row count; for plain parquet scans it reads file footers only.
+    Keys of the rest are counted, combined within tasks before the shuffle, and the counts are exact: every key
+    over the threshold is found. There can't be more of them than the table's rows by ``rows_per_task``. Keys are
+    given as text. With ``nulls``, a missing key counts as a key, ``None``.
     """
     found: dict[str, dict[str | None, int]] = {name: {} for name in keyed}
     if not keyed:
@@ -43,19 +38,11 @@ def hot_keys(
     tagged = [
         keyed[n][0].select(F.lit(n).alias("t"), F.col(keyed[n][1]).cast("string").alias("k")) for n in large
     ]
-    sketches = (
-        _union(tagged)
-        .groupBy("t")
-        .agg(
-            F.expr(f"approx_top_k(k, {HEAVIEST_KEYS}, {TRACKED_ITEMS}) FILTER (WHERE k IS NOT NULL)").alias("top"),
-            F.count_if(F.col("k").isNull()).alias("nulls"),
-        )
-    )
-    for row in sketches.collect():
-        counts = {item["item"]: item["count"] for item in row["top"] or []}
-        if nulls:
-            counts[None] = row["nulls"]
-        found[row["t"]] = {k: -(-n // rows_per_task) for k, n in counts.items() if n > rows_per_task}
+    counts = _union(tagged).groupBy("t", "k").count().where(F.col("count") > rows_per_task)
+    if not nulls:
+        counts = counts.where(F.col("k").isNotNull())
+    for row in counts.collect():
+        found[row["t"]][row["k"]] = -(-row["count"] // rows_per_task)
     return found
 
 
@@ -81,11 +68,34 @@ def split_count(key: Column, splits: Splits) -> Column:
     return result
 
 
+def free_name(wanted: str, *frames: DataFrame) -> str:
+    """``wanted``, or a longer name if a frame has such a column, whatever its case."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def _hashable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (MapType, VariantType))
+
+
+def place_of(frame: DataFrame) -> Column:
+    """A number to deal rows out by, the same when a lost task runs again, which a random number is not.
+
+    The hash spreads different rows, the partition number spreads copies of one row. Columns of types that
+    Spark does not hash, maps at any depth, are left out of it.
+    """
+    named = [F.col(f"`{f.name}`") for f in frame.schema.fields if _hashable(f.dataType)]
+    return F.xxhash64(F.lit(0), *named) + F.spark_partition_id()
+
+
 def _own_split(frame: DataFrame, key: str, splits: Splits) -> Column:
-    # The hash spreads different rows, the partition number spreads copies of one row. Both come out the
-    # same when a lost task runs again, which a random number would not.
-    place = F.xxhash64(*frame.columns) + F.spark_partition_id()
-    return F.pmod(place, split_count(F.col(key), splits)).cast("int")
+    return F.pmod(place_of(frame), split_count(F.col(key), splits)).cast("int")
 
 
 def _all_splits(key: str, splits: Splits) -> Column:
@@ -111,24 +121,25 @@ def join_chain(
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     right_splits = right_splits or [None] * len(rights)
+    own, other, met = (free_name(n, left, *rights) for n in ("_left_split", "_right_split", "_matched"))
     left_keys = [key]
     if left_splits:
-        left = left.withColumn(_LEFT, _own_split(left, key, left_splits))
-        left_keys.append(_LEFT)
+        left = left.withColumn(own, _own_split(left, key, left_splits))
+        left_keys.append(own)
     for right, hot in zip(rights, right_splits, strict=True):
         keys = list(left_keys)
         right = right.where(F.col(key).isNotNull())
         hot = {k: n for k, n in (hot or {}).items() if k is not None}
         if hot:
-            right = right.withColumn(_RIGHT, _own_split(right, key, hot)).withColumn(_MATCHED, F.lit(True))
-            left = left.withColumn(_RIGHT, _all_splits(key, hot))
-            keys.append(_RIGHT)
+            right = right.withColumn(other, _own_split(right, key, hot)).withColumn(met, F.lit(True))
+            left = left.withColumn(other, _all_splits(key, hot))
+            keys.append(other)
         if left_splits:
-            right = right.withColumn(_LEFT, _all_splits(key, left_splits))
+            right = right.withColumn(own, _all_splits(key, left_splits))
         left = left.join(right, keys, how)
         if hot:
-            left = left.where(~is_hot(F.col(key), hot) | F.col(_MATCHED)).drop(_RIGHT, _MATCHED)
-    return left.drop(_LEFT)
+            left = left.where(~is_hot(F.col(key), hot) | F.col(met)).drop(other, met)
+    return left.drop(own)
 
 
 def split_lookup(left: DataFrame, right: DataFrame, key: str, second: str, splits: Splits) -> DataFrame:
@@ -136,15 +147,17 @@ def split_lookup(left: DataFrame, right: DataFrame, key: str, second: str, split
 
     NULLs match each other.
     """
-    own, copied = _own_split(left, key, splits), _all_splits(key, splits)
-    left = left.withColumn(_LEFT, own)
-    right = right.withColumn(_RIGHT, copied).withColumnsRenamed({key: "_key", second: "_second"})
+    split, copied = _own_split(left, key, splits), _all_splits(key, splits)
+    names = ("_left_split", "_right_split", "_key", "_second")
+    own, other, key2, second2 = (free_name(n, left, right) for n in names)
+    left = left.withColumn(own, split)
+    right = right.withColumn(other, copied).withColumnsRenamed({key: key2, second: second2})
     on = (
-        F.col(key).eqNullSafe(F.col("_key"))
-        & F.col(second).eqNullSafe(F.col("_second"))
-        & (F.col(_LEFT) == F.col(_RIGHT))
+        F.col(key).eqNullSafe(F.col(key2))
+        & F.col(second).eqNullSafe(F.col(second2))
+        & (F.col(own) == F.col(other))
     )
-    return left.join(right, on).drop("_key", "_second", _LEFT, _RIGHT)
+    return left.join(right, on).drop(key2, second2, own, other)
 
 
 def spread_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread: int = 64) -> DataFrame:
@@ -153,8 +166,8 @@ def spread_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     For a left side whose keys are not worth measuring: each right row is copied ``spread`` times, and left
     rows without a key are spread as well.
     """
-    place = F.xxhash64(*left.columns) + F.spark_partition_id()
-    left = left.withColumn(_LEFT, F.pmod(place, F.lit(spread)).cast("int"))
-    right = right.withColumn(_RIGHT, F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    on = (F.col(left_key) == F.col(right_key)) & (F.col(_LEFT) == F.col(_RIGHT))
-    return left.join(right, on, "left").drop(_LEFT, _RIGHT)
+    own, other = (free_name(n, left, right) for n in ("_left_split", "_right_split"))
+    left = left.withColumn(own, F.pmod(place_of(left), F.lit(spread)).cast("int"))
+    right = right.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    on = (F.col(left_key) == F.col(right_key)) & (F.col(own) == F.col(other))
+    return left.join(right, on, "left").drop(own, other)

@@ -24,7 +24,7 @@ def customer_tags(
 
 
 def load_customer_tags(
-    wide: DataFrame, industries: CodeBook, regions: CodeBook, run_date: str, path: str
+    wide: DataFrame, industries: CodeBook, regions: CodeBook, run_date: str, path: str, on_unknown: str = "truncate"
 ) -> None:
     """Compute the tags of a day and put them in place of that day in the tag table at ``path``."""
-    replace_date(customer_tags(wide, industries, regions, run_date), path, data_date_of(run_date))
+    replace_date(customer_tags(wide, industries, regions, run_date, on_unknown), path, data_date_of(run_date))

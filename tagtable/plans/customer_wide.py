@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
 from tagtable.functions.columns import contains_flag, not_blank
+from tagtable.operators.copies import copied, counted
 from tagtable.operators.joins import presence_masks
 from tagtable.operators.skew import ROWS_PER_TASK, Splits, hot_keys, join_chain
 from tagtable.plans.relation import pick_relation
 from tagtable.specs import IMPORT_EXPORT_TEXT
 
 BASE_COLUMNS = ("estimate_date", "cnei_code", "cnei_sec_code", "province_code", "city_code", "county_code")
-COPIES_PER_CHUNK = 100_000
 
 
 def customer_wide(
@@ -32,12 +33,12 @@ def customer_wide(
     ``n`` times in the dimension gets its rows ``n * n`` times.
 
     The dimension is counted per customer before the join and the copies are made after it, so repeated
-    customers do not meet in a join. Customers without an enterprise skip the enterprise joins, and rows
-    without a customer skip all joins: their NULL keys would go to one task there.
+    customers do not meet in a join. The relation is joined once; customers without an enterprise go on under a
+    key that starts with a NUL, as no enterprise's id does. Rows without a customer skip all joins.
     """
     splits = splits or {}
     known = dimension.select("cust_id").where(F.col("cust_id").isNotNull())
-    customers = known.groupBy("cust_id").agg(F.count(F.lit(1)).alias("_copies"))
+    customers = counted(known, "cust_id")
     related = relation.where(F.col("entId").isNotNull())
     on_customer = F.col("cust_id") == F.col("custId")
 
@@ -47,43 +48,30 @@ def customer_wide(
         capital.where(F.col("ent_id").isNotNull()).select("ent_id", "reg_caps2").distinct(),
         base_info.where(F.col("ent_id").isNotNull()).select("ent_id", *BASE_COLUMNS, "oper_scope"),
     ]
-    with_enterprise = customers.join(related, on_customer, "inner").withColumnRenamed("entId", "ent_id")
+    # customers without an enterprise stay in the chain under a key of their own, which joins nothing
+    located = customers.join(related, on_customer, "left").withColumn("_has", F.col("entId").isNotNull())
+    located = located.withColumn("ent_id", F.coalesce("entId", F.concat(F.lit("\0"), "cust_id"))).drop("entId")
     enriched = join_chain(
-        with_enterprise,
+        located,
         rights,
         "ent_id",
         "left",
         splits.get("relation"),
         [None, splits.get("capital"), splits.get("base_info")],
     )
-    repeated = bool(splits.get("dimension"))
-    found = _copied(enriched, "_copies * _copies", repeated).select(
+    only = lambda column: F.when(F.col("_has"), column)
+    rows = copied(enriched, "if(_has, _copies * _copies, _copies)", bool(splits.get("dimension")))
+    found = rows.select(
         "cust_id",
         F.expr("createTime AS createDate"),
         F.expr("custName AS custNameCn"),
-        *[flag.alias(name) for name, flag in flags.items()],
-        contains_flag(F.col("oper_scope"), scope_text).alias("t6"),
+        *[only(flag).alias(name) for name, flag in flags.items()],
+        only(contains_flag(F.col("oper_scope"), scope_text)).alias("t6"),
         "reg_caps2",
         *BASE_COLUMNS,
     )
-    alone = _copied(customers.join(related, on_customer, "left_anti"), "_copies", repeated)
     unknown = dimension.select("cust_id").where(F.col("cust_id").isNull())
-    return found.unionByName(alone.select("cust_id").unionAll(unknown), allowMissingColumns=True)
-
-
-def _copied(frame: DataFrame, copies: str, repeated: bool) -> DataFrame:
-    """Every row the given number of times.
-
-    Copies are made in chunks; where customers with very many copies are known (``repeated``), the chunks
-    are dealt out to all tasks first.
-    """
-    chunks = frame.selectExpr("*", f"{copies} AS _n").selectExpr(
-        "*", f"explode(sequence(0, (_n - 1) div {COPIES_PER_CHUNK})) AS _chunk"
-    )
-    if repeated:
-        chunks = chunks.repartition("cust_id", "_chunk")
-    size = f"least({COPIES_PER_CHUNK}, _n - _chunk * {COPIES_PER_CHUNK})"
-    return chunks.selectExpr("*", f"explode(sequence(1, {size})) AS _copy")
+    return found.unionByName(unknown, allowMissingColumns=True)
 
 
 def measure_splits(
@@ -95,15 +83,18 @@ def measure_splits(
 ) -> dict[str, Splits]:
     """Hot customers and enterprises of the inputs of ``customer_wide``.
 
-    The relation is measured before one row per customer is picked; that only means some splits too many.
+    The relation is measured before one row per customer is picked; that only means some splits too many. Of the
+    capital, distinct pairs are counted, as those are joined.
     """
     keyed = {
         "dimension": (dimension, "cust_id"),
         "relation": (relation_rows.where(not_blank(F.col("entId"))), "entId"),
-        "capital": (capital, "ent_id"),
+        "capital": (capital.where(F.col("ent_id").isNotNull()).select("ent_id", "reg_caps2").distinct(), "ent_id"),
         "base_info": (base_info, "ent_id"),
     }
-    return hot_keys(keyed, rows_per_task)
+    # a customer that occurs n times comes out n * n times
+    squared = hot_keys({"dimension": keyed.pop("dimension")}, math.isqrt(rows_per_task))
+    return hot_keys(keyed, rows_per_task) | squared
 
 
 def build_customer_wide(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tagtable.operators.copies import COPIES, copied, counted, is_repeated
 from tagtable.operators.joins import enrich
 from tagtable.operators.skew import ROWS_PER_TASK, hot_keys
 from tagtable.sinks.files import write_compact
@@ -12,12 +13,15 @@ from tagtable.sinks.files import write_compact
 def customer_extract(
     customers: DataFrame, master: DataFrame, relation_rows: DataFrame, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Listed customers (``custId``) with ``custNameCn, createDate`` and every ``entId`` they relate to."""
-    listed = customers.select("custId")
+    """Listed customers (``custId``) with ``custNameCn, createDate`` and every ``entId`` they relate to.
+
+    A customer that is listed several times is one row until all joins are done.
+    """
+    listed = counted(customers, "custId")
     rights = [master.select("custId", "custNameCn", "createDate"), relation_rows.select("custId", "entId")]
-    keyed = {"listed": (listed, "custId"), "master": (rights[0], "custId"), "relation": (rights[1], "custId")}
-    splits = hot_keys(keyed, rows_per_task, nulls=True)
-    return enrich(listed, rights, "custId", splits["listed"], [splits["master"], splits["relation"]])
+    splits = hot_keys({"master": (rights[0], "custId"), "relation": (rights[1], "custId")}, rows_per_task)
+    found = enrich(listed, rights, "custId", None, [splits["master"], splits["relation"]])
+    return copied(found, COPIES, is_repeated(listed))
 
 
 def load_customer_extract(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tagtable.functions.columns import not_blank
 from tagtable.operators.joins import matched
 from tagtable.operators.perkey import limit_by
-from tagtable.operators.skew import ROWS_PER_TASK, Splits, hot_keys
+from tagtable.operators.copies import COPIES, copied, counted, is_repeated
 
 
 def pick_relation(
@@ -26,14 +26,12 @@ def pick_relation(
 
 
 def matched_source(
-    dimension: DataFrame,
-    relation: DataFrame,
-    left_splits: Splits | None = None,
-    partitions: int | None = None,
+    dimension: DataFrame, relation: DataFrame, partitions: int | None = None
 ) -> DataFrame:
     """Customers of the dimension that have an enterprise, as ``cust_id, ent_id, createDate, custNameCn``.
 
-    ``partitions`` deals the rows out evenly, also those of a customer that occurs many times.
+    Customers are counted before the join and copied after it, so one that occurs many times takes one row there.
+    ``partitions`` deals the rows out evenly.
     """
     related = relation.where(F.col("entId").isNotNull()).select(
         F.col("custId").alias("cust_id"),
@@ -41,16 +39,14 @@ def matched_source(
         F.col("createTime").alias("createDate"),
         F.col("custName").alias("custNameCn"),
     )
-    source = matched(dimension.select("cust_id"), related, "cust_id", left_splits)
+    customers = counted(dimension.where(F.col("cust_id").isNotNull()), "cust_id")
+    source = copied(matched(customers, related, "cust_id"), COPIES, is_repeated(customers))
+    source = source.select("cust_id", "ent_id", "createDate", "custNameCn")
     return source.repartition(partitions) if partitions else source
 
 
 def build_matched_source(
-    dimension: DataFrame,
-    relation_rows: DataFrame,
-    partitions: int | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    dimension: DataFrame, relation_rows: DataFrame, partitions: int | None = None
 ) -> DataFrame:
-    """``matched_source`` from the relation's raw rows, with often repeated customers measured and split."""
-    splits = hot_keys({"dimension": (dimension, "cust_id")}, rows_per_task)
-    return matched_source(dimension, pick_relation(relation_rows), splits["dimension"], partitions)
+    """``matched_source`` from the relation's raw rows."""
+    return matched_source(dimension, pick_relation(relation_rows), partitions)
