@@ -54,9 +54,17 @@ def java_hash_bucket(column: Column, buckets: int) -> Column:
     return (F.abs(signed) % buckets).cast("int")
 
 
-def date_slices(column: str, ranges: Sequence[tuple[str, str]]) -> list[str]:
-    """One SQL predicate per inclusive day range, for a read split by predicates."""
-    return [
+def date_slices(column: str, ranges: Sequence[tuple[str, str]], remainder: bool = True) -> list[str]:
+    """One SQL predicate per inclusive day range, for a read split by predicates.
+
+    The last predicate takes all other rows, those without a day among them, so that the slices of ranges that do
+    not overlap give every row once. ``remainder=False`` reads the ranges alone.
+    """
+    slices = [
         f"cast({column} as date) >= date '{first}' AND cast({column} as date) <= date '{last}'"
         for first, last in ranges
     ]
+    if remainder:
+        inside = " OR ".join(f"({s})" for s in slices) or "1 = 0"
+        slices.append(f"cast({column} as date) IS NULL OR NOT ({inside})")
+    return slices

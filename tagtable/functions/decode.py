@@ -15,7 +15,7 @@ from tagtable.operators.skew import spread_join
 from tagtable.sources.dictionary import CodeBook
 from tagtable.specs import CODE_SEPARATOR
 
-INLINE_CODES = 1_000
+INLINE_CODES = 50  # a map literal is searched from the front for every code
 
 
 def sql_text(value: str) -> str:
@@ -77,10 +77,15 @@ def register_decoders(
 ) -> None:
     """Make ``decode_codes(code)`` and ``decode_code(code)`` usable in SQL text, without Python or Scala UDFs.
 
-    A single-code dictionary too large to inline is a subquery of the function, which Spark plans as a join.
-    Code lists need a dictionary of a bounded size here; ``with_code_list_names`` takes any.
+    A dictionary too large to inline, of whatever size, is a subquery of the function, which Spark plans as a join;
+    a bulk of code lists is decoded with less work by ``with_code_list_names``, once for each distinct list.
     """
-    names = {"decode_codes": decode_codes_sql("code", multi.entries(), on_unknown)}
+    _check_mode(on_unknown)
+    if multi.fits(INLINE_CODES):
+        names = {"decode_codes": decode_codes_sql("code", multi.entries(INLINE_CODES), on_unknown)}
+    else:
+        multi.frame.createOrReplaceTempView("decode_codes_names")
+        names = {"decode_codes": _joined_codes_sql("decode_codes.code", "decode_codes_names", on_unknown)}
     if single.fits(INLINE_CODES):
         names["decode_code"] = decode_code_sql("code", single.entries(INLINE_CODES))
     else:
@@ -92,6 +97,15 @@ def register_decoders(
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(code STRING) RETURNS STRING RETURN {body}")
 
 
+def _joined_codes_sql(code: str, names: str, on_unknown: str) -> str:
+    """Names of a code list by a subquery over a view of the dictionary."""
+    return f"""coalesce((
+        SELECT {_found_names_sql(on_unknown)}
+        FROM (SELECT array_sort(collect_list(if(n.name <> '', named_struct('_pos', p._pos, 'name', n.name), NULL))) AS _found,
+                     min(if(n.name IS NULL, p._pos, NULL)) AS _unknown
+              FROM (SELECT posexplode({_pieces_sql(code)}) AS (_pos, c)) p LEFT JOIN {names} n ON n.code = p.c)), '')"""
+
+
 def with_code_list_names(
     frame: DataFrame, column: str, book: CodeBook, name: str, on_unknown: str = "truncate"
 ) -> DataFrame:

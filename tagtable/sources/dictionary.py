@@ -35,13 +35,15 @@ def read_dictionary(spark: SparkSession, path: str, trim: bool = False) -> DataF
 
 
 class CodeBook:
-    """A dictionary frame ``(code, name)``, unique by code, with a check of its size made once.
+    """A dictionary frame ``(code, name)`` with a check of its size made once.
 
-    A code with a NULL name counts as unknown.
+    Codes are unique here whatever the frame: of several names of a code the greatest holds, as ``read_dictionary``
+    already leaves one. A code with a NULL name counts as unknown.
     """
 
     def __init__(self, frame: DataFrame):
-        self.frame = frame.select("code", "name").where("code IS NOT NULL AND name IS NOT NULL")
+        known = frame.select("code", "name").where("code IS NOT NULL AND name IS NOT NULL")
+        self.frame = known.groupBy("code").agg(F.max("name").alias("name"))
         self._small: dict[str, str] | None = None
         self._checked = False
 
@@ -49,12 +51,10 @@ class CodeBook:
         if self._checked:
             return
         # Bounded look: one entry and one character over the bounds is enough to tell "too large".
-        rows = (
-            self.frame.select("code", F.substring("name", 1, BROADCAST_NAME_CHARS + 1).alias("name"))
-            .limit(BROADCAST_CODES + 1)
-            .collect()
-        )
-        if len(rows) <= BROADCAST_CODES and all(len(r["name"]) <= BROADCAST_NAME_CHARS for r in rows):
+        cut = [F.substring(c, 1, BROADCAST_NAME_CHARS + 1).alias(c) for c in ("code", "name")]
+        rows = self.frame.select(*cut).limit(BROADCAST_CODES + 1).collect()
+        longest = max((len(r[c]) for r in rows for c in ("code", "name")), default=0)
+        if len(rows) <= BROADCAST_CODES and longest <= BROADCAST_NAME_CHARS:
             self._small = {r["code"]: r["name"] for r in rows}
         self._checked = True
 
@@ -66,7 +66,3 @@ class CodeBook:
         if not self.fits(codes):
             raise ValueError(f"dictionary has over {codes} entries or over-long names; join it instead")
         return dict(self._small)
-
-    def joinable(self) -> DataFrame:
-        """The frame, marked for broadcast only if its size was checked."""
-        return F.broadcast(self.frame) if self.fits() else self.frame

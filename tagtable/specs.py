@@ -17,27 +17,26 @@ FREE = "free"
 class TagSpec:
     column: str
     code: str
-    title: str
     kind: str
 
 
-# Columns, tag codes, titles and labels that the tag table's readers expect.
+# Columns, tag codes and labels that the tag table's readers expect.
 TAGS = (
-    TagSpec("createDate", "CRE_DATE", "建档时间", FREE),
-    TagSpec("custNameCn", "CUST_NAME", "客户名称", FREE),
-    TagSpec("t1", "IS_TRADEMARK", "是否有商标(1有 2无)", HAS),
-    TagSpec("t2", "IS_PATENT", "是否有专利(1有 2无)", HAS),
-    TagSpec("t3", "IS_CHANGE_LICENSE", "营业执照是否有变更(1是 2否)", IS),
-    TagSpec("t4", "IS_PROMOTION", "是否有百度竞价推广(1有 2无)", HAS),
-    TagSpec("t5", "IS_OFFICIAL_ACCOUNT", "是否有公众号(1有 2无)", HAS),
-    TagSpec("t6", "IS_IO", "是否含进出口(1有 2无)", HAS),
-    TagSpec("reg_caps2", "REG_CAPS", "注册资金(万人民币)", FREE),
-    TagSpec("estimate_date", "ESTIMATE_DATE", "成立日期", FREE),
-    TagSpec("cnei_code", "CNEI_CODE", "所属行业-一级", MULTI_CODE),
-    TagSpec("cnei_sec_code", "CNEI_SEC_CODE", "所属行业-二级", MULTI_CODE),
-    TagSpec("province_code", "MAILING_ADDR_PROVINCE", "注册地址-省", SINGLE_CODE),
-    TagSpec("city_code", "MAILING_ADDR_CITY", "注册地址-市", SINGLE_CODE),
-    TagSpec("county_code", "MAILING_ADDR_ZONE", "注册地址-区", SINGLE_CODE),
+    TagSpec("createDate", "CRE_DATE", FREE),
+    TagSpec("custNameCn", "CUST_NAME", FREE),
+    TagSpec("t1", "IS_TRADEMARK", HAS),
+    TagSpec("t2", "IS_PATENT", HAS),
+    TagSpec("t3", "IS_CHANGE_LICENSE", IS),
+    TagSpec("t4", "IS_PROMOTION", HAS),
+    TagSpec("t5", "IS_OFFICIAL_ACCOUNT", HAS),
+    TagSpec("t6", "IS_IO", HAS),
+    TagSpec("reg_caps2", "REG_CAPS", FREE),
+    TagSpec("estimate_date", "ESTIMATE_DATE", FREE),
+    TagSpec("cnei_code", "CNEI_CODE", MULTI_CODE),
+    TagSpec("cnei_sec_code", "CNEI_SEC_CODE", MULTI_CODE),
+    TagSpec("province_code", "MAILING_ADDR_PROVINCE", SINGLE_CODE),
+    TagSpec("city_code", "MAILING_ADDR_CITY", SINGLE_CODE),
+    TagSpec("county_code", "MAILING_ADDR_ZONE", SINGLE_CODE),
 )
 YES_NO = {HAS: ("有", "无"), IS: ("是", "否")}
 CODE_SEPARATOR = "\u0002"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -9,14 +11,14 @@ from tagtable.functions import columns as C
 from tagtable.operators.batches import map_batches
 from tagtable.operators.caching import persisted
 from tagtable.plans.relation import pick_relation
-from tagtable.session import work_folder
+from tagtable.session import shuffle_width, work_folder
 from tagtable.sinks import files as sinks
 from tagtable.sources import files as sources
 from tagtable.sources.dictionary import read_dictionary
 from tagtable.workload.registry import query
 from tagtable.workload.tables import Tables
 
-ORDER_SLICES = [("1992-01-01", "1994-12-31"), ("1995-01-01", "1997-12-31"), ("1998-01-01", "2100-12-31")]
+ORDER_SLICES = [("1900-01-01", "1994-12-31"), ("1995-01-01", "1997-12-31"), ("2101-01-01", "2200-12-31")]
 
 # --- sources
 
@@ -45,17 +47,20 @@ def src_format(t: Tables) -> DataFrame:
 @query(
     "src_slice_predicates",
     """SELECT o_orderkey, CAST(CASE WHEN CAST(o_orderdate AS DATE) <= DATE '1994-12-31' THEN 0
-                WHEN CAST(o_orderdate AS DATE) <= DATE '1997-12-31' THEN 1 ELSE 2 END AS INTEGER) AS slice
+                WHEN CAST(o_orderdate AS DATE) <= DATE '1997-12-31' THEN 1 ELSE 3 END AS INTEGER) AS slice
        FROM orders""",
 )
 def src_slice_predicates(t: Tables) -> DataFrame:
-    """The predicates of a split read: over a table they give every row in exactly one slice."""
+    """The predicates of a split read: over a table they give every row in exactly one slice.
+
+    Days from 1998 on are in no range, but in the remainder.
+    """
     orders = t.read("orders")
     slices = [
         orders.where(p).select("o_orderkey", F.lit(i).alias("slice"))
         for i, p in enumerate(C.date_slices("o_orderdate", ORDER_SLICES))
     ]
-    return slices[0].unionAll(slices[1]).unionAll(slices[2])
+    return reduce(DataFrame.unionAll, slices)
 
 
 @query(
@@ -86,8 +91,8 @@ def snk_parquet(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
-@query("snk_single_file", "SELECT p_partkey, p_name, p_brand FROM part")
-def snk_single_file(t: Tables) -> DataFrame:
+@query("snk_compact", "SELECT p_partkey, p_name, p_brand FROM part")
+def snk_compact(t: Tables) -> DataFrame:
     path = work_folder(t.spark)
     sinks.write_compact(t.read("part").select("p_partkey", "p_name", "p_brand"), path)
     return t.spark.read.parquet(path)
@@ -99,13 +104,14 @@ def snk_single_file(t: Tables) -> DataFrame:
        UNION ALL SELECT o_orderkey, 'rerun', '2024-01-31' FROM orders""",
 )
 def snk_replace_date(t: Tables) -> DataFrame:
-    """Two days are loaded, then the second one again with other rows."""
+    """Two days are loaded, then the second one again from the table itself, with another status."""
     path = work_folder(t.spark)
     rows = t.read("orders").select("o_orderkey", "o_orderstatus")
     sinks.replace_date(rows, path, "2024-01-30")
     sinks.replace_date(rows, path, "2024-01-31")
-    sinks.replace_date(rows.withColumn("o_orderstatus", F.lit("rerun")), path, "2024-01-31")
     schema = T.StructType(rows.schema.fields + [T.StructField(sinks.DATE_COLUMN, T.StringType())])
+    own = sources.read_parquet(t.spark, path, schema).where(F.col(sinks.DATE_COLUMN) == "2024-01-31")
+    sinks.replace_date(own.withColumn("o_orderstatus", F.lit("rerun")), path, "2024-01-31")
     return sources.read_parquet(t.spark, path, schema)
 
 
@@ -344,12 +350,14 @@ def udf_map_partitions(t: Tables) -> DataFrame:
 
 @query("phy_repartition", "SELECT o_custkey, COUNT(*) AS orders, CAST(1 AS BIGINT) AS places FROM orders GROUP BY o_custkey")
 def phy_repartition(t: Tables) -> DataFrame:
-    """Rows of a customer are in one partition, so counting them there needs no further shuffle."""
-    placed = t.read("orders").select("o_custkey").repartition(16, "o_custkey")
-    placed = placed.withColumn("place", F.spark_partition_id())
-    return placed.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("orders"), F.countDistinct("place").alias("places")
-    )
+    """Counts of a customer meet in one partition, so adding them up there needs no further shuffle.
+
+    Orders are counted within each file part first, so that a customer with very many sends a few rows.
+    """
+    part = t.read("orders").select("o_custkey", F.spark_partition_id().alias("part"))
+    counts = part.groupBy("o_custkey", "part").agg(F.count(F.lit(1)).alias("n"))
+    placed = counts.repartition(shuffle_width(t.spark), "o_custkey").withColumn("place", F.spark_partition_id())
+    return placed.groupBy("o_custkey").agg(F.sum("n").alias("orders"), F.countDistinct("place").alias("places"))
 
 
 @query(

@@ -11,7 +11,7 @@ from tagtable.plans.extract import load_customer_extract
 from tagtable.plans.latest_campaigns import build_latest_campaigns, latest_campaigns
 from tagtable.plans.relation import build_matched_source, pick_relation
 from tagtable.plans.snapshots import refresh_inputs
-from tagtable.session import work_folder
+from tagtable.session import shuffle_width, work_folder
 from tagtable.specs import FREE, HAS, IS, MULTI_CODE, SINGLE_CODE
 from tagtable.workload.registry import query
 from tagtable.workload.relational import tag_sql, wide
@@ -30,7 +30,7 @@ def job_relation(t: Tables) -> DataFrame:
 
 @query("job_source", "SELECT * FROM source", "source")
 def job_source(t: Tables) -> DataFrame:
-    return build_matched_source(t.dim(), t.relation_rows(), partitions=16)
+    return build_matched_source(t.dim(), t.relation_rows(), partitions=shuffle_width(t.spark))
 
 
 @query("job_customer_wide", f"SELECT {WIDE_COLUMNS} FROM wide", "wide")

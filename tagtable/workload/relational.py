@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tagtable.functions import decode
 from tagtable.operators import joins, perkey, tags
-from tagtable.operators.skew import hot_keys
+from tagtable.operators.skew import ROWS_PER_TASK, hot_keys
 from tagtable.plans.customer_wide import build_customer_wide
 from tagtable.plans.relation import pick_relation
 from tagtable.specs import FREE, HAS, IS, MULTI_CODE, SINGLE_CODE, TAGS
@@ -48,10 +48,10 @@ def join_left_using(t: Tables) -> DataFrame:
     "shared_source",
     "promotion",
 )
-def join_matched(t: Tables) -> DataFrame:
+def join_matched(t: Tables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     source = t.shared_relation_rows().selectExpr("custId as cust_id", "entId as ent_id")
     promotion = t.promotion().select("ent_id", "popu_plat", "modify_time")
-    splits = hot_keys({"source": (source, "ent_id"), "promotion": (promotion, "ent_id")})
+    splits = hot_keys({"source": (source, "ent_id"), "promotion": (promotion, "ent_id")}, rows_per_task)
     found = joins.matched(source, promotion, "ent_id", splits["source"], splits["promotion"])
     return found.select("cust_id", "ent_id", "popu_plat", "modify_time")
 
@@ -79,12 +79,12 @@ def join_presence_flags(t: Tables) -> DataFrame:
     "capital",
     "base_info",
 )
-def join_enrich_chain(t: Tables) -> DataFrame:
-    source, capital = _many_source(t), t.capital()
+def join_enrich_chain(t: Tables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    source, capital = _many_source(t), t.capital().distinct()
     base = t.base_info().select("ent_id", "province_code", "city_code")
     keyed = {"source": (source, "ent_id"), "capital": (capital, "ent_id"), "base": (base, "ent_id")}
-    splits = hot_keys(keyed, nulls=True)
-    rights = [capital.distinct(), base]
+    splits = hot_keys(keyed, rows_per_task, nulls=True)
+    rights = [capital, base]
     return joins.enrich(source, rights, "ent_id", splits["source"], [splits["capital"], splits["base"]])
 
 
@@ -170,11 +170,11 @@ def agg_string_set(t: Tables) -> DataFrame:
 @query(
     "win_rank",
     """SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, CAST(rank() OVER (
-           PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC NULLS LAST) AS INTEGER) AS rk FROM orders""",
+           PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC NULLS LAST) AS BIGINT) AS rk FROM orders""",
 )
-def win_rank(t: Tables) -> DataFrame:
+def win_rank(t: Tables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     orders = t.read("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))
-    splits = hot_keys({"orders": (orders, "o_custkey")}, nulls=True)
+    splits = hot_keys({"orders": (orders, "o_custkey")}, rows_per_task, nulls=True)
     return perkey.ranked(orders, "o_custkey", "day", splits=splits["orders"])
 
 
@@ -185,9 +185,9 @@ def win_rank(t: Tables) -> DataFrame:
                PARTITION BY user_id ORDER BY CAST(ts AS DATE) DESC NULLS LAST) AS rk FROM events) AS r
        WHERE rk = 1""",
 )
-def win_latest_rank(t: Tables) -> DataFrame:
+def win_latest_rank(t: Tables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     events = t.read("events").select("event_id", "user_id", "event_type", F.col("ts").cast("date").alias("day"))
-    splits = hot_keys({"events": (events, "user_id")}, nulls=True)
+    splits = hot_keys({"events": (events, "user_id")}, rows_per_task, nulls=True)
     return perkey.latest_rows(events, "user_id", "day", splits["events"])
 
 
@@ -245,8 +245,9 @@ def tag_sql(kind: str, table: str = "wide") -> str:
     return _tag_rows(columns, labels[kind]).format(table=table)
 
 
-def wide(t: Tables) -> DataFrame:
-    return build_customer_wide(t.dim(), t.relation_rows(), t.facts(), t.capital(), t.base_info(), SCOPE_TEXT)
+def wide(t: Tables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    inputs = (t.dim(), t.relation_rows(), t.facts(), t.capital(), t.base_info())
+    return build_customer_wide(*inputs, SCOPE_TEXT, rows_per_task)
 
 
 def _tags_of(t: Tables, kind: str) -> DataFrame:
@@ -314,7 +315,7 @@ def rsh_unpivot(t: Tables) -> DataFrame:
 )
 def tag_code_map(t: Tables) -> DataFrame:
     """Brands stand in for tag columns."""
-    specs = [type(s)(f"Brand#{i}", s.code, s.title, s.kind) for i, s in enumerate(TAGS, 11)]
+    specs = [type(s)(f"Brand#{i}", s.code, s.kind) for i, s in enumerate(TAGS, 11)]
     parts = t.read("part").select(F.col("p_type").alias("kind"), F.col("p_brand").alias("col")).distinct()
     return parts.withColumn("code", tags.tag_code(F.col("col"), specs))
 
@@ -324,8 +325,7 @@ def tag_code_map(t: Tables) -> DataFrame:
 
 @query("fn_decode_code", f"SELECT ent_id, city_code, {CODE_LABEL.format('city_code')} AS city FROM base_info", "base_info", "dictionary")
 def fn_decode_code(t: Tables) -> DataFrame:
-    entries = t.book().entries(decode.INLINE_CODES)
-    return t.base_info().select("ent_id", "city_code", decode.decode_code("city_code", entries).alias("city"))
+    return joins.lookup_default(t.base_info().select("ent_id", "city_code"), "city_code", t.book(), "city")
 
 
 @query(
@@ -336,13 +336,10 @@ def fn_decode_code(t: Tables) -> DataFrame:
     "list_names",
 )
 def fn_decode_codes(t: Tables) -> DataFrame:
-    entries = t.book().entries(decode.INLINE_CODES)
-    return t.base_info().select(
-        "ent_id",
-        "cnei_sec_code",
-        decode.decode_codes("cnei_sec_code", entries).alias("cut_names"),
-        decode.decode_codes("cnei_sec_code", entries, "skip").alias("known_names"),
-    )
+    rows, book = t.base_info().select("ent_id", "cnei_sec_code"), t.book()
+    for name, mode in (("cut_names", "truncate"), ("known_names", "skip")):
+        rows = decode.with_code_list_names(rows, "cnei_sec_code", book, name, mode)
+    return rows
 
 
 @query("udf_decode_code", f"SELECT ent_id, {CODE_LABEL.format('county_code')} AS county, {CODE_LABEL.format('province_code')} AS province FROM base_info", "base_info", "dictionary")
