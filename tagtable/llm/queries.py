@@ -26,6 +26,33 @@ def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL["op1_jaccard_join"] = rf"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, coalesce(regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, list_slice(w, i, i + 3) AS g
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT r.doc_id, e.y FROM reached r JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) e ON r.other = e.x
+), least AS (
+    SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM documents LEFT JOIN sizes USING (doc_id) JOIN least USING (doc_id)
+"""
+
+
 @registered
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = work_folder(spark)
@@ -123,6 +150,35 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+SQL["op6_decontamination"] = rf"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r,
+        coalesce(regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), b AS (
+    SELECT item_id, coalesce(regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, n, list_slice(w, i, i + n - 1) AS g
+    FROM (SELECT item_id, w, least(len(w), 13) AS n, unnest(generate_series(1, len(w) - least(len(w), 13) + 1)) AS i
+          FROM b WHERE len(w) > 0)
+), own AS (
+    SELECT r, n, i, list_slice(w, i, i + n - 1) AS g
+    FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+          FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+), hits AS (
+    SELECT own.r, own.i, own.n, item_id FROM own JOIN windows ON own.n = windows.n AND own.g = windows.g
+), covered AS (
+    SELECT r, count(DISTINCT p) AS n_hit
+    FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS p FROM (SELECT DISTINCT r, i, n FROM hits)) GROUP BY r
+), items AS (
+    SELECT r, count(DISTINCT item_id) AS n_items,
+        string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hits GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+"""
+
+
 @registered
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.count_tokens(table(spark, folder, "documents"), public_path("piece_bpe_32k.model"))

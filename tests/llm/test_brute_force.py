@@ -18,7 +18,7 @@ def rows(spark, name):
     return spark_entry.queries()[name](spark, SMALL).collect()
 
 
-@pytest.mark.parametrize("name", ["op4_mixing", "op5_archives"])
+@pytest.mark.parametrize("name", ["op4_mixing", "op5_archives", "op6_decontamination"])
 def test_query_matches_sql(spark, name):
     assert compare(spark, database(SMALL), SMALL, name) is None
 
