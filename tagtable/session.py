@@ -39,12 +39,16 @@ def size_shuffles(spark: SparkSession, shuffled_bytes: int, partition_bytes: int
 def work_folder(spark: SparkSession) -> str:
     """A new folder name under the session's ``spark.checkpoint.dir``, which every executor can see.
 
-    Where that is unset, it is set to a folder in the user's home on the session's default file system.
+    Where that is unset, it is set to a folder for passing data on the session's default file system. A cluster whose
+    default file system is each machine's own has to name a shared one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        files = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
-        base = f"{files.getHomeDirectory().toString()}/tagtable-work"
+        conf = spark._jsc.hadoopConfiguration()
+        files = spark._jvm.org.apache.hadoop.fs.FileSystem.get(conf)
+        if files.getScheme() == "file" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        base = f"{files.getUri()}{conf.get('hadoop.tmp.dir')}/tagtable"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tagtable-{uuid.uuid4().hex}"
 
