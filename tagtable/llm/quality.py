@@ -107,12 +107,14 @@ class Features:
         size = np.diff(self.vocabulary_bounds)
         words = (self.vocabulary % np.uint64(BUCKETS)).astype(np.int64)
         word_values = np.repeat(1 / np.sqrt(np.maximum(size, 1)), size)
-        shape_values = np.repeat(1 / np.maximum(self.counts, 1), self.counts)
-        rows = np.concatenate([np.repeat(np.arange(len(size)), size), np.repeat(np.arange(len(size)), self.counts)])
+        row = np.repeat(np.arange(len(size)), self.counts)
+        distinct, times = np.unique(row * SHAPES + self.shapes - BUCKETS, return_counts=True)
+        own, shapes = distinct // SHAPES, distinct % SHAPES + BUCKETS
+        shape_values = times / np.maximum(self.counts, 1)[own]
+        rows = np.concatenate([np.repeat(np.arange(len(size)), size), own])
         order = np.argsort(rows, kind="stable")
-        bounds = np.zeros(len(size) + 1, dtype=np.int64)
-        np.cumsum(size + self.counts, out=bounds[1:])
-        return np.concatenate([words, self.shapes])[order], np.concatenate([word_values, shape_values])[order], bounds
+        bounds = np.searchsorted(rows[order], np.arange(len(size) + 1))
+        return np.concatenate([words, shapes])[order], np.concatenate([word_values, shape_values])[order], bounds
 
     def scores(self, weights: np.ndarray, bias: float) -> np.ndarray:
         size = np.diff(self.vocabulary_bounds)
@@ -167,7 +169,8 @@ def train(
     for _ in range(rounds):
         z = sums(weights[buckets] * values, bounds) + bias
         error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) * heavy
-        slope = np.bincount(buckets, np.repeat(error, size) * values, minlength=dims) + penalty * weights
+        slope = np.bincount(buckets, np.repeat(error, size) * values, minlength=dims)
+        slope += penalty * weights
         squares += slope**2
         weights -= 0.5 * slope / np.sqrt(squares)
         bias_slope = error.sum()
@@ -210,7 +213,7 @@ def toxic_words(docs: DataFrame, labels: DataFrame, labelled: int, words: int) -
     return [np.sort(hashes[i::3]) for i in range(3)]
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = 8000, words: int = 600, sample: int = 2500) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = 8000, words: int = 600, sample: int = 1500) -> Model:
     lists = toxic_words(docs, labels, labelled, words)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,8 +266,9 @@ def _trained(docs: DataFrame, lists: list[np.ndarray], flaw: str, by_pattern: di
     rows = drawn.limit(4 * sample).toArrow()
     buckets, values = (rows.column(i).combine_chunks() for i in (1, 2))
     bounds = buckets.offsets.to_numpy() if len(rows) else np.zeros(1, np.int64)
-    flat = buckets.values.to_numpy() if len(rows) else np.zeros(0, np.int64)
-    return train(flat.astype(np.int64), values.values.to_numpy().astype(float) if len(rows) else np.zeros(0), bounds.astype(np.int64), rows.column(0).to_numpy())
+    flat = buckets.values.to_numpy() if len(rows) else np.zeros(0, np.int32)
+    of_flat = values.values.to_numpy() if len(rows) else np.zeros(0, np.float32)
+    return train(flat, of_flat, bounds.astype(np.int64), rows.column(0).to_numpy())
 
 
 def classify(docs: DataFrame, model: Model) -> DataFrame:
