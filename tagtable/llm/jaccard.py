@@ -41,7 +41,8 @@ FREQUENT = 64  # a shingle in more prefixes than this is put last, if there is r
 BITMAP = 2048  # bits of a set's bitmap, of which a short one with an eighth of them is folded
 FOLDS = 8
 FILTER_BITS = 24
-PAIRS_AT_ONCE = 256
+PAIRS_AT_ONCE = 128
+SETS_AT_ONCE = 256
 
 
 def least_overlap(n, percent: int):
@@ -71,9 +72,12 @@ def _prefix_sizes(bounds: np.ndarray, percent: int) -> np.ndarray:
 
 def _parities(flat: np.ndarray, bounds: np.ndarray) -> tuple[pa.ListArray, pa.ListArray]:
     """A short and a wide bitmap of each set."""
-    at = rows_of(bounds) * BITMAP + (flat & np.uint64(BITMAP - 1)).astype(np.int64)
-    parity = np.bincount(at, minlength=(len(bounds) - 1) * BITMAP).reshape(-1, BITMAP) & 1
-    wide = np.packbits(parity.astype(np.uint8), axis=1, bitorder="little").view("<i8")
+    wide = np.zeros((len(bounds) - 1, BITMAP // 64), dtype=np.int64)
+    for first in range(0, len(wide), SETS_AT_ONCE):
+        own = bounds[first : first + SETS_AT_ONCE + 1]
+        at = rows_of(own) * BITMAP + (flat[own[0] : own[-1]] & np.uint64(BITMAP - 1)).astype(np.int64)
+        parity = np.bincount(at, minlength=(len(own) - 1) * BITMAP).reshape(-1, BITMAP) & 1
+        wide[first : first + len(own) - 1] = np.packbits(parity.astype(np.uint8), axis=1, bitorder="little").view("<i8")
     short = np.bitwise_xor.reduce(wide.reshape(len(wide), FOLDS, -1), axis=1)
     lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
     return lists(short), lists(wide)

@@ -29,21 +29,27 @@ def map_batches(
     return frame.mapInArrow(function, schema)
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+TIDY = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
 
 
 @contextmanager
 def tidy(spark: SparkSession) -> Iterator[None]:
-    """Spark removes the shuffle files of queries that end in here; without, they stay until the driver collects garbage."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    """Settings for queries that run in here: Spark removes their shuffle files when they end, which otherwise stay
+    until the driver collects garbage, and Python workers hold few texts at a time."""
+    before = {key: spark.conf.get(key, None) for key in TIDY}
+    for key, value in TIDY.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def saved(frame: DataFrame) -> DataFrame:
