@@ -302,5 +302,5 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
                 keep.append((seen.counts > 0) & (junk <= 0.5) & (toxic <= 0.5))
             yield batch.filter(pa.array(np.concatenate(keep)))
 
-    return map_batches(docs, run, docs.schema.simpleString().removeprefix("struct<").removesuffix(">"))
+    return map_batches(docs, run, docs.schema)
 

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tagtable.session import work_folder
 
@@ -16,7 +17,7 @@ HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 
 
 def map_batches(
-    frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` whose Python workers find this package, also when only the driver's path has it.
 
