@@ -2,7 +2,7 @@
 
 Two flaws are looked for: ``junk`` (symbols, capitals, stuttering, tables, no sentences) and ``toxic`` (words
 that in a bounded sample of labelled rows occur in toxic texts only; three labellers know a third of them
-each). For each flaw every labeller votes flawed, sound or nothing on every document. The votes are counted by
+each, and speak for a text only if none has a word of it). For each flaw every labeller votes flawed, sound or nothing on every document. The votes are counted by
 pattern over all documents, and expectation-maximisation over the patterns, at most ``3 ** labellers``,
 estimates how often each labeller is right. The posteriors label a bounded sample, on which a linear scorer
 over hashed words and word shapes is trained; the scorer, not the labellers, then decides for all documents.
@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tagtable.llm.store import map_batches
+from tagtable.llm.store import map_batches, saved
 from tagtable.llm.words import LETTERS_DIGITS, NOT_BLANK, Texts, as_long, chunks, distinct_sorted, mix, sums
 
 BUCKETS = 1 << 20
@@ -91,16 +91,19 @@ class Features:
         return [*(np.where(sign, FLAWED, NOTHING) for sign in signs), np.where(clean, SOUND, NOTHING), np.where(sentences, SOUND, NOTHING)]
 
     def toxic_votes(self, lists: list[np.ndarray]) -> list[np.ndarray]:
-        """Each labeller knows one sorted list of hashes; an unknown text gets no vote if all lists are empty."""
-        out = []
+        """Each labeller knows one sorted list of hashes, and whether any list has a word of the text.
+
+        The last list has doubtful words, for which nobody votes. A text with words of other lists only tells a
+        labeller nothing; a labeller without a list never votes.
+        """
+        hits = []
         for known in lists:
-            if not len(known):
-                out.append(np.full(len(self.counts), NOTHING))
-                continue
-            at = np.minimum(np.searchsorted(known, self.vocabulary), len(known) - 1)
-            hits = sums((known[at] == self.vocabulary).astype(np.int64), self.vocabulary_bounds)
-            out.append(np.where(hits > 0, FLAWED, SOUND))
-        return out
+            hits.append(np.zeros(len(self.counts), dtype=bool))
+            if len(known):
+                at = np.minimum(np.searchsorted(known, self.vocabulary), len(known) - 1)
+                hits[-1] = sums((known[at] == self.vocabulary).astype(np.int64), self.vocabulary_bounds) > 0
+        free = np.where(~np.any(hits, axis=0), SOUND, NOTHING)
+        return [np.where(hit, FLAWED, free if len(known) else NOTHING) for hit, known in zip(hits[:-1], lists[:-1], strict=True)]
 
     def sparse(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Buckets, values and bounds of each text's features: words by presence, shapes by share."""
@@ -189,7 +192,10 @@ class Model:
 
 
 def toxic_words(docs: DataFrame, labels: DataFrame, labelled: int, words: int) -> list[np.ndarray]:
-    """Hashes of words that toxic rows of a sample of labelled rows have and others lack, dealt to three lists."""
+    """Hashes of words that toxic rows of a sample of labelled rows have and others lack, dealt to three lists.
+
+    A fourth has the doubtful ones: of so many words one may be in so few rows that are all toxic by chance.
+    """
     order = F.xxhash64("doc_id")
     half = labelled // 2
     known = labels.where("toxic is not null and doc_id is not null").select("doc_id", "toxic")
@@ -206,11 +212,14 @@ def toxic_words(docs: DataFrame, labels: DataFrame, labelled: int, words: int) -
                 arrays = [pa.array(as_long(seen.vocabulary)), pa.array(np.repeat(toxic[first:end], size))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["word", "toxic"])
 
-    counted = map_batches(chosen, run, "word long, toxic long").groupBy("word").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
+    counted = saved(map_batches(chosen, run, "word long, toxic long").groupBy("word").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")))
     good = counted.where((F.col("t") >= 3) & (F.col("t") * 20 >= F.col("n") * 19))
-    best = [r["word"] for r in good.orderBy(F.col("t").desc(), "word").limit(words).collect()]
-    hashes = np.array(best, dtype=np.int64).view(np.uint64)
-    return [np.sort(hashes[i::3]) for i in range(3)]
+    best = good.orderBy(F.col("t").desc(), "word").limit(words).collect()
+    share = min(max(sample.agg(F.avg("toxic")).first()[0] or 0.0, 1e-6), 1 - 1e-6)
+    least = np.log(max(1, counted.count())) / -np.log(share)
+    hashes = np.array([r["word"] for r in best], dtype=np.int64).view(np.uint64)
+    sure = np.array([r["t"] > least for r in best], dtype=bool)
+    return [*(np.sort(hashes[sure][i::3]) for i in range(3)), np.sort(hashes[~sure])]
 
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = 8000, words: int = 600, sample: int = 1500) -> Model:
