@@ -13,7 +13,7 @@ sets have in their beginnings put last. Two sets that link share a shingle among
 
 Only classes are asked for, so what is linked already is not compared again. First, one random group at each
 shingle is compared with the others there, as well as leaders with their members. What that links is united.
-Then all remaining pairs between different classes are made, expanded and verified. A family of near copies thus
+Then all remaining pairs between different classes, within groups too, are made, expanded and verified. A family of near copies thus
 takes as many comparisons as it has members, and no link between different classes is lost.
 
 Broadcast are frequent shingles, fewer than ``HEAVY`` of them, and a Bloom filter of fixed size of the rows whose
@@ -273,13 +273,27 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     full = saved(open_.join(short, F.col("id") == F.col("_i")).select("shingle", "id", "n", "place", "comp", F.col("b").alias("bits")))
     a, b = _suffixed(full, "a"), _suffixed(full, "b")
     met = (F.col("shinglea") == F.col("shingleb")) & (F.col("ida") < F.col("idb")) & (F.col("compa") != F.col("compb"))
-    near = a.join(b, met & _sizes_and_places(percent) & _bitmaps(percent)).select("ida", "na", "idb", "nb").distinct()
+    near = a.join(b, met & _sizes_and_places(percent) & _bitmaps(percent)).select("ida", "na", "idb", "nb")
+    near = near.union(_within_groups(grouped, sets, comps, short, percent)).distinct()
     rest = _with_room(near, wide, percent)
     more = verified(rest.join(links, ["a", "b"], "left_anti"), docs, sets, k, percent, text)
     comps = saved(components(links.union(more)))
     return _labelled(rows, sets, comps)
 
 
+def _within_groups(grouped: DataFrame, sets: DataFrame, comps: DataFrame, short: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``ida, na, idb, nb`` of members of one group that are not linked yet; no other group need have their shingles."""
+    owned = grouped.join(comps.withColumnRenamed("id", "_c"), F.col("id") == F.col("_c"), "left")
+    owned = owned.select("leader", "id", F.coalesce("comp", "id").alias("comp"))
+    mixed = owned.groupBy(F.col("leader").alias("g")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("g")
+    open_ = owned.join(mixed, F.col("leader") == F.col("g"), "left_semi")
+    sized = open_.join(sets.select(F.col("id").alias("_s"), F.col("n").cast("int").alias("n")), F.col("id") == F.col("_s")).drop("_s")
+    full = saved(sized.join(short, F.col("id") == F.col("_i")).select("leader", "id", "n", "comp", F.col("b").alias("bits")))
+    a, b = _suffixed(full, "a"), _suffixed(full, "b")
+    met = (F.col("leadera") == F.col("leaderb")) & (F.col("ida") < F.col("idb")) & (F.col("compa") != F.col("compb"))
+    return a.join(b, met & _bitmaps(percent)).select("ida", "na", "idb", "nb")
+
+
 def _with_room(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
     """Those of ``ida, na, idb, nb`` whose wide bitmaps allow a link, as ``a, b``."""
     one = pairs.join(wide.withColumnsRenamed({"_i": "_ia", "b": "widea"}), F.col("ida") == F.col("_ia"))

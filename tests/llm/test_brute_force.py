@@ -207,3 +207,16 @@ def test_sharding(spark, small):
     mean, largest = sum(sizes.values()) / 24, max(r.size for r in got)
     assert all(abs(s - mean) <= 2 * largest for s in sizes.values())
     assert all(len(s) == 1 for d, s in where.items() if len(d) * 3 < mean / 8)
+
+
+def test_followers_of_one_group_link(spark):
+    """In threes of equal size, two are near each other only; with equal prefixes the third may be their leader."""
+    texts = {}
+    for i in range(60):
+        base = [f"t{i}w{j}" for j in range(16)]
+        for j in range(3):
+            changed = 3 if j == 0 else 1
+            texts[3 * i + j] = " ".join([*base[: 16 - changed], *(f"t{i}c{j}n{x}" for x in range(changed))])
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.classes(frame, 4, 85).collect()}
+    assert got == plain_classes(texts, 4, 85)
