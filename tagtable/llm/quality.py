@@ -8,7 +8,7 @@ estimates how often each labeller is right. The posteriors label a bounded sampl
 over hashed words and word shapes is trained; the scorer, not the labellers, then decides for all documents.
 
 Bounds, all parameters of ``fit``: ``labelled`` rows of labels for the word list, ``words`` in it, ``sample``
-rows of each class to train on. Counts of votes cover all documents.
+distinct texts of each class to train on. Counts of votes cover all documents.
 
 Defined cases: a missing or empty text is junk (it has score 1); repeated rows get the same scores; documents
 without labels are treated like the rest; without any label, nothing is toxic; an empty table gives an empty
@@ -19,12 +19,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tagtable.llm.store import map_batches, saved
+from tagtable.llm.store import map_batches, saved, tidy
 from tagtable.llm.words import LETTERS_DIGITS, NOT_BLANK, Texts, as_long, chunks, distinct_sorted, mix, sums
 
 BUCKETS = 1 << 20
@@ -227,57 +228,88 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 8000, words: int = 6
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, texts in chunks(batch.column(0)):
+            for first, end, texts in chunks(batch.column(1)):
                 seen = Features(texts)
-                arrays = [pa.array(patterns_of(seen.junk_votes())), pa.array(patterns_of(seen.toxic_votes(lists)))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["junk", "toxic"])
+                arrays = [batch.column(0)[first:end], pa.array(patterns_of(seen.junk_votes())), pa.array(patterns_of(seen.toxic_votes(lists)))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["key", "junk", "toxic"])
 
-    votes = map_batches(docs.select("text"), vote, "junk long, toxic long").groupBy("junk", "toxic").count()
-    counted = votes.collect()  # at most 3 ** 12 patterns
+    votes = saved(map_batches(_keyed(docs), vote, "key long, junk long, toxic long"))
+    counted = votes.groupBy("junk", "toxic").count().collect()  # at most 3 ** 12 patterns
     model = Model(lists, {})
+    sure, priors = [], {}
     for flaw, labellers in LABELLERS.items():
         counts: dict[int, int] = {}
         for row in counted:
             counts[row[flaw]] = counts.get(row[flaw], 0) + row["count"]
-        by_pattern, prior, model.accuracy[flaw] = posteriors(counts, labellers)
-        weights, bias = _trained(docs, lists, flaw, by_pattern, counts, sample)
+        by_pattern, priors[flaw], model.accuracy[flaw] = posteriors(counts, labellers)
+        if max(by_pattern.values(), default=0.0) >= 0.9:
+            sure += [(flaw, k, p) for k, p in by_pattern.items() if p >= 0.9 or p <= 0.1]
+    trained = _trained(docs, _drawn(votes, sure, sample)) if sure else {}
+    for flaw in LABELLERS:
+        weights, bias = trained.get(flaw, (np.zeros(BUCKETS + SHAPES, np.float32), -30.0))
         # training weighs both classes alike; half of the way back to their shares favours keeping
-        model.scorers[flaw] = weights.astype(np.float32), bias + 0.5 * float(np.log(prior / (1 - prior)))
+        model.scorers[flaw] = weights, bias + 0.5 * float(np.log(priors[flaw] / (1 - priors[flaw])))
     return model
 
 
-def _trained(docs: DataFrame, lists: list[np.ndarray], flaw: str, by_pattern: dict[int, float], counts: dict[int, int], sample: int) -> tuple[np.ndarray, float]:
-    """A scorer for the sure posteriors of a flaw, from about ``sample`` rows of each class, drawn by hash."""
-    sure = {k: p for k, p in by_pattern.items() if p >= 0.9 or p <= 0.1}
-    sizes = [sum(counts[k] for k, p in sure.items() if (p > 0.5) == bad) for bad in (False, True)]
-    if not sizes[1]:
-        return np.zeros(BUCKETS + SHAPES), -30.0
-    share = [min(1.0, sample / max(1, s)) for s in sizes]
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.xxhash64("text").alias("key"), "text")
+
 
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _drawn(votes: DataFrame, sure: list[tuple[str, int, float]], sample: int) -> DataFrame:
+    """``flaw, key, target`` of the ``sample`` distinct texts of smallest hash in each class of each flaw.
+
+    Copies of a text count once, so that one text of many copies neither fills a class nor takes the others' places.
+    """
+    known = votes.sparkSession.createDataFrame(sure, "flaw string, pattern long, target double")
+    picked = []
+    for flaw in LABELLERS:
+        for bad in (False, True):
+            mine = known.where((F.col("flaw") == flaw) & ((F.col("target") > 0.5) == F.lit(bad)))
+            own = votes.select("key", F.col(flaw).alias("pattern")).join(F.broadcast(mine), "pattern")  # at most 3 ** 9 patterns
+            picked.append(own.select("flaw", "key", "target").distinct().orderBy("key").limit(sample))
+    return saved(reduce(DataFrame.unionByName, picked))
+
+
+def _trained(docs: DataFrame, drawn: DataFrame) -> dict[str, tuple[np.ndarray, float]]:
+    """A scorer for each flaw. Texts are read once for all; a task trains each scorer, the driver gets its weights."""
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Copies leave a task once."""
+        told: set[int] = set()  # drawn keys only
         for batch in batches:
-            dice = batch.column(1).to_numpy(zero_copy_only=False)
-            for first, end, texts in chunks(batch.column(0)):
-                seen = Features(texts)
-                own = patterns_of(seen.junk_votes() if flaw == "junk" else seen.toxic_votes(lists)).tolist()
-                take = [i for i, k in enumerate(own) if k in sure and dice[first + i] < share[sure[k] > 0.5]]
-                buckets, values, bounds = seen.sparse()
-                arrays = [
-                    pa.array([sure[own[i]] for i in take], pa.float64()),
-                    pa.array([buckets[bounds[i] : bounds[i + 1]] for i in take], pa.list_(pa.int32())),
-                    pa.array([values[bounds[i] : bounds[i + 1]] for i in take], pa.list_(pa.float32())),
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, names=["target", "buckets", "values"])
-
-    dice = F.pmod(F.xxhash64("text", F.lit(flaw)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    read = docs.select("text", dice.alias("dice")).where(F.col("dice") < max(share))
-    drawn = map_batches(read, draw, "target double, buckets array<int>, values array<float>")
-    rows = drawn.limit(4 * sample).toArrow()
-    buckets, values = (rows.column(i).combine_chunks() for i in (1, 2))
-    bounds = buckets.offsets.to_numpy() if len(rows) else np.zeros(1, np.int64)
-    flat = buckets.values.to_numpy() if len(rows) else np.zeros(0, np.int32)
-    of_flat = values.values.to_numpy() if len(rows) else np.zeros(0, np.float32)
-    return train(flat, of_flat, bounds.astype(np.int64), rows.column(0).to_numpy())
+            new = []
+            for key in batch.column(0).to_pylist():
+                new.append(key not in told)
+                told.add(key)
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, texts in chunks(batch.column(3)):
+                buckets, values, bounds = Features(texts).sparse()
+                cut = pa.array(bounds.astype(np.int32))
+                lists = [pa.ListArray.from_arrays(cut, pa.array(x)) for x in (buckets.astype(np.int32), values.astype(np.float32))]
+                arrays = [*(batch.column(i)[first:end] for i in range(3)), *lists]
+                yield pa.RecordBatch.from_arrays(arrays, names=["flaw", "key", "target", "buckets", "values"])
+
+    def learn(rows: pa.Table) -> pa.Table:
+        rows = rows.take(pa.array(np.argsort(rows.column("key").to_numpy(), kind="stable")))
+        buckets, values = (rows.column(c).combine_chunks() for c in ("buckets", "values"))
+        lengths = buckets.value_lengths().to_numpy()
+        bounds = np.concatenate([[0], np.cumsum(lengths)])
+        weights, bias = train(buckets.flatten().to_numpy(), values.flatten().to_numpy(), bounds, rows.column("target").to_numpy())
+        columns = {"flaw": rows.column("flaw")[:1], "weights": pa.array([weights.astype("<f4").tobytes()], pa.binary()), "bias": pa.array([float(bias)])}
+        return pa.table(columns)
+
+    keys = drawn.select("key").distinct()
+    read = map_batches(_keyed(docs).join(F.broadcast(keys), "key", "left_semi"), once, "key long, text string")
+    texts = read.groupBy("key").agg(F.min("text").alias("text"))
+    schema = "flaw string, key long, target double, buckets array<int>, values array<float>"
+    described = map_batches(drawn.join(texts, "key").select("flaw", "key", "target", "text"), describe, schema)
+    with tidy(docs.sparkSession):
+        found = described.groupBy("flaw").applyInArrow(learn, "flaw string, weights binary, bias double").collect()
+    return {r["flaw"]: (np.frombuffer(r["weights"], dtype="<f4"), r["bias"]) for r in found}
 
 
 def classify(docs: DataFrame, model: Model) -> DataFrame:

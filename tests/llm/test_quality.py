@@ -40,3 +40,15 @@ def test_toxic_rows_whose_labels_were_held_out(spark):
     clean = [r.keep for r in told if r.quality == 1 and r.toxic == 0]
     assert sum(toxic) >= 0.88 * len(toxic)
     assert sum(clean) >= 0.98 * len(clean)
+
+
+def test_many_copies_of_one_text_leave_room_for_others(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    junk = docs.join(labels.where("quality = 0").select("doc_id"), "doc_id").orderBy("doc_id").limit(1)
+    copied = docs.unionByName(junk.crossJoin(spark.range(5000).select()).select(docs.columns))
+    model = quality.fit(copied, labels, sample=100)
+    told = quality.classify(docs, model).join(labels.drop("toxic"), "doc_id").collect()
+    bad = [r.junk > 0.5 for r in told if r.quality == 0]
+    assert sum(bad) >= 0.9 * len(bad)
+    assert sum((r.junk > 0.5) == (r.quality == 0) for r in told) >= 0.95 * len(told)
