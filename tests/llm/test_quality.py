@@ -1,4 +1,6 @@
-"""Votes of the toxic labellers and toxic rows whose labels were not seen."""
+"""Votes of the toxic labellers, toxic rows whose labels were not seen, and what the scorers are trained on."""
+
+import inspect
 
 import numpy as np
 import pyarrow as pa
@@ -52,3 +54,7 @@ def test_many_copies_of_one_text_leave_room_for_others(spark):
     bad = [r.junk > 0.5 for r in told if r.quality == 0]
     assert sum(bad) >= 0.9 * len(bad)
     assert sum((r.junk > 0.5) == (r.quality == 0) for r in told) >= 0.95 * len(told)
+
+
+def test_size_of_the_training_sample():
+    assert inspect.signature(quality.fit).parameters["sample"].default == 2500
