@@ -80,7 +80,8 @@ def benchmark_windows(benchmark: DataFrame, window: int, gram: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, _, texts in chunks(batch.column(1), 1):
+            for row in range(len(batch)):
+                ((_, _, texts),) = chunks(batch.column(1).slice(row, 1))
                 spans = Spans(texts)
                 n = len(spans.hashes)
                 length = min(n, window)

@@ -151,3 +151,10 @@ def test_near_copies_go_and_clean_documents_stay(spark):
             assert ids == [*range(30), 200]
         else:
             assert ids == list(range(30))
+
+
+def test_items_of_one_letter_after_empty_ones(spark):
+    items = spark.createDataFrame([(1, ""), (2, "x"), (3, None), (4, "y"), (5, "z")], "item_id long, text string").coalesce(1)
+    docs = spark.createDataFrame([(1, "x y"), (2, "z")], "doc_id long, text string")
+    found = {r.doc_id: r["items"] for r in decontamination.find_contamination(docs, items).collect()}
+    assert found == {1: ["2", "4"], 2: ["5"]}
