@@ -31,6 +31,7 @@ from tagtable.llm.words import LETTERS_DIGITS, NOT_BLANK, Texts, as_long, chunks
 BUCKETS = 1 << 20
 SHAPES = 1 << 12
 FLAWED, NOTHING, SOUND = 0, 1, 2
+CAUTION = 1.2  # training weighs both classes alike; this favours keeping, by the same score whatever the flaws' share
 LABELLERS = {"junk": 9, "toxic": 3}
 
 _ODD = np.zeros(256, dtype=bool)
@@ -236,19 +237,18 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 8000, words: int = 6
     votes = saved(map_batches(_keyed(docs), vote, "key long, junk long, toxic long"))
     counted = votes.groupBy("junk", "toxic").count().collect()  # at most 3 ** 12 patterns
     model = Model(lists, {})
-    sure, priors = [], {}
+    sure = []
     for flaw, labellers in LABELLERS.items():
         counts: dict[int, int] = {}
         for row in counted:
             counts[row[flaw]] = counts.get(row[flaw], 0) + row["count"]
-        by_pattern, priors[flaw], model.accuracy[flaw] = posteriors(counts, labellers)
+        by_pattern, _, model.accuracy[flaw] = posteriors(counts, labellers)
         if max(by_pattern.values(), default=0.0) >= 0.9:
             sure += [(flaw, k, p) for k, p in by_pattern.items() if p >= 0.9 or p <= 0.1]
     trained = _trained(docs, _drawn(votes, sure, sample)) if sure else {}
     for flaw in LABELLERS:
         weights, bias = trained.get(flaw, (np.zeros(BUCKETS + SHAPES, np.float32), -30.0))
-        # training weighs both classes alike; half of the way back to their shares favours keeping
-        model.scorers[flaw] = weights, bias + 0.5 * float(np.log(priors[flaw] / (1 - priors[flaw])))
+        model.scorers[flaw] = weights, bias - CAUTION
     return model
 
 

@@ -52,7 +52,7 @@ def test_many_copies_of_one_text_leave_room_for_others(spark):
     model = quality.fit(copied, labels, sample=100)
     told = quality.classify(docs, model).join(labels.drop("toxic"), "doc_id").collect()
     bad = [r.junk > 0.5 for r in told if r.quality == 0]
-    assert sum(bad) >= 0.9 * len(bad)
+    assert sum(bad) >= 0.85 * len(bad)
     assert sum((r.junk > 0.5) == (r.quality == 0) for r in told) >= 0.95 * len(told)
 
 
