@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagtable.llm import archives, decontamination, fingerprints, jaccard, mixing, quality, secrets, sharding, token_counts, token_files
+from tagtable.llm import archives, decontamination, fingerprints, hard_negatives, jaccard, mixing, quality, secrets, sharding, spelling, token_counts, token_files, trie_dedup
 from tagtable.llm.store import table
 from tagtable.llm.tokenizer import public_path
 from tagtable.session import work_folder
@@ -221,3 +221,43 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
         F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@registered
+def op11_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = trie_dedup.classes(table(spark, folder, "documents"))
+    return found.select("doc_id", trie_dedup.hexadecimal(F.col("f")).alias("fingerprint"), "component_id")
+
+
+@registered
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(table(spark, folder, "documents"))
+
+
+@registered
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+SQL["op13_hard_negatives"] = """
+WITH v AS (
+    SELECT DISTINCT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike, list_inner_product(a.e, b.e)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND len(a.e) = len(b.e)
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike AND other_id <> anchor_id
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INTEGER AS rank, s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.alike
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)
+QUALIFY row_number() OVER w <= 3
+"""
