@@ -3,9 +3,10 @@
 A fingerprint has the bits that are set in over half of the XXH64 hashes (seed 42) of a text's three-word shingles,
 repeated ones included. The distinct fingerprints form a binary trie, a level for each bit. The join goes down pairs
 of nodes of one level together, adds up the bits in which their prefixes differ, and leaves a pair out as soon as
-they are over the error budget. Of at most ``radius`` differing bits at most half lie in one of the two halves of a
-fingerprint; so there are two tries, one of which has the halves swapped, and the budget is ``radius // 2`` for the
-upper 32 levels and ``radius`` below.
+they are over the error budget. The budget grows with the level: however ``radius`` differing bits lie in the four
+quarters of a fingerprint, the quarters can be turned round so that none of the first one, two and three holds more
+than its share of them. So there are four tries, one for each turn, and the first ``k`` quarters of one have a budget
+of ``k * radius // 4``: for three bits 0, 1, 2 and 3. Down to level 16 a node is then paired with itself only.
 
 The upper levels are Spark joins of tables of node pairs, four levels a round, for nodes of more than ``LEAF``
 fingerprints; a node has at most 16 children a round. Pairs of nodes of at most ``LEAF`` fingerprints together are
@@ -35,12 +36,13 @@ from tagtable.llm.store import map_batches, saved
 from tagtable.llm.words import chunks
 
 BITS = 64
-HALF = BITS // 2
+TURNS = 4
+QUARTER = BITS // TURNS
 RADIUS = 3
 WORDS = 3
 SEED = 42
 STEP = 4  # levels that Spark goes down in one round
-LEAF = 1 << 16  # fingerprints of a pair of nodes that a task joins by itself
+LEAF = 1 << 14  # fingerprints of a pair of nodes that a task joins by itself
 SEGMENT = 1 << 22  # bytes of a text that are hashed in one go
 SALTS = 1024
 _FRONTIER = 1 << 20  # pairs of nodes that a task expands in one go
@@ -124,15 +126,16 @@ def hexadecimal(f: Column) -> Column:
 
 
 def _budget(depth: int, radius: int) -> int:
-    return radius // 2 if depth <= HALF else radius
+    return -(-depth // QUARTER) * radius // TURNS
 
 
 def _prefix(x: Column, depth: int) -> Column:
     return F.shiftrightunsigned(x, BITS - depth) if depth else F.lit(0).cast("long")
 
 
-def _swapped(x: Column) -> Column:
-    return F.shiftleft(x, HALF).bitwiseOR(F.shiftrightunsigned(x, HALF))
+def _turned(x: Column, turn: int) -> Column:
+    """The bits of ``x`` with the quarter number ``turn`` in front."""
+    return F.shiftleft(x, turn * QUARTER).bitwiseOR(F.shiftrightunsigned(x, BITS - turn * QUARTER)) if turn else x
 
 
 def node_pairs(keys: DataFrame, radius: int, leaf: int) -> list[DataFrame]:
@@ -171,10 +174,7 @@ def links(prints: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFram
 
     Every row is such a link itself; of several ways to connect two fingerprints not all are given.
     """
-    if radius >= HALF:
-        raise ValueError(f"the radius must be below {HALF}")
-    f = F.col("f")
-    tries = F.explode(F.array(F.struct(F.lit(0).alias("t"), f.alias("x")), F.struct(F.lit(1).alias("t"), _swapped(f).alias("x"))))
+    tries = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), _turned(F.col("f"), t).alias("x")) for t in range(TURNS)]))
     keys = saved(prints.select("f").distinct().select(tries.alias("k")).select("k.t", "k.x"))
     done = node_pairs(keys, radius, leaf)
     depths = [STEP * i for i in range(len(done))]
@@ -191,8 +191,9 @@ def links(prints: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFram
         root = spanning(xs, group.column("depth")[0].as_py(), radius)
         member = np.flatnonzero(root != np.arange(len(xs)))
         a, b = xs[member], xs[root[member]]
-        if group.column("t")[0].as_py():
-            a, b = ((v << np.uint64(HALF)) | (v >> np.uint64(HALF)) for v in (a, b))
+        turn = group.column("t")[0].as_py() * QUARTER
+        if turn:
+            a, b = ((v >> np.uint64(turn)) | (v << np.uint64(BITS - turn)) for v in (a, b))
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return placed.groupBy("pair").applyInArrow(run, "a long, b long")
