@@ -38,13 +38,13 @@ LEAST_LENGTH = 5
 LEAST_COUNT = 3
 DROP_EVERY = 97
 
-_RUNS = re.compile("[A-Za-zÀ-ÿ]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
+_RUNS = re.compile("[a-zÀ-ÿ]+")
 #: Numbers of the code points of a lower-cased run, from 1 on.
 _DIGITS = {chr(c): i for i, c in enumerate([*range(97, 123), *range(0xC0, 0x100)], 1)}
 _BASE = len(_DIGITS) + 1
 _SHALLOW = 9  # the base to this power is below 2 ** 59
 _HELD = 200_000  # distinct words that a task counts before it hands them on
+_LONG = 1 << 20  # code points of a text whose words are not listed at once
 
 _NODES = "id long, nodes array<long>"
 
@@ -55,8 +55,11 @@ _NODES = "id long, nodes array<long>"
 def words_of(doc_id, text: str) -> Counter:
     """The words of a text with their numbers; of a run whose hash is divisible, a code point is gone."""
     found: Counter = Counter()
-    for run, n in Counter(m.group().translate(_LOWER) for m in _RUNS.finditer(text)).items():
-        h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+    text = text.encode().lower().decode()  # of bytes, this changes A-Z only
+    runs = _RUNS.findall(text) if len(text) < _LONG else (m.group() for m in _RUNS.finditer(text))
+    start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
+    for run, n in Counter(runs).items():
+        h = zlib.crc32(run.encode(), start)
         if h % DROP_EVERY == 0:
             at = h % len(run)
             run = run[:at] + run[at + 1 :]
