@@ -7,11 +7,12 @@ the end of this module (or of ``operators.joins``) do the same work.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tagtable.operators.skew import spread_join
+from tagtable.operators.skew import free_name, spread_join
 from tagtable.sources.dictionary import CodeBook
 from tagtable.specs import CODE_SEPARATOR
 
@@ -112,22 +113,71 @@ def with_code_list_names(
     """Add the decoded name list of ``column``, inlining a small dictionary and joining a large one."""
     if book.fits(INLINE_CODES):
         return frame.withColumn(name, decode_codes(column, book.entries(INLINE_CODES), on_unknown))
+    return with_names(frame, [(column, book, True, name)], on_unknown)
+
+
+def with_names(
+    frame: DataFrame, coded: Sequence[tuple[str, CodeBook, bool, str]], on_unknown: str = "truncate"
+) -> DataFrame:
+    """Add names of several coded columns, each given as ``(column, dictionary, whether it is a list, name)``.
+
+    The dictionaries are joined once, however many columns there are. Where a column has a name of the added ones, it
+    is replaced.
+    """
+    keys = [free_name(f"_key{i}", frame) for i in range(len(coded))]
+    keyed = frame.withColumns({key: code_key(coded, i, F.col(f"`{coded[i][0]}`")) for i, key in enumerate(keys)})
+    names = code_names(frame, coded, on_unknown)
+    for key, (*_, name) in zip(keys, coded, strict=True):
+        other, found = (free_name(n, keyed) for n in ("_other", "_name"))
+        keyed = spread_join(keyed, names.toDF(other, found), key, other)
+        kept = [F.col(f"`{c}`") for c in keyed.columns if c not in (key, other, found) and c.lower() != name.lower()]
+        keyed = keyed.select(*kept, F.coalesce(found, F.lit("")).alias(name))
+    return keyed
+
+
+def code_key(coded: Sequence[tuple[str, CodeBook, bool, str]], i: int, value: Column) -> Column:
+    """What ``code_names`` knows a value of the i-th coded column by; NULL for NULL."""
+    _, book, is_list, _ = coded[i]
+    own = next(j for j, (_, other, *_) in enumerate(coded) if other is book)
+    return F.concat(F.lit(f"{own}{'l' if is_list else 'c'}"), value)
+
+
+def code_names(
+    frame: DataFrame, coded: Sequence[tuple[str, CodeBook, bool, str]], on_unknown: str = "truncate"
+) -> DataFrame:
+    """``key, name`` of all distinct codes and code lists in the coded columns, by one join to the dictionaries.
+
+    Every distinct list is decoded once; a group here holds the pieces of a single list. Values without a name are
+    left out.
+    """
     _check_mode(on_unknown)
-    # Each distinct code list is decoded once; a group below holds the pieces of a single list.
-    lists = frame.select(column).where(F.col(column).isNotNull()).distinct()
-    pieces = lists.select(column, F.posexplode(F.expr(_pieces_sql(f"`{column}`"))).alias("_pos", "code"))
+    books: list[CodeBook] = []
+    for _, book, *_ in coded:
+        if not any(book is known for known in books):
+            books.append(book)
+    tag = lambda book: next(str(i) for i, (_, other, *_) in enumerate(coded) if other is book)
+    entries = reduce(DataFrame.unionAll, [b.frame.select(F.concat(F.lit(tag(b)), "code").alias("code"), "name") for b in books])
+    values = F.array(*[code_key(coded, i, F.col(f"`{column}`")) for i, (column, *_) in enumerate(coded)])
+    values = frame.select(F.explode(values).alias("key")).where("key IS NOT NULL").distinct()
+    # a key is its dictionary's number, a letter for a list or a code, and the value
+    place = F.regexp_extract("key", "^[0-9]+", 0)
+    value = F.expr("substr(key, length(place) + 2)")
+    values = values.withColumn("place", place).withColumn("value", value)
+    is_list = F.substr("key", F.length("place") + 1, F.lit(1)) == "l"
+    pieces = F.when(is_list, F.expr(_pieces_sql("value"))).otherwise(F.array("value"))
+    pieces = values.select("key", is_list.alias("is_list"), "place", F.posexplode(pieces).alias("_pos", "piece"))
+    pieces = pieces.withColumn("code", F.concat("place", "piece"))
     found = F.when(F.col("name") != "", F.struct("_pos", "name"))
-    names = (
-        pieces.join(book.frame, "code", "left")
-        .groupBy(column)
+    return (
+        pieces.join(entries, "code", "left")
+        .groupBy("key")
         .agg(
             F.array_sort(F.collect_list(found)).alias("_found"),
             F.min(F.when(F.col("name").isNull(), F.col("_pos"))).alias("_unknown"),
+            F.first("is_list").alias("is_list"),
         )
-        .select(column, F.expr(_found_names_sql(on_unknown)).alias(name))
+        .select("key", F.expr(f"if(is_list, {_found_names_sql(on_unknown)}, get(_found, 0).name)").alias("name"))
     )
-    joined = spread_join(frame, names.withColumnRenamed(column, "_codes"), column, "_codes")
-    return joined.selectExpr(*[f"`{c}`" for c in frame.columns], f"coalesce(`{name}`, '') AS `{name}`")
 
 
 def _found_names_sql(on_unknown: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tagtable.operators.skew import place_of
+from tagtable.operators.skew import free_name, place_of
 
 COPIES = "_copies"
 COPIES_PER_CHUNK = 100_000
@@ -27,10 +27,11 @@ def copied(frame: DataFrame, copies: str, repeated: bool) -> DataFrame:
     Copies are made in chunks; where a row stands for several of them (``repeated``), the chunks are dealt out to
     all tasks first.
     """
-    chunks = frame.selectExpr("*", f"{copies} AS _n").selectExpr(
-        "*", f"explode(sequence(0, (_n - 1) div {COPIES_PER_CHUNK})) AS _chunk"
+    n, chunk, copy = (free_name(name, frame) for name in ("_n", "_chunk", "_copy"))
+    chunks = frame.selectExpr("*", f"{copies} AS {n}").selectExpr(
+        "*", f"explode(sequence(0, ({n} - 1) div {COPIES_PER_CHUNK})) AS {chunk}"
     )
     if repeated:
         chunks = chunks.repartition(place_of(chunks))
-    size = f"least({COPIES_PER_CHUNK}, _n - _chunk * {COPIES_PER_CHUNK})"
-    return chunks.selectExpr("*", f"explode(sequence(1, {size})) AS _copy").drop("_n", "_chunk", "_copy", COPIES)
+    size = f"least({COPIES_PER_CHUNK}, {n} - {chunk} * {COPIES_PER_CHUNK})"
+    return chunks.selectExpr("*", f"explode(sequence(1, {size})) AS {copy}").drop(n, chunk, copy, COPIES)

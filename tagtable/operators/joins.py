@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagtable.operators.skew import Splits, join_chain, spread_join
+from tagtable.operators.skew import Grid, Splits, free_name, join_chain, spread_join
 from tagtable.sources.dictionary import CodeBook
 
 _MASK_BITS = 62
@@ -19,9 +19,10 @@ def matched(
     key: str,
     left_splits: Splits | None = None,
     right_splits: Splits | None = None,
+    grid: Grid | None = None,
 ) -> DataFrame:
-    """Rows of both sides that share a key."""
-    return join_chain(left, [right], key, "inner", left_splits, [right_splits])
+    """Rows of both sides that share a key; a measured ``grid`` cuts keys with many pairs of rows."""
+    return join_chain(left, [right], key, "inner", left_splits, [right_splits], grid)
 
 
 def presence_masks(facts: Mapping[str, DataFrame], key: str) -> tuple[DataFrame, dict[str, Column]]:
@@ -56,9 +57,13 @@ def enrich(
     key: str,
     left_splits: Splits | None = None,
     right_splits: Sequence[Splits | None] | None = None,
+    grid: Grid | None = None,
 ) -> DataFrame:
-    """Chained left joins on one key; several right rows of a key multiply the left row."""
-    joined = join_chain(left, rights, key, "left", left_splits, right_splits)
+    """Chained left joins on one key; several right rows of a key multiply the left row.
+
+    A measured ``grid`` cuts keys whose rows of all sides make many.
+    """
+    joined = join_chain(left, rights, key, "left", left_splits, right_splits, grid)
     added = [c for right in rights for c in right.columns if c != key]
     return joined.select(*left.columns, *added)
 
@@ -69,9 +74,11 @@ def lookup_default(frame: DataFrame, code: str, book: CodeBook, name: str) -> Da
     A dictionary of a checked small size is broadcast. A larger one is joined by shuffle, spread so that
     neither a popular code nor the rows without one end up in a single task.
     """
-    names = book.frame.selectExpr("code AS _code", "name AS _name")
+    known, named = free_name("_code", frame), free_name("_name", frame)
+    names = book.frame.select(F.col("code").alias(known), F.col("name").alias(named))
     if book.fits():
-        joined = frame.join(F.broadcast(names), F.col(code) == F.col("_code"), "left")
+        joined = frame.join(F.broadcast(names), F.col(f"`{code}`") == F.col(known), "left")
     else:
-        joined = spread_join(frame, names, code, "_code")
-    return joined.selectExpr(*[f"`{c}`" for c in frame.columns], f"coalesce(_name, '') AS `{name}`")
+        joined = spread_join(frame, names, code, known)
+    kept = [F.col(f"`{c}`") for c in frame.columns if c.lower() != name.lower()]
+    return joined.select(*kept, F.coalesce(named, F.lit("")).alias(name))

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagtable.functions.decode import sql_text, with_code_list_names
+from tagtable.functions.decode import INLINE_CODES, code_key, code_names, decode_code, decode_codes, sql_text
 from tagtable.operators.joins import lookup_default
+from tagtable.operators.skew import free_name, spread_join
 from tagtable.sources.dictionary import CodeBook
 from tagtable.specs import FREE, MULTI_CODE, SINGLE_CODE, TAG_SCHEMA, TAGS, YES_NO, TagSpec
 
@@ -36,26 +37,54 @@ def emit_tags(
     """The long tag table of one day.
 
     Yes/no tags get their words, code tags the names of their codes, free values no label. ``industries``
-    names the codes of code lists, ``regions`` single codes. Labels are worked out once per customer row,
-    and all tags are then emitted in one pass.
+    names the codes of code lists, ``regions`` single codes. All tags are emitted in one pass, with their labels
+    where those follow from the row or from a dictionary of a size to broadcast. Other coded values are emitted first,
+    all in one column, and get their names by one join; the first of them brings the row's other tags along.
     """
-    wide = wide.select(customer, *[s.column for s in specs])
-    emitted = []
-    for i, spec in enumerate(specs):
-        label = f"_label{i}"
-        if spec.kind == MULTI_CODE:
-            wide = with_code_list_names(wide, spec.column, industries, label, on_unknown)
-        elif spec.kind == SINGLE_CODE:
-            wide = lookup_default(wide, spec.column, regions, label)
+    coded = []
+    plain = []
+    for spec in specs:
+        column = F.col(f"`{spec.column}`")
+        if spec.kind in (MULTI_CODE, SINGLE_CODE):
+            is_list = spec.kind == MULTI_CODE
+            book = industries if is_list else regions
+            if book.fits(INLINE_CODES):
+                entries = book.entries(INLINE_CODES)
+                label = decode_codes(spec.column, entries, on_unknown) if is_list else decode_code(spec.column, entries)
+            elif book.fits() and not is_list:
+                name = free_name(f"_label{len(plain)}", wide)
+                wide, label = lookup_default(wide, spec.column, book, name), F.col(name)
+            else:
+                coded.append((spec.column, book, is_list, spec.code))
+                continue
         elif spec.kind in YES_NO:
             yes, no = YES_NO[spec.kind]
-            label = f"CASE `{spec.column}` WHEN 1 THEN {sql_text(yes)} WHEN 0 THEN {sql_text(no)} END"
+            label = F.when(column == 1, yes).when(column == 0, no)
         elif spec.kind == FREE:
-            label = "CAST(NULL AS STRING)"
+            label = F.lit(None)
         else:
             raise ValueError(f"unknown tag kind: {spec.kind}")
-        emitted.append(f"{sql_text(spec.code)}, CAST(`{spec.column}` AS STRING), {label}")
-    return wide.selectExpr(
-        f"CAST(`{customer}` AS STRING) AS CUST_ID",
-        f"stack({len(specs)}, {', '.join(emitted)}) AS (TAG_CODE, TAG_VALUE, TAG_VALUE_NAME)",
-    ).selectExpr(*TAG_SCHEMA.fieldNames()[:-1], f"{sql_text(data_date)} AS DATA_DATE")
+        plain.append(_tag(F.lit(spec.code), column, label))
+    owner = F.col(f"`{customer}`").cast("string").alias("CUST_ID")
+    others = F.array(*plain).cast(_TAGS)
+    if coded:
+        first = lambda i: others if i == 0 else F.array().cast(_TAGS)
+        items = [
+            F.struct(F.lit(code).alias("code"), F.col(f"`{c}`").cast("string").alias("value"), code_key(coded, i, F.col(f"`{c}`")).alias("key"), first(i).alias("others"))
+            for i, (c, _, _, code) in enumerate(coded)
+        ]
+        rows = wide.select(owner, F.explode(F.array(*items)).alias("t")).select("CUST_ID", "t.*")
+        names = code_names(wide, coded, on_unknown).toDF("known", "name")
+        rows = spread_join(rows, names, "key", "known")
+        others = F.concat(F.array(_tag(F.col("code"), F.col("value"), F.coalesce("name", F.lit("")))).cast(_TAGS), F.col("others"))
+    else:
+        rows, others = wide.select(owner, others.alias("others")), F.col("others")
+    emitted = rows.select("CUST_ID", F.inline(others))
+    return emitted.select(*TAG_SCHEMA.fieldNames()[:-1], F.lit(data_date).alias(TAG_SCHEMA.fieldNames()[-1]))
+
+
+_TAGS = "array<struct<TAG_CODE: string, TAG_VALUE: string, TAG_VALUE_NAME: string>>"
+
+
+def _tag(code: Column, value: Column, label: Column) -> Column:
+    return F.struct(code.alias("TAG_CODE"), value.cast("string").alias("TAG_VALUE"), label.cast("string").alias("TAG_VALUE_NAME"))

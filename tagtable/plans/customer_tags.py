@@ -24,7 +24,16 @@ def customer_tags(
 
 
 def load_customer_tags(
-    wide: DataFrame, industries: CodeBook, regions: CodeBook, run_date: str, path: str, on_unknown: str = "truncate"
+    wide: DataFrame,
+    industries: CodeBook,
+    regions: CodeBook,
+    run_date: str,
+    path: str,
+    on_unknown: str = "truncate",
+    keep: int = 0,
 ) -> None:
-    """Compute the tags of a day and put them in place of that day in the tag table at ``path``."""
-    replace_date(customer_tags(wide, industries, regions, run_date, on_unknown), path, data_date_of(run_date))
+    """Compute the tags of a day and put them in place of that day in the tag table at ``path``.
+
+    ``keep`` runs before it stay for readers (``sources.files.read_dated``) that have begun with them.
+    """
+    replace_date(customer_tags(wide, industries, regions, run_date, on_unknown), path, data_date_of(run_date), keep)

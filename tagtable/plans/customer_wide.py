@@ -8,12 +8,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from tagtable.functions.columns import contains_flag, not_blank
-from tagtable.operators.copies import copied, counted
+from tagtable.operators.copies import copied, counted, is_repeated
 from tagtable.operators.joins import presence_masks
-from tagtable.operators.skew import ROWS_PER_TASK, Splits, hot_keys, join_chain
+from tagtable.operators.skew import ROWS_PER_TASK, Grid, Splits, hot_keys, join_chain, measure_grid
 from tagtable.plans.relation import pick_relation
 from tagtable.specs import IMPORT_EXPORT_TEXT
 
+COPIES_SQUARED = "if(_has, _copies * _copies, _copies)"
 BASE_COLUMNS = ("estimate_date", "cnei_code", "cnei_sec_code", "province_code", "city_code", "county_code")
 
 
@@ -24,7 +25,7 @@ def customer_wide(
     capital: DataFrame,
     base_info: DataFrame,
     scope_text: str = IMPORT_EXPORT_TEXT,
-    splits: Mapping[str, Splits] | None = None,
+    grid: Grid | None = None,
 ) -> DataFrame:
     """Every dimension row with the flags and attributes of its customer's enterprise, NULL if it has none.
 
@@ -33,10 +34,10 @@ def customer_wide(
     ``n`` times in the dimension gets its rows ``n * n`` times.
 
     The dimension is counted per customer before the join and the copies are made after it, so repeated
-    customers do not meet in a join. The relation is joined once; customers without an enterprise go on under a
+    customers do not meet in a join; whether any are so many that the copies have to be dealt out is one number that
+    is counted here. ``grid`` cuts enterprises with many rows (``measure_enterprises``). The relation is joined once; customers without an enterprise go on under a
     key that starts with a NUL, as no enterprise's id does. Rows without a customer skip all joins.
     """
-    splits = splits or {}
     known = dimension.select("cust_id").where(F.col("cust_id").isNotNull())
     customers = counted(known, "cust_id")
     related = relation.where(F.col("entId").isNotNull())
@@ -51,16 +52,9 @@ def customer_wide(
     # customers without an enterprise stay in the chain under a key of their own, which joins nothing
     located = customers.join(related, on_customer, "left").withColumn("_has", F.col("entId").isNotNull())
     located = located.withColumn("ent_id", F.coalesce("entId", F.concat(F.lit("\0"), "cust_id"))).drop("entId")
-    enriched = join_chain(
-        located,
-        rights,
-        "ent_id",
-        "left",
-        splits.get("relation"),
-        [None, splits.get("capital"), splits.get("base_info")],
-    )
+    enriched = join_chain(located, rights, "ent_id", "left", grid=grid or Grid(None))
     only = lambda column: F.when(F.col("_has"), column)
-    rows = copied(enriched, "if(_has, _copies * _copies, _copies)", bool(splits.get("dimension")))
+    rows = copied(enriched, COPIES_SQUARED, is_repeated(customers, "_copies * _copies"))
     found = rows.select(
         "cust_id",
         F.expr("createTime AS createDate"),
@@ -74,6 +68,23 @@ def customer_wide(
     return found.unionByName(unknown, allowMissingColumns=True)
 
 
+def measure_enterprises(
+    relation_rows: DataFrame, capital: DataFrame, base_info: DataFrame, rows_per_task: int = ROWS_PER_TASK
+) -> Grid:
+    """How to cut enterprises whose customers, capital values and base rows make many rows together.
+
+    The relation is measured before one row per customer is picked; that only means some parts too many. Distinct
+    capital values are counted only if the enterprises would be cut by all values.
+    """
+    related = relation_rows.where(not_blank(F.col("entId"))).select(F.col("entId").alias("ent_id"))
+    values = capital.select("ent_id", "reg_caps2")
+    for capitals in (values, values.distinct()):
+        grid = measure_grid(related, [None, capitals, base_info], "ent_id", rows_per_task)
+        if not grid:
+            break
+    return grid
+
+
 def measure_splits(
     dimension: DataFrame,
     relation_rows: DataFrame,
@@ -81,19 +92,14 @@ def measure_splits(
     base_info: DataFrame,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> dict[str, Splits]:
-    """Hot customers and enterprises of the inputs of ``customer_wide``.
-
-    The relation is measured before one row per customer is picked; that only means some splits too many. Of the
-    capital, distinct pairs are counted, as those are joined.
-    """
+    """Hot customers and enterprises of each input of ``customer_wide``, to look at before a run."""
     keyed = {
-        "dimension": (dimension, "cust_id"),
         "relation": (relation_rows.where(not_blank(F.col("entId"))), "entId"),
         "capital": (capital.where(F.col("ent_id").isNotNull()).select("ent_id", "reg_caps2").distinct(), "ent_id"),
         "base_info": (base_info, "ent_id"),
     }
     # a customer that occurs n times comes out n * n times
-    squared = hot_keys({"dimension": keyed.pop("dimension")}, math.isqrt(rows_per_task))
+    squared = hot_keys({"dimension": (dimension, "cust_id")}, math.isqrt(rows_per_task))
     return hot_keys(keyed, rows_per_task) | squared
 
 
@@ -106,7 +112,6 @@ def build_customer_wide(
     scope_text: str = IMPORT_EXPORT_TEXT,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """``customer_wide`` from the relation's raw rows, with hot keys measured and split."""
-    splits = measure_splits(dimension, relation_rows, capital, base_info, rows_per_task)
-    relation = pick_relation(relation_rows)
-    return customer_wide(dimension, relation, facts, capital, base_info, scope_text, splits)
+    """``customer_wide`` from the relation's raw rows, with large enterprises measured and cut."""
+    grid = measure_enterprises(relation_rows, capital, base_info, rows_per_task)
+    return customer_wide(dimension, pick_relation(relation_rows), facts, capital, base_info, scope_text, grid)

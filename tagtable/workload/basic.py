@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tagtable.functions import columns as C
 from tagtable.operators.batches import map_batches
 from tagtable.operators.caching import persisted
+from tagtable.operators.joins import enrich
+from tagtable.operators.skew import hot_keys
 from tagtable.plans.relation import pick_relation
 from tagtable.session import shuffle_width, work_folder
 from tagtable.sinks import files as sinks
@@ -107,12 +109,12 @@ def snk_replace_date(t: Tables) -> DataFrame:
     """Two days are loaded, then the second one again from the table itself, with another status."""
     path = work_folder(t.spark)
     rows = t.read("orders").select("o_orderkey", "o_orderstatus")
-    sinks.replace_date(rows, path, "2024-01-30")
-    sinks.replace_date(rows, path, "2024-01-31")
+    sinks.replace_date(rows, path, "2024-01-30", keep=1)
+    sinks.replace_date(rows, path, "2024-01-31", keep=1)
     schema = T.StructType(rows.schema.fields + [T.StructField(sinks.DATE_COLUMN, T.StringType())])
-    own = sources.read_parquet(t.spark, path, schema).where(F.col(sinks.DATE_COLUMN) == "2024-01-31")
-    sinks.replace_date(own.withColumn("o_orderstatus", F.lit("rerun")), path, "2024-01-31")
-    return sources.read_parquet(t.spark, path, schema)
+    own = sources.read_dated(t.spark, path, schema).where(F.col(sinks.DATE_COLUMN) == "2024-01-31")
+    sinks.replace_date(own.withColumn("o_orderstatus", F.lit("rerun")), path, "2024-01-31", keep=1)
+    return sources.read_dated(t.spark, path, schema)
 
 
 @query(
@@ -130,7 +132,7 @@ def snk_replace_dates(t: Tables) -> DataFrame:
     sinks.replace_dates(
         rows.where(F.col(sinks.DATE_COLUMN) >= "2024-01-16").withColumn("load", F.lit(2)), path
     )
-    return sources.read_parquet(t.spark, path, rows.schema)
+    return sources.read_dated(t.spark, path, rows.schema)
 
 
 @query("snk_snapshot_refresh", "SELECT o_custkey, COUNT(*) AS orders FROM orders GROUP BY o_custkey")
@@ -280,9 +282,10 @@ def fn_contains_flag(t: Tables) -> DataFrame:
     "relation",
 )
 def fn_case(t: Tables) -> DataFrame:
-    relation = pick_relation(t.relation_rows())
+    relation = pick_relation(t.relation_rows()).select(F.col("custId").alias("cust_id"), "custName")
     flag = F.when(F.col("custName") == "5-LOW", 1).when(F.col("custName").isNotNull(), 0)
-    joined = t.dim().join(relation, F.col("cust_id") == F.col("custId"), "left")
+    splits = hot_keys({"dim": (t.dim(), "cust_id")}, nulls=True)
+    joined = enrich(t.dim(), [relation], "cust_id", splits["dim"])
     return joined.select("cust_id", flag.alias("t1")).withColumn("label", C.yes_no_label(F.col("t1"), "有", "无"))
 
 

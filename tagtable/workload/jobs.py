@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tagtable.operators.skew import hot_keys
+from tagtable.operators.skew import ROWS_PER_TASK, hot_keys
 from tagtable.plans.customer_tags import customer_tags
 from tagtable.plans.decode_preview import decode_names, decode_preview
 from tagtable.plans.extract import load_customer_extract
-from tagtable.plans.latest_campaigns import build_latest_campaigns, latest_campaigns
+from tagtable.plans.latest_campaigns import build_latest_campaigns, latest_campaigns, measure_links
 from tagtable.plans.relation import build_matched_source, pick_relation
 from tagtable.plans.snapshots import refresh_inputs
 from tagtable.session import shuffle_width, work_folder
@@ -66,14 +66,16 @@ def job_latest_campaigns(t: Tables) -> DataFrame:
 
 
 @query("job_latest_campaigns_many", CAMPAIGNS.format(source="many_source"), "many_source", "promotion")
-def job_latest_campaigns_many(t: Tables) -> DataFrame:
+def job_latest_campaigns_many(t: Tables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Customers with several enterprises: the latest day is picked among all of them."""
     source = t.read("orders").selectExpr(
         "cast(o_custkey as string) as cust_id", "cast(o_orderkey as string) as ent_id"
     )
     promotion = t.promotion()
     keyed = {"source": (source, "ent_id"), "promotion": (promotion, "ent_id"), "customer": (source, "cust_id")}
-    return latest_campaigns(source, promotion, RUN_DATE, splits=hot_keys(keyed))
+    splits = hot_keys(keyed, rows_per_task)
+    grid = measure_links(source, promotion, splits["promotion"], rows_per_task)
+    return latest_campaigns(source, promotion, RUN_DATE, splits=splits, grid=grid)
 
 
 @query("job_campaigns_from_snapshots", CAMPAIGNS.format(source="shared_source"), "shared_source", "promotion")
@@ -84,8 +86,9 @@ def job_campaigns_from_snapshots(t: Tables) -> DataFrame:
         "promotion": t.promotion().where(F.col("ent_id").isNotNull()),
     }
     taken = refresh_inputs(inputs, work_folder(t.spark), "2024-01-31")
-    splits = hot_keys({name: (frame, "ent_id") for name, frame in taken.items()})
-    return latest_campaigns(taken["source"], taken["promotion"], RUN_DATE, one_enterprise=True, splits=splits)
+    splits = hot_keys({"promotion": (taken["promotion"], "ent_id")})
+    grid = measure_links(taken["source"], taken["promotion"], splits["promotion"])
+    return latest_campaigns(taken["source"], taken["promotion"], RUN_DATE, one_enterprise=True, splits=splits, grid=grid)
 
 
 DECODED = """
@@ -148,10 +151,10 @@ def job_decode_preview(t: Tables) -> DataFrame:
               "entId" FROM customer LEFT JOIN relation_rows ON CAST(c_custkey AS VARCHAR) = "custId" """,
     "relation_rows",
 )
-def job_extract(t: Tables) -> DataFrame:
+def job_extract(t: Tables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     master = t.read("customer").selectExpr(
         "cast(c_custkey as string) as custId", "c_name as custNameCn", "c_mktsegment as createDate"
     )
     path = work_folder(t.spark)
-    load_customer_extract(master.select("custId"), master, t.relation_rows(), path)
+    load_customer_extract(master.select("custId"), master, t.relation_rows(), path, rows_per_task)
     return t.spark.read.parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tagtable.functions import decode
 from tagtable.operators import joins, perkey, tags
-from tagtable.operators.skew import ROWS_PER_TASK, hot_keys
+from tagtable.operators.skew import ROWS_PER_TASK, hot_keys, measure_grid
 from tagtable.plans.customer_wide import build_customer_wide
 from tagtable.plans.relation import pick_relation
 from tagtable.specs import FREE, HAS, IS, MULTI_CODE, SINGLE_CODE, TAGS
@@ -23,9 +23,9 @@ from tagtable.workload.tables import SCOPE_TEXT, Tables
     "relation",
 )
 def join_left(t: Tables) -> DataFrame:
-    dim, relation = t.dim(), pick_relation(t.relation_rows())
-    joined = dim.join(relation, dim["cust_id"] == relation["custId"], "left")
-    return joined.select(dim["cust_id"], relation["entId"], relation["createTime"])
+    relation = pick_relation(t.relation_rows()).select(F.col("custId").alias("cust_id"), "entId", "createTime")
+    splits = hot_keys({"dim": (t.dim(), "cust_id")}, nulls=True)
+    return joins.enrich(t.dim(), [relation], "cust_id", splits["dim"])
 
 
 @query(
@@ -35,11 +35,10 @@ def join_left(t: Tables) -> DataFrame:
     "capital",
     "base_info",
 )
-def join_left_using(t: Tables) -> DataFrame:
+def join_left_using(t: Tables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     capital = t.capital().distinct()
     base = t.base_info().select("ent_id", "estimate_date")
-    splits = hot_keys({"capital": (t.capital(), "ent_id"), "base": (base, "ent_id")}, nulls=True)
-    return joins.enrich(capital, [base], "ent_id", splits["capital"], [splits["base"]])
+    return joins.enrich(capital, [base], "ent_id", grid=measure_grid(capital, [base], "ent_id", rows_per_task, nulls=True))
 
 
 @query(
@@ -51,8 +50,7 @@ def join_left_using(t: Tables) -> DataFrame:
 def join_matched(t: Tables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     source = t.shared_relation_rows().selectExpr("custId as cust_id", "entId as ent_id")
     promotion = t.promotion().select("ent_id", "popu_plat", "modify_time")
-    splits = hot_keys({"source": (source, "ent_id"), "promotion": (promotion, "ent_id")}, rows_per_task)
-    found = joins.matched(source, promotion, "ent_id", splits["source"], splits["promotion"])
+    found = joins.matched(source, promotion, "ent_id", grid=measure_grid(source, [promotion], "ent_id", rows_per_task))
     return found.select("cust_id", "ent_id", "popu_plat", "modify_time")
 
 
@@ -82,10 +80,8 @@ def join_presence_flags(t: Tables) -> DataFrame:
 def join_enrich_chain(t: Tables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     source, capital = _many_source(t), t.capital().distinct()
     base = t.base_info().select("ent_id", "province_code", "city_code")
-    keyed = {"source": (source, "ent_id"), "capital": (capital, "ent_id"), "base": (base, "ent_id")}
-    splits = hot_keys(keyed, rows_per_task, nulls=True)
-    rights = [capital, base]
-    return joins.enrich(source, rights, "ent_id", splits["source"], [splits["capital"], splits["base"]])
+    grid = measure_grid(source, [capital, base], "ent_id", rows_per_task, nulls=True)
+    return joins.enrich(source, [capital, base], "ent_id", grid=grid)
 
 
 @query(

@@ -16,9 +16,9 @@ from tagtable.plans.latest_campaigns import build_latest_campaigns, load_latest_
 from tagtable.session import work_folder
 from tagtable.sinks.files import DATE_COLUMN
 from tagtable.sources.dictionary import CodeBook
-from tagtable.sources.files import read_parquet
+from tagtable.sources.files import read_dated
 from tagtable.specs import CAMPAIGN_SCHEMA, TAG_SCHEMA
-from tagtable.workload import relational
+from tagtable.workload import jobs, relational
 from tagtable.workload.registry import QUERIES, SQL, query
 from tagtable.workload.tables import RUN_DATE, Tables
 
@@ -31,8 +31,11 @@ def _split(name: str, build: Callable[[Tables], DataFrame]) -> None:
     SQL[f"{name}_split"] = SQL[name]
 
 
+_split("join_left_using", lambda t: relational.join_left_using(t, 1))
 _split("join_matched", lambda t: relational.join_matched(t, FEW_ROWS))
 _split("join_enrich_chain", lambda t: relational.join_enrich_chain(t, FEW_ROWS))
+_split("job_extract", lambda t: jobs.job_extract(t, FEW_ROWS))
+_split("job_latest_campaigns_many", lambda t: jobs.job_latest_campaigns_many(t, FEW_ROWS))
 _split("win_rank", lambda t: relational.win_rank(t, FEW_ROWS))
 _split("win_latest_rank", lambda t: relational.win_latest_rank(t, FEW_ROWS))
 _split("job_customer_wide", lambda t: relational.wide(t, FEW_ROWS))
@@ -81,20 +84,20 @@ def _two_days(sql: str) -> str:
 
 
 def _read_days(t: Tables, path: str, schema: T.StructType) -> DataFrame:
-    return read_parquet(t.spark, path, schema).select(*schema.fieldNames()).where(F.col(DATE_COLUMN) >= EARLIER)
+    return read_dated(t.spark, path, schema).select(*schema.fieldNames()).where(F.col(DATE_COLUMN) >= EARLIER)
 
 
 def job_load_customer_tags(t: Tables) -> DataFrame:
     path = work_folder(t.spark)
     for day in (EARLIER_RUN, RUN_DATE, RUN_DATE):
-        load_customer_tags(relational.wide(t), t.book(), t.book(), day, path)
+        load_customer_tags(relational.wide(t), t.book(), t.book(), day, path, keep=1)
     return _read_days(t, path, TAG_SCHEMA)
 
 
 def job_load_latest_campaigns(t: Tables) -> DataFrame:
     path = work_folder(t.spark)
     for day in (EARLIER_RUN, RUN_DATE, RUN_DATE):
-        load_latest_campaigns(t.dim(), t.shared_relation_rows(), t.promotion(), day, path)
+        load_latest_campaigns(t.dim(), t.shared_relation_rows(), t.promotion(), day, path, keep=1)
     return _read_days(t, path, CAMPAIGN_SCHEMA)
 
 
