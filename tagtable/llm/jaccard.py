@@ -1,23 +1,28 @@
 """N-gram Jaccard self-join of documents by grouped prefixes, and the classes that its links make.
 
 Each text is the set of its distinct ``k``-word shingles; two texts link when their sets' Jaccard similarity is
-at least ``percent`` / 100. Equal sets are one node. All sets are ordered alike: by hash, with shingles that many
-sets have in their beginnings put last. Two sets that link share a shingle among their first few, the prefix.
-
-1. Sets with the same prefix and size form a group, and one leader speaks for it.
-2. Groups that share a prefix shingle make a group pair, if sizes, places of the shingle and bitmaps of the
-   sets leave room for a link. A bitmap has the parity of the shingles by hash; bits in which two of them differ
-   are shingles that only one set has.
-3. Pairs are expanded to members and verified by the sets themselves, which are read from the texts again for
-   the nodes of pairs only.
+at least ``percent`` / 100. Equal sets are one node. All sets are ordered alike, rare shingles first: by hash those
+that at most ``COMMON`` sets have in their heads (their first shingles by hash, half as many again as a prefix has),
+behind them the others by that number. Two sets that link share a shingle among their first few, the prefix.
+
+1. Heads are posted by shingle and counted, exactly and over all sets; the counts of common shingles are joined back
+   to the sets that have them. Where a head has enough rare shingles, they are the prefix: all other rare ones come
+   later. Only sets with too few are read again and joined with the counts of all their shingles.
+2. Sets with the same prefix and size form a group, and one leader speaks for it.
+3. Groups that share a prefix shingle make a group pair, if sizes and places of the shingle leave room for a link,
+   and, for groups of one, the bitmaps of the sets. A bitmap has the parity of the shingles by hash; bits in which
+   two of them differ are shingles that only one set has. Few sets share a rare shingle, whatever the table's size,
+   so pairs grow with the sets.
+4. Pairs are expanded to members, filtered by bitmaps and verified by the sets themselves, which are read from the
+   texts again for the nodes of pairs only.
 
 Only classes are asked for, so what is linked already is not compared again. First, one random group at each
 shingle is compared with the others there, as well as leaders with their members. What that links is united.
 Then all remaining pairs between different classes, within groups too, are made, expanded and verified. A family of near copies thus
 takes as many comparisons as it has members, and no link between different classes is lost.
 
-Broadcast are frequent shingles, fewer than ``HEAVY`` of them, and a Bloom filter of fixed size of the rows whose
-sets are wanted, which only saves work. Ids and lists of documents never come to the driver.
+Broadcast is a Bloom filter of fixed size of the rows whose sets are wanted, which only saves work. Ids and lists of
+documents never come to the driver.
 
 Defined cases: a text without words, or a missing one, is an empty set, links with nothing and is its own
 class; rows of equal sets are one class, repeated rows and rows of one ``doc_id`` alike; texts of any length
@@ -36,8 +41,7 @@ from tagtable.llm.components import components
 from tagtable.llm.store import map_batches, same, saved, scratch, tidy
 from tagtable.llm.words import Texts, as_long, chunks, list_of_longs, mix, rows_of, shingle_sets, sums
 
-HEAVY = 1 << 18  # at most so many shingles are put last
-FREQUENT = 64  # a shingle in more prefixes than this is put last, if there is room
+COMMON = 8  # a shingle in more heads than this is ordered by their number, behind all rarer ones
 BITMAP = 2048  # bits of a set's bitmap, of which a short one with an eighth of them is folded
 FOLDS = 8
 FILTER_BITS = 24
@@ -111,49 +115,17 @@ def members(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
     return saved(_per_chunk(docs, made, ["node", "n"], "node binary, n long", text))
 
 
-def frequent(docs: DataFrame, k: int, percent: int, text: str = "text") -> np.ndarray:
-    """Sorted hashes of shingles that many texts have among those that may come first, fewer than ``HEAVY``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, texts in chunks(batch.column(0)):
-                flat, bounds = shingle_sets(texts, k)
-                sizes = _prefix_sizes(bounds, percent)
-                heads, _ = _first_of_each(flat, bounds, sizes + sizes // 2)
-                yield pa.RecordBatch.from_arrays([pa.array(as_long(heads))], names=["shingle"])
-
-    spark = docs.sparkSession
-    counts = map_batches(docs.select(text), run, "shingle long").groupBy("shingle").count()
-    with tidy(spark):
-        several = saved(counts.where(F.col("count") > FREQUENT))
-        # each takes more than one in HEAVY of these, so that there can't be more
-        least = (several.agg(F.sum("count")).first()[0] or 0) // HEAVY
-        found = several.where(F.col("count") > least).select("shingle").collect()
-    return np.sort(np.array([r[0] for r in found], dtype=np.int64).view(np.uint64))
-
-
-def prefixes(docs: DataFrame, rows: DataFrame, k: int, percent: int, text: str = "text") -> DataFrame:
-    """One row for each node with shingles: ``id, node, key, n, bits, wide, prefix, grouped``.
-
-    ``key`` is one row's that has the set, ``grouped`` names size and prefix.
-    """
-    last = docs.sparkSession.sparkContext.broadcast(frequent(docs, k, percent, text))
+def heads_of(docs: DataFrame, rows: DataFrame, k: int, percent: int, text: str = "text") -> DataFrame:
+    """One row for each node with shingles: ``id, node, key, n, bits, wide, heads``; ``key`` is one row's that has the set."""
 
     def made(texts: Texts) -> list[pa.Array]:
         flat, bounds = shingle_sets(texts, k)
-        sizes, row = _prefix_sizes(bounds, percent), rows_of(bounds)
-        late = np.zeros(len(flat), dtype=bool)
-        if len(last.value):
-            at = np.minimum(np.searchsorted(last.value, flat), len(last.value) - 1)
-            late = last.value[at] == flat
-        order = np.lexsort((late, row))  # stable: by hash within both kinds
-        first, cut = _first_of_each(flat[order], bounds, sizes)
-        whole = np.stack([sums(mix(first, 3), cut), sums(mix(first, 4), cut) * np.uint64(3) + mix(np.diff(bounds))], axis=1)
-        grouped = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(whole), [None, pa.py_buffer(np.ascontiguousarray(whole).tobytes())])
-        return [_names(flat, bounds), pa.array(np.diff(bounds)), *_parities(flat, bounds), list_of_longs(first, cut), grouped.cast(pa.binary())]
-
-    columns = ["node", "n", "bits", "wide", "prefix", "grouped"]
-    schema = "node binary, n long, bits array<long>, wide array<long>, prefix array<long>, grouped binary"
+        sizes = _prefix_sizes(bounds, percent)
+        heads = list_of_longs(*_first_of_each(flat, bounds, sizes + sizes // 2))
+        return [_names(flat, bounds), pa.array(np.diff(bounds)), *_parities(flat, bounds), heads]
+
+    columns = ["node", "n", "bits", "wide", "heads"]
+    schema = "node binary, n long, bits array<long>, wide array<long>, heads array<long>"
     found = _per_chunk(docs, made, columns, schema, text)
     chosen = rows.where("n > 0").groupBy(F.col("node").alias("_node")).agg(F.min("key").alias("_key"))
     own = (F.col("node") == F.col("_node")) & (F.col("key") == F.col("_key"))
@@ -161,6 +133,72 @@ def prefixes(docs: DataFrame, rows: DataFrame, k: int, percent: int, text: str =
     return saved(one.withColumn("id", F.monotonically_increasing_id()))
 
 
+def prefixes(docs: DataFrame, sets: DataFrame, k: int, percent: int, text: str = "text") -> DataFrame:
+    """``id, n, prefix, grouped`` of each set; ``grouped`` names size and prefix."""
+    posted = sets.select("id", F.explode("heads").alias("shingle"))
+    common = posted.groupBy("shingle").agg(F.count("*").alias("df")).where(F.col("df") > COMMON)
+    common = saved(common)
+
+    def choose(whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """From ``id, n``, shingles in the order of hashes, and the common ones among them with their counts."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n = batch.column(1).to_numpy()
+                sizes = n - least_overlap(n, percent) + 1
+                (flat, bounds), (known, known_bounds), (df, _) = (_ragged(batch.column(c)) for c in (2, 3, 4))
+                parts, told = [], np.zeros(len(n), dtype=bool)
+                for i, size in enumerate(sizes.tolist()):
+                    own = flat[bounds[i] : bounds[i + 1]].view(np.uint64)
+                    late = known[known_bounds[i] : known_bounds[i + 1]].view(np.uint64)
+                    order = np.argsort(late)
+                    at = np.searchsorted(late, own, sorter=order)
+                    at = order[np.minimum(at, len(late) - 1)] if len(late) else np.zeros(len(own), dtype=np.int64)
+                    hit = late[at] == own if len(late) else np.zeros(len(own), dtype=bool)
+                    if whole:
+                        rank = np.where(hit, df[known_bounds[i] : known_bounds[i + 1]][at], 0) if len(late) else np.zeros(len(own))
+                        own = own[np.argsort(rank, kind="stable")]
+                    else:
+                        own = own[~hit]
+                    told[i] = len(own) >= size
+                    parts.append(own[:size])
+                first, cut = np.concatenate([np.zeros(0, np.uint64), *parts]), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+                name = np.stack([sums(mix(first, 3), cut), sums(mix(first, 4), cut) * np.uint64(3) + mix(n.astype(np.uint64))], axis=1)
+                grouped = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(name), [None, pa.py_buffer(np.ascontiguousarray(name).tobytes())])
+                arrays = [batch.column(0), batch.column(1), list_of_longs(first, cut), grouped.cast(pa.binary()), pa.array(told)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "prefix", "grouped", "told"])
+
+        return run
+
+    def chosen(lists: DataFrame, posted: DataFrame, whole: bool) -> DataFrame:
+        met = posted.join(common, "shingle").groupBy(F.col("id").alias("_id"))
+        met = met.agg(F.collect_list(F.struct("shingle", "df")).alias("c"))
+        read = lists.join(met, F.col("id") == F.col("_id"), "left")
+        parts = (F.coalesce(f"c.{x}", F.array().cast("array<long>")).alias(x) for x in ("shingle", "df"))
+        return saved(map_batches(read.select("id", "n", "heads", *parts), choose(whole), "id long, n long, prefix array<long>, grouped binary, told boolean"))
+
+    most = chosen(sets.select("id", "n", "heads"), posted, False)
+
+    def all_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, texts in chunks(batch.column(1)):
+                flat, bounds = shingle_sets(texts, k)
+                arrays = [batch.column(0)[first:end], pa.array(np.diff(bounds)), list_of_longs(flat, bounds)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "heads"])
+
+    few = most.where("NOT told").select(F.col("id").alias("_id"))
+    with scratch(_texts_of(docs, sets, few, text)) as texts:
+        full = saved(map_batches(texts, all_of, "id long, n long, heads array<long>"))
+    rest = chosen(full, full.select("id", F.explode("heads").alias("shingle")), True)
+    return most.where("told").unionByName(rest).drop("told")
+
+
+def _ragged(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and bounds of an Arrow column of lists without missing ones."""
+    offsets = column.offsets.to_numpy()
+    return column.flatten().to_numpy(), (offsets - offsets[0]).astype(np.int64)
+
+
 def shared_shingles(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Leaders of groups by prefix shingle, where two groups or more have it; and ``leader, id`` of all groups of several.
 
@@ -197,18 +235,16 @@ def _suffixed(frame: DataFrame, side: str, *keep: str) -> DataFrame:
     return frame.select(*keep, *(F.col(c).alias(f"{c}{side}") for c in frame.columns if c not in keep))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, k: int, percent: int, text: str = "text") -> DataFrame:
-    """Those of ``a, b`` whose sets link. Texts go with the pairs, as they are smaller than their shingles."""
+def _texts_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
+    """``id, text`` of the sets whose ``_id`` is wanted, once each."""
     spark = docs.sparkSession
-    pairs = saved(pairs.select("a", "b").distinct())
-    wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
     known = saved(sets.select("id", "key").join(wanted, F.col("id") == F.col("_id"), "left_semi"))
     bit = F.pmod("key", F.lit(1 << FILTER_BITS)).cast("int")
-    marks = known.groupBy(F.shiftright(bit, 6).alias("w")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(key, {1 << FILTER_BITS}) & 63 as int)))"))
+    marks = known.groupBy(F.shiftright(bit, 6).alias("w")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(key, {1 << FILTER_BITS}) & 63 as int)))").alias("v"))
     bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
     with tidy(spark):
-        for w, v in marks.collect():  # at most 2 ** 18 numbers
-            bits[w] = v
+        held = marks.toArrow()  # at most 2 ** 18 numbers
+    bits[held.column("w").to_numpy()] = held.column("v").to_numpy()
     shared = spark.sparkContext.broadcast(bits)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,6 +256,14 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, k: int, percent
     read = docs.select(row_key("doc_id", text).alias("key"), F.col(text).alias("text"))
     kept = map_batches(read, pick, "key long, text string")
     names = known.select("id", F.col("key").alias("_key"))
+    return kept.join(names, F.col("key") == F.col("_key")).select("id", "text").dropDuplicates(["id"])
+
+
+def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, k: int, percent: int, text: str = "text") -> DataFrame:
+    """Those of ``a, b`` whose sets link. Texts go with the pairs, as they are smaller than their shingles."""
+    pairs = saved(pairs.select("a", "b").distinct())
+    wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
+
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, len(batch), PAIRS_AT_ONCE):
@@ -231,7 +275,7 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, k: int, percent
                     keep.append(overlap * 100 >= percent * (len(x) + len(y) - overlap))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    with scratch(kept.join(names, F.col("key") == F.col("_key")).select("id", "text").dropDuplicates(["id"])) as full:
+    with scratch(_texts_of(docs, sets, wanted, text)) as full:
         left = full.select(F.col("id").alias("_a"), F.col("text").alias("t1"))
         right = full.select(F.col("id").alias("_b"), F.col("text").alias("t2"))
         both = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
@@ -248,8 +292,8 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     ``key`` and ``stays`` follow: one id and text of each class stays, that of the smallest id.
     """
     rows = members(docs, k, text)
-    sets = prefixes(docs, rows, k, percent, text)
-    live, grouped = shared_shingles(sets)
+    sets = heads_of(docs, rows, k, percent, text)
+    live, grouped = shared_shingles(prefixes(docs, sets, k, percent, text))
     short, wide = (sets.select(F.col("id").alias("_i"), F.col(c).alias("b")) for c in ("bits", "wide"))
 
     # one group at each shingle with the others there, and leaders with their members
@@ -263,17 +307,21 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     links = verified(first.union(in_group), docs, sets, k, percent, text)
     comps = saved(components(links))
 
-    # all other pairs between what is not linked yet
-    listed = grouped.select(F.col("leader").alias("_leader"), F.col("id").alias("member"))
-    spread = live.join(listed, F.col("id") == F.col("_leader"), "left").withColumn("id", F.coalesce("member", "id"))
-    owned = spread.join(comps.withColumnRenamed("id", "_c"), F.col("id") == F.col("_c"), "left")
-    owned = owned.select("shingle", "id", "n", "place", F.coalesce("comp", "id").alias("comp"))
-    mixed = owned.groupBy(F.col("shingle").alias("s")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("s")
+    # all other pairs between what is not linked yet: of groups first, which have the classes of all their members
+    named = comps.withColumnsRenamed({"id": "_c", "comp": "_comp"})
+    listed = grouped.join(named, F.col("id") == F.col("_c"), "left").select("leader", "id", F.coalesce("_comp", "id").alias("comp"))
+    several = listed.groupBy(F.col("leader").alias("_leader")).agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
+    owned = live.join(several, F.col("id") == F.col("_leader"), "left").join(named, F.col("id") == F.col("_c"), "left")
+    alone = F.coalesce("_comp", "id")
+    owned = owned.select("shingle", "id", "n", "place", F.coalesce("_lo", alone).alias("lo"), F.coalesce("_hi", alone).alias("hi"), F.col("_leader").isNull().alias("single"))
+    mixed = owned.groupBy(F.col("shingle").alias("s")).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("s")
     open_ = owned.join(mixed, F.col("shingle") == F.col("s"), "left_semi")
-    full = saved(open_.join(short, F.col("id") == F.col("_i")).select("shingle", "id", "n", "place", "comp", F.col("b").alias("bits")))
+    full = saved(open_.join(short, F.col("id") == F.col("_i")).drop("_i").withColumnRenamed("b", "bits"))
     a, b = _suffixed(full, "a"), _suffixed(full, "b")
-    met = (F.col("shinglea") == F.col("shingleb")) & (F.col("ida") < F.col("idb")) & (F.col("compa") != F.col("compb"))
-    near = a.join(b, met & _sizes_and_places(percent) & _bitmaps(percent)).select("ida", "na", "idb", "nb")
+    apart = (F.col("loa") != F.col("hib")) | (F.col("lob") != F.col("hia"))
+    met = (F.col("shinglea") == F.col("shingleb")) & (F.col("ida") < F.col("idb")) & apart & _sizes_and_places(percent)
+    found = a.join(b, met & (~F.col("singlea") | ~F.col("singleb") | _bitmaps(percent)))
+    near = _expanded(saved(found.select("ida", "na", "idb", "nb").distinct()), listed, named, short, percent)
     near = near.union(_within_groups(grouped, sets, comps, short, percent)).distinct()
     rest = _with_room(near, wide, percent)
     more = verified(rest.join(links, ["a", "b"], "left_anti"), docs, sets, k, percent, text)
@@ -281,6 +329,19 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     return _labelled(rows, sets, comps)
 
 
+def _expanded(pairs: DataFrame, listed: DataFrame, named: DataFrame, short: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``ida, na, idb, nb`` of groups as those of their members that are in different classes and whose bitmaps allow a link."""
+    for side in "ab":
+        own = listed.select(F.col("leader").alias("_leader"), F.col("id").alias("_member"))
+        own = pairs.join(own, F.col(f"id{side}") == F.col("_leader"), "left").withColumn(f"id{side}", F.coalesce("_member", f"id{side}"))
+        own = own.join(named, F.col(f"id{side}") == F.col("_c"), "left").withColumn(f"comp{side}", F.coalesce("_comp", f"id{side}"))
+        pairs = own.drop("_leader", "_member", "_c", "_comp")
+    pairs = pairs.where("compa <> compb")
+    for side in "ab":
+        pairs = pairs.join(short.withColumnsRenamed({"_i": "_own", "b": f"bits{side}"}), F.col(f"id{side}") == F.col("_own")).drop("_own")
+    return pairs.where(_bitmaps(percent)).select("ida", "na", "idb", "nb")
+
+
 def _within_groups(grouped: DataFrame, sets: DataFrame, comps: DataFrame, short: DataFrame, percent: int) -> DataFrame:
     """Pairs ``ida, na, idb, nb`` of members of one group that are not linked yet; no other group need have their shingles."""
     owned = grouped.join(comps.withColumnRenamed("id", "_c"), F.col("id") == F.col("_c"), "left")
