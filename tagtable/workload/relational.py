@@ -200,6 +200,18 @@ def top_limit_by(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "top_limit_by_many",
+    """SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+       QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) <= 5000""",
+)
+def top_limit_by_many(t: Tables) -> DataFrame:
+    """Many first rows of a few large keys, which no single task ranks."""
+    rows = t.read("lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
+    order = [F.desc("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber")]
+    return perkey.limit_by(rows, ["l_returnflag"], order, 5000)
+
+
 @query(
     "srt_order_by",
     """SELECT "custId", "entId", "updateTime" FROM relation_rows

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tagtable.functions import decode
 from tagtable.operators import joins
-from tagtable.plans.customer_tags import load_customer_tags
+from tagtable.plans.customer_tags import customer_tags, load_customer_tags
 from tagtable.plans.latest_campaigns import build_latest_campaigns, load_latest_campaigns
 from tagtable.session import work_folder
 from tagtable.sinks.files import DATE_COLUMN
@@ -65,6 +65,16 @@ LARGE = """
     FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
 
+def job_customer_tags_large_dictionary(t: Tables) -> DataFrame:
+    """The tags by a dictionary that also names all parts and orders; it is joined once for all coded tags."""
+    book = CodeBook(t.dictionary().unionByName(_large_book(t).frame))
+    return customer_tags(relational.wide(t), book, book, RUN_DATE)
+
+
+QUERIES[job_customer_tags_large_dictionary.__name__] = lambda spark, folder: job_customer_tags_large_dictionary(Tables(spark, folder))
+SQL[job_customer_tags_large_dictionary.__name__] = SQL["job_customer_tags"]
+
+
 @query("tag_codes_large_dictionary", LARGE)
 def tag_codes_large_dictionary(t: Tables) -> DataFrame:
     book = _large_book(t)
