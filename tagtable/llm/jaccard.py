@@ -308,49 +308,47 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     comps = saved(components(links))
 
     # all other pairs between what is not linked yet: of groups first, which have the classes of all their members
-    named = comps.withColumnsRenamed({"id": "_c", "comp": "_comp"})
-    listed = grouped.join(named, F.col("id") == F.col("_c"), "left").select("leader", "id", F.coalesce("_comp", "id").alias("comp"))
-    several = listed.groupBy(F.col("leader").alias("_leader")).agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
-    owned = live.join(several, F.col("id") == F.col("_leader"), "left").join(named, F.col("id") == F.col("_c"), "left")
-    alone = F.coalesce("_comp", "id")
-    owned = owned.select("shingle", "id", "n", "place", F.coalesce("_lo", alone).alias("lo"), F.coalesce("_hi", alone).alias("hi"), F.col("_leader").isNull().alias("single"))
-    mixed = owned.groupBy(F.col("shingle").alias("s")).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("s")
+    everyone = _members_of(sets, grouped, comps)
+    groups = everyone.groupBy(F.col("leader").alias("_leader")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), (F.count("*") == 1).alias("single"))
+    owned = live.join(groups, F.col("id") == F.col("_leader")).drop("_leader")
+    mixed = owned.groupBy(F.col("shingle").alias("s")).agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least <> most").select("s")
     open_ = owned.join(mixed, F.col("shingle") == F.col("s"), "left_semi")
     full = saved(open_.join(short, F.col("id") == F.col("_i")).drop("_i").withColumnRenamed("b", "bits"))
     a, b = _suffixed(full, "a"), _suffixed(full, "b")
     apart = (F.col("loa") != F.col("hib")) | (F.col("lob") != F.col("hia"))
     met = (F.col("shinglea") == F.col("shingleb")) & (F.col("ida") < F.col("idb")) & apart & _sizes_and_places(percent)
     found = a.join(b, met & (~F.col("singlea") | ~F.col("singleb") | _bitmaps(percent)))
-    near = _expanded(saved(found.select("ida", "na", "idb", "nb").distinct()), listed, named, short, percent)
-    near = near.union(_within_groups(grouped, sets, comps, short, percent)).distinct()
+    near = _expanded(saved(found.select("ida", "idb", "lob", "hib").distinct()), everyone, percent)
+    near = near.union(_within_groups(everyone, percent)).distinct()
     rest = _with_room(near, wide, percent)
     more = verified(rest.join(links, ["a", "b"], "left_anti"), docs, sets, k, percent, text)
     comps = saved(components(links.union(more)))
     return _labelled(rows, sets, comps)
 
 
-def _expanded(pairs: DataFrame, listed: DataFrame, named: DataFrame, short: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``ida, na, idb, nb`` of groups as those of their members that are in different classes and whose bitmaps allow a link."""
-    for side in "ab":
-        own = listed.select(F.col("leader").alias("_leader"), F.col("id").alias("_member"))
-        own = pairs.join(own, F.col(f"id{side}") == F.col("_leader"), "left").withColumn(f"id{side}", F.coalesce("_member", f"id{side}"))
-        own = own.join(named, F.col(f"id{side}") == F.col("_c"), "left").withColumn(f"comp{side}", F.coalesce("_comp", f"id{side}"))
-        pairs = own.drop("_leader", "_member", "_c", "_comp")
-    pairs = pairs.where("compa <> compb")
-    for side in "ab":
-        pairs = pairs.join(short.withColumnsRenamed({"_i": "_own", "b": f"bits{side}"}), F.col(f"id{side}") == F.col("_own")).drop("_own")
-    return pairs.where(_bitmaps(percent)).select("ida", "na", "idb", "nb")
+def _members_of(sets: DataFrame, grouped: DataFrame, comps: DataFrame) -> DataFrame:
+    """``leader, id, n, comp, bits`` of all sets, those alone being their own leaders."""
+    led = sets.select("id", "n", "bits").join(grouped.withColumnRenamed("id", "_member"), F.col("id") == F.col("_member"), "left")
+    owned = led.join(comps.withColumnsRenamed({"id": "_c", "comp": "_comp"}), F.col("id") == F.col("_c"), "left")
+    return saved(owned.select(F.coalesce("leader", "id").alias("leader"), "id", "n", F.coalesce("_comp", "id").alias("comp"), "bits"))
 
 
-def _within_groups(grouped: DataFrame, sets: DataFrame, comps: DataFrame, short: DataFrame, percent: int) -> DataFrame:
+def _expanded(pairs: DataFrame, everyone: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``ida, na, idb, nb`` of groups as those of their members that are in different classes and whose bitmaps
+    allow a link. Members of the first group that are in the one class of the second are left out at once."""
+    a, b = _suffixed(everyone, "a"), _suffixed(everyone, "b")
+    pairs = pairs.select(F.col("ida").alias("one"), F.col("idb").alias("two"), "lob", "hib")
+    open_ = (F.col("lob") != F.col("hib")) | (F.col("compa") != F.col("lob"))
+    pairs = pairs.join(a, (F.col("one") == F.col("leadera")) & open_)
+    met = (F.col("two") == F.col("leaderb")) & (F.col("compa") != F.col("compb")) & _bitmaps(percent)
+    return pairs.join(b, met).select("ida", "na", "idb", "nb")
+
+
+def _within_groups(everyone: DataFrame, percent: int) -> DataFrame:
     """Pairs ``ida, na, idb, nb`` of members of one group that are not linked yet; no other group need have their shingles."""
-    owned = grouped.join(comps.withColumnRenamed("id", "_c"), F.col("id") == F.col("_c"), "left")
-    owned = owned.select("leader", "id", F.coalesce("comp", "id").alias("comp"))
-    mixed = owned.groupBy(F.col("leader").alias("g")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("g")
-    open_ = owned.join(mixed, F.col("leader") == F.col("g"), "left_semi")
-    sized = open_.join(sets.select(F.col("id").alias("_s"), F.col("n").cast("int").alias("n")), F.col("id") == F.col("_s")).drop("_s")
-    full = saved(sized.join(short, F.col("id") == F.col("_i")).select("leader", "id", "n", "comp", F.col("b").alias("bits")))
-    a, b = _suffixed(full, "a"), _suffixed(full, "b")
+    mixed = everyone.groupBy(F.col("leader").alias("g")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("g")
+    open_ = saved(everyone.join(mixed, F.col("leader") == F.col("g"), "left_semi"))
+    a, b = _suffixed(open_, "a"), _suffixed(open_, "b")
     met = (F.col("leadera") == F.col("leaderb")) & (F.col("ida") < F.col("idb")) & (F.col("compa") != F.col("compb"))
     return a.join(b, met & _bitmaps(percent)).select("ida", "na", "idb", "nb")
 
