@@ -1,14 +1,21 @@
 """Quality classifier: heuristic labellers, a model of their accuracies, and a hashed linear scorer.
 
-Two flaws are looked for: ``junk`` (symbols, capitals, stuttering, tables, no sentences) and ``toxic`` (words
-that in a bounded sample of labelled rows occur in toxic texts only; three labellers know a third of them
-each, and speak for a text only if none has a word of it). For each flaw every labeller votes flawed, sound or nothing on every document. The votes are counted by
+Two flaws are looked for: ``junk`` (symbols, capitals, stuttering, tables, no sentences) and ``toxic``. Five labellers
+look for toxic texts, by what occurs in toxic texts only in a bounded sample of labelled rows: three know a third of
+such words each, and speak for a text only if none has a word of it; two know stems, the beginnings of words, each from
+two overlapping thirds of the sample: sure ones, and weak ones that count from two words of a text on. They speak for
+every text without any. So labellers can contradict each other: a text may have words of no list that begin like others,
+or a stem may be one of a single sample.
+
+For each flaw every labeller votes flawed, sound or nothing on every document. The votes are counted by
 pattern over all documents, and expectation-maximisation over the patterns, at most ``3 ** labellers``,
-estimates how often each labeller is right. The posteriors label a bounded sample, on which a linear scorer
-over hashed words and word shapes is trained; the scorer, not the labellers, then decides for all documents.
+estimates how often each labeller that votes is right on flawed and on sound documents. The posteriors label a bounded
+sample, on which a linear scorer over hashed words, stems and word shapes is trained; the scorer, not the labellers,
+then decides for all documents.
 
-Bounds, all parameters of ``fit``: ``labelled`` rows of labels for the word list, ``words`` in it, ``sample``
-distinct texts of each class to train on. Counts of votes cover all documents.
+Bounds, all parameters of ``fit``: ``labelled`` rows of labels for the lists, ``words`` in a list, those of most toxic
+rows (which bounds what every task holds, not what is read), ``sample`` distinct texts of each class to train on. Counts
+of votes cover all documents.
 
 Defined cases: a missing or empty text is junk (it has score 1); repeated rows get the same scores; documents
 without labels are treated like the rest; without any label, nothing is toxic; an empty table gives an empty
@@ -26,13 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tagtable.llm.store import map_batches, saved, tidy
-from tagtable.llm.words import LETTERS_DIGITS, NOT_BLANK, Texts, as_long, chunks, distinct_sorted, mix, sums
+from tagtable.llm.words import LETTERS_DIGITS, NOT_BLANK, Texts, as_long, chunks, mix, rows_of, sums
 
 BUCKETS = 1 << 20
 SHAPES = 1 << 12
 FLAWED, NOTHING, SOUND = 0, 1, 2
 CAUTION = 1.2  # training weighs both classes alike; this favours keeping, by the same score whatever the flaws' share
 LABELLERS = {"junk": 9, "toxic": 3}
+STEM_LABELLERS = 2
+STEMS = range(3, 8)  # code points of a stem
+SURE, WEAK = 95, 80  # percent of a sign's rows that are toxic
 
 _ODD = np.zeros(256, dtype=bool)
 _ODD[[*b"!#$%&*+/<=>@[]\\^_`{|}~"]] = True
@@ -50,6 +60,15 @@ def _within(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return total[ends] - total[starts]
 
 
+def _distinct(values: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of each row's distinct values, sorted, and the bounds of the rows."""
+    order = np.lexsort((values, row))
+    values, row = values[order], row[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (values[1:] != values[:-1]) | (row[1:] != row[:-1])
+    return order[new], np.searchsorted(row[new], np.arange(rows + 1))
+
+
 class Features:
     """What labellers and the scorer look at, for a chunk of texts."""
 
@@ -79,9 +98,31 @@ class Features:
         code = first | second << np.uint64(8) | _CLASS[last] << np.uint64(16) | stutter.astype(np.uint64) << np.uint64(24)
         self.shapes = (mix(code, 5) % np.uint64(SHAPES)).astype(np.int64) + BUCKETS
         plain = texts.lower().words(LETTERS_DIGITS)
-        own, bounds = plain.hashes(), plain.bounds
-        parts = [np.sort(own[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        self.vocabulary, self.vocabulary_bounds = distinct_sorted(parts)  # distinct words of each text
+        order, self.vocabulary_bounds = _distinct(plain.hashes(), rows_of(plain.bounds), len(texts))
+        self.vocabulary = plain.hashes()[order]  # distinct words of each text
+        self._stems(plain.texts, plain.starts[order], plain.ends[order])
+
+    def _stems(self, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Distinct stems of each text: beginnings of its distinct words that are shorter than the words."""
+        points = np.flatnonzero((texts.data & 0xC0) != 0x80)  # first bytes of code points
+        first, row = np.searchsorted(points, starts), rows_of(self.vocabulary_bounds)
+        hashes, owners, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
+        for length in STEMS:
+            cut = points[np.minimum(first + length, len(points) - 1)] if len(points) else starts
+            longer = (first + length < len(points)) & (cut < ends)
+            hashes.append(mix(texts.hashes(starts[longer], cut[longer]), length))
+            owners.append(row[longer])
+            places.append(np.flatnonzero(longer))
+        values, row = np.concatenate(hashes), np.concatenate(owners)
+        order, self.stems_bounds = _distinct(values, row, len(texts))
+        self.stems = values[order]
+        # stems of two words of a text or more, and every word's stems
+        order = np.lexsort((values, row))
+        again = np.zeros(len(order), dtype=bool)
+        again[1:] = (values[order][1:] == values[order][:-1]) & (row[order][1:] == row[order][:-1])
+        twice, self.twice_bounds = _distinct(values[order][again], row[order][again], len(texts))
+        self.twice = mix(values[order][again][twice], 9)
+        self._word_stems, self._stem_words = values, np.concatenate([np.zeros(0, np.int64), *places])
 
     def junk_votes(self) -> list[np.ndarray]:
         """Seven labellers that know one sign of junk each, and two that know texts without any."""
@@ -107,25 +148,56 @@ class Features:
         free = np.where(~np.any(hits, axis=0), SOUND, NOTHING)
         return [np.where(hit, FLAWED, free if len(known) else NOTHING) for hit, known in zip(hits[:-1], lists[:-1], strict=True)]
 
+    def stem_votes(self, lists: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+        """Each labeller knows sorted hashes of sure and of weak stems; without any it never votes.
+
+        One word with a sure stem speaks against a text, or two with a weak one; a single weak one is no vote.
+        """
+        votes = []
+        for sure, weak in lists:
+            if not len(sure) + len(weak):
+                votes.append(np.full(len(self.counts), NOTHING))
+                continue
+            one, two = (sums(self._hit_words(known), self.vocabulary_bounds) for known in (sure, weak))
+            votes.append(np.where((one > 0) | (two > 1), FLAWED, np.where(two > 0, NOTHING, SOUND)))
+        return votes
+
+    def _hit_words(self, known: np.ndarray) -> np.ndarray:
+        """For each distinct word of the texts 1 if it has one of the stems."""
+        words = np.zeros(len(self.vocabulary), dtype=np.int64)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, self._word_stems), len(known) - 1)
+            words[self._stem_words[known[at] == self._word_stems]] = 1
+        return words
+
+    def _hashed(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """What the scorer knows by presence, with bounds: words, stems, and stems of several words."""
+        pairs = ((self.vocabulary, self.vocabulary_bounds), (self.stems, self.stems_bounds), (self.twice, self.twice_bounds))
+        return [((found % np.uint64(BUCKETS)).astype(np.int64), bounds) for found, bounds in pairs]
+
     def sparse(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Buckets, values and bounds of each text's features: words by presence, shapes by share."""
-        size = np.diff(self.vocabulary_bounds)
-        words = (self.vocabulary % np.uint64(BUCKETS)).astype(np.int64)
-        word_values = np.repeat(1 / np.sqrt(np.maximum(size, 1)), size)
-        row = np.repeat(np.arange(len(size)), self.counts)
+        """Buckets, values and bounds of each text's features: words and stems by presence, shapes by share."""
+        n = len(self.counts)
+        buckets, values, rows = [], [], []
+        for found, bounds in self._hashed():
+            size = np.diff(bounds)
+            buckets.append(found)
+            values.append(np.repeat(1 / np.sqrt(np.maximum(size, 1)), size))
+            rows.append(np.repeat(np.arange(n), size))
+        row = np.repeat(np.arange(n), self.counts)
         distinct, times = np.unique(row * SHAPES + self.shapes - BUCKETS, return_counts=True)
-        own, shapes = distinct // SHAPES, distinct % SHAPES + BUCKETS
-        shape_values = times / np.maximum(self.counts, 1)[own]
-        rows = np.concatenate([np.repeat(np.arange(len(size)), size), own])
-        order = np.argsort(rows, kind="stable")
-        bounds = np.searchsorted(rows[order], np.arange(len(size) + 1))
-        return np.concatenate([words, shapes])[order], np.concatenate([word_values, shape_values])[order], bounds
+        rows.append(distinct // SHAPES)
+        buckets.append(distinct % SHAPES + BUCKETS)
+        values.append(times / np.maximum(self.counts, 1)[rows[-1]])
+        row = np.concatenate(rows)
+        order = np.argsort(row, kind="stable")
+        bounds = np.searchsorted(row[order], np.arange(n + 1))
+        return np.concatenate(buckets)[order], np.concatenate(values)[order], bounds
 
     def scores(self, weights: np.ndarray, bias: float) -> np.ndarray:
-        size = np.diff(self.vocabulary_bounds)
-        words = sums(weights[(self.vocabulary % np.uint64(BUCKETS)).astype(np.int64)], self.vocabulary_bounds)
-        shapes = sums(weights[self.shapes], self.bounds)
-        z = words / np.sqrt(np.maximum(size, 1)) + shapes / np.maximum(self.counts, 1) + bias
+        z = sums(weights[self.shapes], self.bounds) / np.maximum(self.counts, 1) + bias
+        for found, bounds in self._hashed():
+            z += sums(weights[found], bounds) / np.sqrt(np.maximum(np.diff(bounds), 1))
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -140,23 +212,28 @@ def votes_of(pattern: int, labellers: int) -> list[int]:
     return [pattern // 3 ** (labellers - 1 - i) % 3 for i in range(labellers)]
 
 
-def posteriors(counts: dict[int, int], labellers: int, rounds: int = 50) -> tuple[dict[int, float], float, list[float]]:
+def posteriors(counts: dict[int, int], labellers: int, rounds: int = 100) -> tuple[dict[int, float], float, list[float]]:
     """Probability of a flaw for each pattern of votes, the share of flawed documents, each labeller's accuracy.
 
-    Expectation-maximisation; a labeller is right with its own probability whenever it votes, and a document
-    without its vote tells nothing about it. Classes count alike beforehand, or labellers that stand alone would lose
-    to the larger class whatever they say.
+    Expectation-maximisation: a labeller that votes is right with one probability on flawed documents and with another
+    on sound ones; one that only ever votes the same is right with one probability. A document without its vote tells
+    nothing about a labeller. Classes count alike beforehand, or labellers that stand alone would lose to the larger
+    class whatever they say. The accuracy is how often a vote is right.
     """
     keys = sorted(counts)
     votes = np.array([votes_of(k, labellers) for k in keys]).reshape(len(keys), labellers)
     n = np.array([counts[k] for k in keys], dtype=float)
-    right, p = np.full(labellers, 0.8), np.full(len(keys), 0.5)
+    flawed, sound = (votes == FLAWED).astype(float), (votes == SOUND).astype(float)
+    one_sided = (n @ flawed == 0) | (n @ sound == 0)
+    finds, spares, right = np.full(labellers, 0.8), np.full(labellers, 0.8), np.full(labellers, 0.8)
+    p = np.full(len(keys), 0.5)
     for _ in range(rounds):
-        trust = np.log(right / (1 - right))
-        odds = (votes == FLAWED) @ trust - (votes == SOUND) @ trust
+        odds = flawed @ np.log(finds / (1 - spares)) - sound @ np.log(spares / (1 - finds))
         p = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
-        agreed = n @ ((votes == FLAWED) * p[:, None] + (votes == SOUND) * (1 - p)[:, None])
-        right = np.clip((agreed + 4) / (n @ (votes != NOTHING) + 5), 0.55, 0.99)
+        bad, good = n * p, n * (1 - p)
+        right = (bad @ flawed + good @ sound + 4) / (n @ (flawed + sound) + 5)
+        finds = np.where(one_sided, np.maximum(right, 0.55), (bad @ flawed + 4) / (bad @ (flawed + sound) + 5))
+        spares = np.where(one_sided, np.maximum(right, 0.55), (good @ sound + 4) / (good @ (flawed + sound) + 5))
     prior = float(np.clip((p @ n + 1) / (n.sum() + 5), 0.001, 0.999))
     return dict(zip(keys, p.tolist(), strict=True)), prior, right.tolist()
 
@@ -189,56 +266,72 @@ class Model:
     """A fitted classifier; ``accuracy`` has how often each labeller is right."""
 
     lists: list[np.ndarray]
+    stems: list[tuple[np.ndarray, np.ndarray]]
     scorers: dict[str, tuple[np.ndarray, float]]
     accuracy: dict[str, list[float]] = field(default_factory=dict)
 
 
-def toxic_words(docs: DataFrame, labels: DataFrame, labelled: int, words: int) -> list[np.ndarray]:
-    """Hashes of words that toxic rows of a sample of labelled rows have and others lack, dealt to three lists.
+def toxic_signs(docs: DataFrame, labels: DataFrame, labelled: int, words: int) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]:
+    """Hashes of words, dealt to three lists, and of stems, from overlapping thirds of the rows, of toxic texts only.
 
-    A fourth has the doubtful ones: of so many words one may be in so few rows that are all toxic by chance.
+    They are looked for in a sample of labelled rows. A fourth list of words has the doubtful ones: of so many words
+    one may be in so few rows that are all toxic by chance. Of stems there are sure ones, and sure and weak ones together.
     """
     order = F.xxhash64("doc_id")
     half = labelled // 2
     known = labels.where("toxic is not null and doc_id is not null").select("doc_id", "toxic")
     picked = [known.where(cond).orderBy(order, "doc_id").limit(half) for cond in ("toxic = 1", "toxic = 0")]
     sample = picked[0].unionByName(picked[1]).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = docs.join(F.broadcast(sample), "doc_id").select("toxic", "text")  # at most `labelled` ids
+    third = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(3))
+    chosen = docs.join(F.broadcast(sample), "doc_id").select("toxic", third.alias("third"), "text")  # at most `labelled` ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for first, end, texts in chunks(batch.column(1)):
+            toxic, part = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+            for first, end, texts in chunks(batch.column(2)):
                 seen = Features(texts)
-                size = np.diff(seen.vocabulary_bounds)
-                arrays = [pa.array(as_long(seen.vocabulary)), pa.array(np.repeat(toxic[first:end], size))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["word", "toxic"])
+                for is_stem, found, bounds in ((False, seen.vocabulary, seen.vocabulary_bounds), (True, seen.stems, seen.stems_bounds)):
+                    size = np.diff(bounds)
+                    arrays = [pa.array(np.full(len(found), is_stem)), pa.array(as_long(found)), *(pa.array(np.repeat(x[first:end], size)) for x in (part, toxic))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["stem", "sign", "third", "toxic"])
 
-    counted = saved(map_batches(chosen, run, "word long, toxic long").groupBy("word").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")))
-    good = counted.where((F.col("t") >= 3) & (F.col("t") * 20 >= F.col("n") * 19))
-    best = good.orderBy(F.col("t").desc(), "word").limit(words).collect()
+    parts = map_batches(chosen, run, "stem boolean, sign long, third long, toxic long")
+    counted = saved(parts.groupBy("stem", "sign", "third").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")))
     share = min(max(sample.agg(F.avg("toxic")).first()[0] or 0.0, 1e-6), 1 - 1e-6)
-    least = np.log(max(1, counted.count())) / -np.log(share)
-    hashes = np.array([r["word"] for r in best], dtype=np.int64).view(np.uint64)
-    sure = np.array([r["t"] > least for r in best], dtype=bool)
-    return [*(np.sort(hashes[sure][i::3]) for i in range(3)), np.sort(hashes[~sure])]
+
+    def best(rows: DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """The signs that most toxic rows have, and whether that is almost always so and more than chance."""
+        summed = rows.groupBy("sign").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
+        good = summed.where((F.col("t") >= 3) & (F.col("t") * 100 >= F.col("n") * percent))
+        found = good.orderBy(F.col("t").desc(), "sign").limit(words).collect()
+        least = np.log(max(1, summed.count())) / -np.log(share)
+        hashes = np.array([r["sign"] for r in found], dtype=np.int64).view(np.uint64)
+        return hashes, np.array([r["t"] > least and r["t"] * 100 >= r["n"] * SURE for r in found], dtype=bool)
+
+    hashes, sure = best(counted.where("NOT stem"), SURE)
+    lists = [*(np.sort(hashes[sure][i::3]) for i in range(3)), np.sort(hashes[~sure])]
+    stems = []
+    for left_out in range(STEM_LABELLERS):
+        hashes, sure = best(counted.where(F.col("stem") & (F.col("third") != left_out)), WEAK)
+        stems.append((np.sort(hashes[sure]), np.sort(hashes)))
+    return lists, stems
 
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = 8000, words: int = 600, sample: int = 2500) -> Model:
-    lists = toxic_words(docs, labels, labelled, words)
+    lists, stems = toxic_signs(docs, labels, labelled, words)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, texts in chunks(batch.column(1)):
                 seen = Features(texts)
-                arrays = [batch.column(0)[first:end], pa.array(patterns_of(seen.junk_votes())), pa.array(patterns_of(seen.toxic_votes(lists)))]
+                arrays = [batch.column(0)[first:end], pa.array(patterns_of(seen.junk_votes())), pa.array(patterns_of(seen.toxic_votes(lists) + seen.stem_votes(stems)))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["key", "junk", "toxic"])
 
     votes = saved(map_batches(_keyed(docs), vote, "key long, junk long, toxic long"))
-    counted = votes.groupBy("junk", "toxic").count().collect()  # at most 3 ** 12 patterns
-    model = Model(lists, {})
+    counted = votes.groupBy("junk", "toxic").count().collect()  # at most 3 ** 14 patterns, of which few occur
+    model = Model(lists, stems, {})
     sure = []
-    for flaw, labellers in LABELLERS.items():
+    for flaw, labellers in (LABELLERS | {"toxic": LABELLERS["toxic"] + STEM_LABELLERS}).items():
         counts: dict[int, int] = {}
         for row in counted:
             counts[row[flaw]] = counts.get(row[flaw], 0) + row["count"]

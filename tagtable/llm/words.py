@@ -57,10 +57,20 @@ class Texts:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         self.data, self.offsets = data, offsets
+        self._sums: np.ndarray | None = None
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """64 bits for each range of bytes, from those bytes alone."""
+        n = len(self.data)
+        powers, inverse = _power_tables(n + 1)
+        if self._sums is None:
+            self._sums = np.zeros(n + 1, dtype=np.uint64)
+            np.cumsum(_OF_BYTE[self.data] * powers[:n], out=self._sums[1:])
+        return mix((self._sums[ends] - self._sums[starts]) * inverse[starts])
+
     def lower(self) -> Texts:
         """With A-Z in lower case."""
         return Texts(_UPPER_TO_LOWER[self.data], self.offsets)
@@ -92,11 +102,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64 bits for each word, from its bytes alone."""
-        n = len(self.texts.data)
-        powers, inverse = _power_tables(n + 1)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_OF_BYTE[self.texts.data] * powers[:n], out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * inverse[self.starts])
+        return self.texts.hashes(self.starts, self.ends)
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
