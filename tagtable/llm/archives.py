@@ -10,7 +10,7 @@ a response, the others as revisits without a payload that refer to it. Equal row
 are all responses.
 
 Defined cases: a missing page counts as empty; a missing ``page_id`` is smaller than any other and reads back
-as missing; a missing URL is left out; control characters in URLs are percent-encoded; other columns are not
+as missing; a missing URL is left out; a page of any length is one record, which its archive holds whole; control characters in URLs are percent-encoded; other columns are not
 stored; an empty table gives files without records.
 """
 
@@ -27,6 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagtable.llm.store import map_batches
+from tagtable.session import shuffle_width
 
 LEAST = 1000
 DICTIONARY_MAGIC = 0x184D2A5D  # fixed value: the skippable frame of a dictionary in a WARC file
@@ -35,8 +36,9 @@ SKIPPABLE = range(0x184D2A50, 0x184D2A60)  # fixed values: frames that decoders
 SEPARATOR = struct.pack("<II", 0x184D2A50, 0)
 DICTIONARY_BYTES = 1 << 15
 SAMPLES, SAMPLE_BYTES = 512, 1 << 22  # what a file's dictionary is trained on, at most
-SALTS = 8
+SALTS = 64
 LEVEL = 3
+ARCHIVE_BYTES = 1 << 28  # payload that an archive is made of, about
 
 
 def frame_of(block: bytes, magic: int) -> bytes:
@@ -76,8 +78,12 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def with_roles(pages: DataFrame) -> DataFrame:
-    """``page_id, url, html, digest`` and ``refers_to``, the response's page for revisits."""
+def with_roles(pages: DataFrame, parts: int | None = None) -> DataFrame:
+    """``page_id, url, html, digest`` and ``refers_to``, the response's page for revisits; dealt to ``parts`` partitions.
+
+    Rows of a payload that repeats are dealt to ``SALTS`` places. Small payloads, which have no revisits, are dealt out
+    row by row and meet no other rows.
+    """
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     read = pages.select("page_id", "url", payload.alias("html"), F.sha1(payload.cast("binary")).alias("digest"))
     large = F.octet_length("html") >= LEAST
@@ -89,17 +95,23 @@ def with_roles(pages: DataFrame) -> DataFrame:
         .select(
             F.col("digest").alias("_digest"),
             "winner",
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_own"),
         )
     )
-    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
-    joined = read.join(winners, large & (F.col("digest") == F.col("_digest")) & (salt == F.col("_salt")), "left")
+    place = F.xxhash64("page_id", "url")
+    read = read.withColumn("_key", F.when(large, F.col("digest")).otherwise(""))
+    read = read.withColumn("_salt", F.when(large, F.pmod(place, F.lit(SALTS))).otherwise(place))
+    if parts:
+        read = read.repartition(parts, "_key", "_salt")
+    joined = read.join(winners, (F.col("_key") == F.col("_digest")) & (F.col("_salt") == F.col("_own")), "left")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("winner")), F.col("winner"))
     return joined.select("page_id", "url", "html", "digest", refers.alias("refers_to"))
 
 
-def write_archives(pages: DataFrame, path: str) -> None:
-    """One archive per partition; partitions follow the size of the input."""
+def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """One archive per partition, of which there are as many as payloads of about ``archive_bytes`` need."""
+    size = pages.agg(F.sum(F.octet_length(F.col("html").cast("string")).cast("long"))).first()[0] or 0
+    parts = max(shuffle_width(pages.sparkSession), -(-size // archive_bytes))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, held, size = None, [], 0
@@ -121,7 +133,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
         if held:
             yield _rows(_start(held)[1])
 
-    map_batches(with_roles(pages), pack, "value binary").select(F.col("value").cast("string").alias("value")).write.option(
+    map_batches(with_roles(pages, parts), pack, "value binary").select(F.col("value").cast("string").alias("value")).write.option(
         "lineSep", SEPARATOR.decode()
     ).text(path)
 
