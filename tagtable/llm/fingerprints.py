@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tagtable.llm.store import map_batches, same, saved
 from tagtable.llm.words import NOT_BLANK, Texts, chunks, grams, mix, rows_of
@@ -153,6 +154,7 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
     Columns: ``doc_id, n_chars, edited_sha256`` and ``f1, f2, e1, e2, n1, n2``.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     fields = "n_chars long, edited_sha256 string, f1 long, f2 long, e1 long, e2 long, n1 long, n2 long"
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [F.col("doc_id").desc_nulls_last(), F.col("text").desc_nulls_last()]
@@ -165,30 +167,33 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
                 ids += batch.column(0)[first:end].to_pylist()
                 held += [t or "" for t in batch.column(1)[first:end].to_pylist()]
                 if len(held) > 1:
-                    yield _written(kind, ids[:-1], held[:-1], held[1:], part, None if started else held[0], None)
+                    yield _written(id_type, ids[:-1], held[:-1], held[1:], part, None if started else held[0], None)
                     ids, held, started = ids[-1:], held[-1:], True
         if held:
-            yield _written(kind, ids, held, held, part, None if started else held[0], held[0])
+            yield _written(id_type, ids, held, held, part, None if started else held[0], held[0])
 
     ends = f"doc_id {kind}, {fields}, part int, head string, tail string"
     rows = saved(map_batches(dealt.sortWithinPartitions(*by), walk, ends))
     done = rows.where(F.col("tail").isNull()).drop("part", "head", "tail")
-    # a row or two for each partition
-    edges = rows.where(F.col("head").isNotNull() | F.col("tail").isNotNull())
-    edges = edges.groupBy("part").agg(F.max("head").alias("head"), F.max("tail").alias("tail"), F.max_by("doc_id", F.col("tail").isNotNull()).alias("doc_id"))
-    ring = Window.orderBy("part")
+    # a row or two for each partition; only the partitions' numbers are put in order
+    heads = rows.where(F.col("head").isNotNull()).select(F.col("part").alias("following"), F.col("head").alias("next"))
+    tails = rows.where(F.col("tail").isNotNull()).select("part", "doc_id", "tail")
+    ring = Window.orderBy("own")
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    gaps = edges.select("doc_id", "tail", F.coalesce(F.lead("head").over(ring), F.first("head").over(whole)).alias("next"))
+    after = F.coalesce(F.lead("own").over(ring), F.first("own").over(whole)).alias("after")
+    order = rows.where(F.col("head").isNotNull()).select(F.col("part").alias("own")).select("own", after)
+    gaps = tails.join(order, F.col("part") == F.col("own")).join(heads, F.col("after") == F.col("following"))
+    gaps = gaps.select("doc_id", "tail", "next")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = _written(kind, *(batch.column(i).to_pylist() for i in range(3)), 0, None, None, in_order=False)
+            made = _written(id_type, *(batch.column(i).to_pylist() for i in range(3)), 0, None, None, in_order=False)
             yield pa.RecordBatch.from_arrays(made.columns[:9], names=made.schema.names[:9])
 
     return done.unionByName(map_batches(gaps, close, f"doc_id {kind}, {fields}"))
 
 
-def _written(kind: str, ids: list, texts: list[str], following: list[str], part: int, head: str | None, tail: str | None, in_order: bool = True) -> pa.RecordBatch:
+def _written(id_type: pa.DataType, ids: list, texts: list[str], following: list[str], part: int, head: str | None, tail: str | None, in_order: bool = True) -> pa.RecordBatch:
     """Rows of texts and the texts that follow them, of which all but the last are the next rows' if ``in_order``."""
     edited = []
     for text, after in zip(texts, following, strict=True):
@@ -199,7 +204,6 @@ def _written(kind: str, ids: list, texts: list[str], following: list[str], part:
     changed = simhash(_texts(edited)).view(np.int64)
     after = np.concatenate([own[1:], others]) if in_order else others
     numbers = [pa.array(np.ascontiguousarray(x[:, i])) for x in (own, changed, after) for i in range(2)]
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     first_only = [head] + [None] * (len(ids) - 1)
     arrays = [
         pa.array(ids, id_type),
