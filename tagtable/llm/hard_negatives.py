@@ -1,12 +1,14 @@
 """Hard negatives of anchor vectors, found by rotated one-bit codes with deterministic score intervals.
 
 Vectors become integers, ``floor(256 * x)``. Around a centre (the mean of its label in a bounded sample) a vector is
-rotated by two rounds of sign flips and a Hadamard transform, and stored as the signs of its components, one bit each,
-with its length and its alignment, the cosine between it and its code vector. An anchor is rotated likewise and cut to
-a few bits a component, so its product with a code vector is some popcounts of its bit planes. A vector is its
-alignment times the code vector plus a residual at right angles to it, so by the Cauchy-Schwarz inequality the score
-lies within an interval around the estimate, for certain: no candidate outside the wanted scores is looked at, and
-none inside is lost. What survives is scored in integers.
+rotated ``ROTATIONS`` times, each by two rounds of sign flips and a Hadamard transform, and stored as the signs of all
+rotated components, one bit each. Turned back and added up, the signs are its code vector; stored with them are the
+vector's length, the code vector's, and the alignment, the cosine between the two. An anchor is rotated likewise and
+cut to a few bits a component, so its product with a code vector is some popcounts of its bit planes. A vector is its
+alignment times its code's direction plus a residual at right angles to it, so by the Cauchy-Schwarz inequality the
+score lies within an interval around the estimate, for certain. The candidates of best estimate are scored in integers
+first, which gives the score that any other has to reach; a candidate whose interval does not reach it, or lies outside
+the wanted scores, is left out, and none is lost. What survives is scored in integers.
 
 Anchors meet all rows in blocks: a grid of row blocks and anchor blocks, each cell a group of bounded size. A row is
 copied to as many cells as there are anchor blocks, an anchor to as many as there are row blocks. A cell hands on the
@@ -16,7 +18,7 @@ Defined cases: rows without label, vector or id, or with a missing or non-finite
 vectors whose integers have a squared length of 2 ** 62 or more, whose scores might not fit a long; vectors score with
 those of their own length only; rows equal in id, label and vector are one row, others of one id are rows of their
 own, and no row is a positive of an anchor of its id; an empty table gives an empty result; other columns are not
-looked at. All results are exact; sample, planes and block sizes change only the work.
+looked at. All results are exact; sample, rotations, planes and block sizes change only the work.
 """
 
 from __future__ import annotations
@@ -34,7 +36,9 @@ SCALE = 256.0
 POSITIVES = 5
 NEGATIVES = 3
 SAMPLE = 1024  # rows that centres are made of
+ROTATIONS = 8  # signs of a vector's component
 PLANES = 6  # bits of an anchor's component
+FIRST = 16  # candidates that are scored before the others, for each anchor and block
 BLOCK_ROWS = 1 << 15
 BLOCK_ANCHORS = 1 << 12
 LEAST_ROWS = 1 << 10  # of a row block, where there are fewer blocks than tasks
@@ -42,71 +46,97 @@ _SLAB = 1 << 20  # products of anchors and rows in one go
 _MOST = float(1 << 62)
 _SLACK = 1e-9  # for the rounding of floating point numbers, relative to the vectors' lengths
 
-_CODED = "vec_id long, label long, d int, v array<long>, code binary, length double, alignment double"
+_CODED = "vec_id long, label long, d int, v array<long>, code binary, length double, code_length double, alignment double"
 
 
 # --- codes
 
 
-def _rotate(x: np.ndarray) -> np.ndarray:
-    """Rows of ``x``, filled up to a power of two, rotated; lengths and products stay."""
+def _width(d: int) -> int:
+    """The components of a rotated vector: a power of two, and whole words of bits."""
+    return max(64, 1 << max(d - 1, 1).bit_length())
+
+
+def _flips(width: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    dice = np.random.default_rng([width, turn])
+    return tuple(dice.integers(0, 2, width) * 2.0 - 1 for _ in range(2))
+
+
+def _hadamard(x: np.ndarray) -> np.ndarray:
+    n, width = x.shape
+    step = 1
+    while step < width:
+        pairs = x.reshape(n, -1, 2, step)
+        x = np.stack((pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]), axis=2).reshape(n, width)
+        step *= 2
+    return x / np.sqrt(width)
+
+
+def _rotate(x: np.ndarray, turn: int) -> np.ndarray:
+    """Rows of ``x``, filled up with zeros, rotated; lengths and products stay."""
     n, d = x.shape
-    width = max(64, 1 << max(d - 1, 1).bit_length())
-    out = np.zeros((n, width))
+    out = np.zeros((n, _width(d)))
     out[:, :d] = x
-    dice = np.random.default_rng(width)
-    for _ in range(2):
-        out *= dice.integers(0, 2, width) * 2 - 1
-        step = 1
-        while step < width:
-            pairs = out.reshape(n, -1, 2, step)
-            out = np.stack((pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]), axis=2).reshape(n, width)
-            step *= 2
-        out /= np.sqrt(width)
+    for flips in _flips(out.shape[1], turn):
+        out = _hadamard(out * flips)
     return out
 
 
-def _codes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signs of rotated rows as bits, lengths, and cosines of rows and their code vectors."""
-    turned = _rotate(x)
-    length = np.sqrt((x * x).sum(axis=1))
-    alignment = np.abs(turned).sum(axis=1) / np.sqrt(turned.shape[1])
-    alignment = np.divide(alignment, length, out=np.ones(len(x)), where=length > 0)
-    return np.packbits(turned >= 0, axis=1, bitorder="little"), length, np.minimum(alignment, 1.0)
+def _turn_back(x: np.ndarray, turn: int) -> np.ndarray:
+    for flips in reversed(_flips(x.shape[1], turn)):
+        x = _hadamard(x) * flips
+    return x
+
+
+def _codes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signs of rotated rows as bits, lengths of rows and of code vectors, and the cosines between them."""
+    bits, code = [], np.zeros(x.shape)
+    for turn in range(ROTATIONS):
+        signs = _rotate(x, turn) >= 0
+        bits.append(np.packbits(signs, axis=1, bitorder="little"))
+        code += _turn_back(signs * 2.0 - 1, turn)[:, : x.shape[1]]
+    length, code_length = (np.sqrt((v * v).sum(axis=1)) for v in (x, code))
+    both = length * code_length
+    alignment = np.divide((x * code).sum(axis=1), both, out=np.ones(len(x)), where=both > 0)
+    return np.concatenate(bits, axis=1), length, code_length, np.clip(alignment, -1.0, 1.0)
 
 
 class Asked:
     """Anchors, ready to be compared with codes: bit planes of their rotated components."""
 
     def __init__(self, anchors: np.ndarray):
-        turned = _rotate(anchors)
-        low = turned.min(axis=1, initial=0.0)
-        step = (turned.max(axis=1, initial=0.0) - low) / ((1 << PLANES) - 1)
+        turned = np.concatenate([_rotate(anchors, turn) for turn in range(ROTATIONS)], axis=1)
+        low = turned.min(axis=1)
+        step = (turned.max(axis=1) - low) / ((1 << PLANES) - 1)
         step[step == 0] = 1.0
         level = np.rint((turned - low[:, None]) / step[:, None])
-        self.width = turned.shape[1]
         self.lengths = np.sqrt((anchors * anchors).sum(axis=1))
         self.low, self.step = low, step
         rounded = low[:, None] + step[:, None] * level
         self.total = rounded.sum(axis=1)
-        self.error = np.sqrt(((turned - rounded) ** 2).sum(axis=1))
+        # of a product with signs, of which there are as many as rotated components
+        self.error = np.sqrt(((turned - rounded) ** 2).sum(axis=1)) * np.sqrt(turned.shape[1])
         level = level.astype(np.uint8)
         planes = [np.packbits(level >> b & 1, axis=1, bitorder="little").view(np.uint64) for b in range(PLANES)]
         self.planes = np.stack(planes)
 
-    def intervals(self, codes: np.ndarray, lengths: np.ndarray, alignments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def intervals(self, codes: np.ndarray, lengths: np.ndarray, code_lengths: np.ndarray, alignments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bounds of the products of all anchors and the vectors of ``codes``."""
         ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
         counts = np.zeros((len(self.total), len(codes)), dtype=np.int64)
-        for word in range(codes.shape[1]):
-            for bit in range(PLANES):
-                counts += np.bitwise_count(self.planes[bit, :, word][:, None] & codes[:, word]).astype(np.int64) << bit
-        along = 2 * (self.low[:, None] * ones + self.step[:, None] * counts) - self.total[:, None]
-        along /= np.sqrt(self.width)
-        error = self.error[:, None]
+        for bit in range(PLANES):
+            held = np.zeros(counts.shape, dtype=np.int32)
+            for word in range(codes.shape[1]):
+                held += np.bitwise_count(self.planes[bit, :, word][:, None] & codes[:, word])
+            counts += held.astype(np.int64) << bit
+        scale = np.divide(1.0, code_lengths, out=np.zeros(len(codes)), where=code_lengths > 0)
+        along = (2 * (self.low[:, None] * ones + self.step[:, None] * counts) - self.total[:, None]) * scale
+        error = self.error[:, None] * scale
         rest = self.lengths[:, None] ** 2 - np.maximum(np.abs(along) - error, 0.0) ** 2
-        rest = np.sqrt(np.maximum(rest, 0.0)) * np.sqrt(np.maximum(1 - alignments**2, 0.0))
-        width = lengths * (alignments * error + rest) + _SLACK * (1 + lengths * self.lengths[:, None])
+        # a vector without a code vector is all residual
+        apart = np.where(code_lengths > 0, np.sqrt(np.maximum(1 - alignments**2, 0.0)), 1.0)
+        rest = np.sqrt(np.maximum(rest, 0.0)) * apart
+        width = lengths * (np.abs(alignments) * error + rest) + _SLACK * (1 + lengths * self.lengths[:, None])
         middle = lengths * alignments * along
         return middle - width, middle + width
 
@@ -139,16 +169,16 @@ def code_vectors(vectors: DataFrame, middles: dict[tuple[int, int], np.ndarray])
             sizes = np.diff(rows.offsets.to_numpy())
             flat, starts = rows.flatten().to_numpy().astype(float), np.cumsum(sizes) - sizes
             labels = batch.column(1).to_numpy()
-            codes, lengths, alignments = [b""] * len(sizes), np.zeros(len(sizes)), np.ones(len(sizes))
+            codes, lengths, code_lengths, alignments = [b""] * len(sizes), *(np.zeros(len(sizes)) for _ in range(3))
             for d in np.unique(sizes).tolist():
                 of = np.flatnonzero(sizes == d)
                 x = flat[starts[of][:, None] + np.arange(d)]
                 x = x - np.stack([middles.get((label, d), np.zeros(d)) for label in labels[of].tolist()])
-                bits, lengths[of], alignments[of] = _codes(x)
+                bits, lengths[of], code_lengths[of], alignments[of] = _codes(x)
                 for i, code in zip(of.tolist(), bits, strict=True):
                     codes[i] = code.tobytes()
-            arrays = [*batch.columns[:2], pa.array(sizes.astype(np.int32)), rows, pa.array(codes, pa.binary()), pa.array(lengths), pa.array(alignments)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["vec_id", "label", "d", "v", "code", "length", "alignment"])
+            arrays = [*batch.columns[:2], pa.array(sizes.astype(np.int32)), rows, pa.array(codes, pa.binary()), pa.array(lengths), pa.array(code_lengths), pa.array(alignments)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["vec_id", "label", "d", "v", "code", "length", "code_length", "alignment"])
 
     return map_batches(vectors, run, _CODED)
 
@@ -165,7 +195,7 @@ class Cell:
         self.anchor_ids, self.anchor_labels = (anchors.column(c).to_numpy() for c in ("vec_id", "label"))
         self.vectors, self.anchors = _matrix(rows, d), _matrix(anchors, d)
         self.codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint64).reshape(rows.num_rows, -1)
-        self.lengths, self.alignments = (rows.column(c).to_numpy() for c in ("length", "alignment"))
+        self.coded = [rows.column(c).to_numpy() for c in ("length", "code_length", "alignment")]
         names, self.centre_of = np.unique(self.labels, return_inverse=True)
         self.centres = np.stack([middles.get((label, d), np.zeros(d)) for label in names.tolist()])
         # products are below 2 ** 62 in any case; below 2 ** 53 sums of doubles are exact, and faster
@@ -184,12 +214,22 @@ class Cell:
             for first in range(0, len(anchors), step):
                 part = anchors[first : first + step]
                 q = self.anchors[part].astype(float)
-                low, high = Asked(q).intervals(self.codes[rows], self.lengths[rows], self.alignments[rows])
+                low, high = Asked(q).intervals(self.codes[rows], *(c[rows] for c in self.coded))
                 shift = (q @ self.centres.T)[:, self.centre_of[rows]]
                 slack = _SLACK * (1 + np.abs(shift))
                 allowed = self.ids[rows] != self.anchor_ids[part][:, None] if same_label else np.ones(low.shape, bool)
                 yield part, rows, allowed, low + shift - slack, high + shift + slack
 
+    def reached(self, anchors: np.ndarray, rows: np.ndarray, order: np.ndarray, n: int, least=-np.inf, most=np.inf) -> np.ndarray:
+        """For each anchor a score that its ``n``-th best wanted row reaches, from the rows of largest ``order``."""
+        k = min(FIRST, order.shape[1])
+        if k < n:
+            return np.full((len(anchors), 1), -np.inf)
+        best = np.argpartition(-order, k - 1, axis=1)[:, :k]
+        scores = np.einsum("ad,akd->ak", self.anchors[anchors], self.vectors[rows[best]]).astype(float)
+        wanted = (scores >= least) & (scores <= most) & (np.take_along_axis(order, best, axis=1) > -np.inf)
+        return np.sort(np.where(wanted, scores, -np.inf), axis=1)[:, -n, None]
+
     def scores(self, anchors: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places in ``anchors`` and ``rows`` of the ``wanted`` pairs, and their scores in integers."""
         columns = np.flatnonzero(wanted.any(axis=0))
@@ -203,14 +243,6 @@ def _matrix(table: pa.Table, d: int) -> np.ndarray:
     return column.flatten().to_numpy().astype(np.int64).reshape(table.num_rows, d)
 
 
-def _least(bounds: np.ndarray, sure: np.ndarray, n: int) -> np.ndarray:
-    """For each row of ``bounds`` the n-th largest among the ``sure`` ones, below everything if there are fewer."""
-    if bounds.shape[1] < n:
-        return np.full((len(bounds), 1), -np.inf)
-    held = np.where(sure, bounds, -np.inf)
-    return np.partition(held, bounds.shape[1] - n, axis=1)[:, bounds.shape[1] - n, None]
-
-
 def _first(group: np.ndarray, scores: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
     """Positions of the ``n`` best of every group, by falling score, then by id."""
     order = np.lexsort((ids, -scores, group))
@@ -264,7 +296,8 @@ def mine(
         if left.num_rows and right.num_rows:
             cell, keys = Cell(left, right, middles), right.column("anchor").to_numpy()
             for part, rows, allowed, low, high in cell.slabs(same_label=True):
-                wanted = allowed & (high >= _least(low, allowed, positives))
+                reached = cell.reached(part, rows, np.where(allowed, low + high, -np.inf), positives)
+                wanted = allowed & (high >= reached)
                 i, j, scores = cell.scores(part, rows, wanted)
                 best = _first(i, scores, cell.ids[rows[j]], positives)
                 i, j = part[i[best]], rows[j[best]]
@@ -291,10 +324,10 @@ def mine(
                     # the least and the largest integer score allowed
                     least = np.array([-(-lowest * s // 100) for s in scores_of.tolist()], dtype=np.int64)[:, None]
                     most = np.array([highest * s // 100 for s in scores_of.tolist()], dtype=np.int64)[:, None]
-                    lo, hi = low[part_with], high[part_with]
-                    sure = (lo >= least) & (hi <= most)
-                    candidates = (hi >= np.maximum(least, _least(lo, sure, negatives))) & (lo <= most)
-                    some = part[part_with]
+                    lo, hi, some = low[part_with], high[part_with], part[part_with]
+                    order = np.where((lo + hi) / 2 <= most, lo + hi, -np.inf)
+                    reached = cell.reached(some, rows, order, negatives, least, most)
+                    candidates = (hi >= np.maximum(least, reached)) & (lo <= most)
                     i, j, scores = cell.scores(some, rows, candidates)
                     right_ones = (scores >= least[i, 0]) & (scores <= most[i, 0])
                     i, j, scores = i[right_ones], j[right_ones], scores[right_ones]
