@@ -14,7 +14,7 @@ from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType, StructType, VariantType
+from pyspark.sql.types import ArrayType, DataType, DecimalType, DoubleType, FloatType, MapType, StructType, VariantType
 
 from tagtable.session import work_folder
 
@@ -84,10 +84,13 @@ Splits = Mapping[str | None, int]
 
 
 def key_text(frame: DataFrame, key: str) -> Column:
-    """The key as text, equal for keys that join: both zeros of floating point numbers are written alike."""
-    column = F.col(f"`{key}`")
-    floating = isinstance(frame.schema[key].dataType, (FloatType, DoubleType))
-    return (column + F.lit(0.0) if floating else column).cast("string")
+    """The key as text, equal for keys that join: both zeros of floating point numbers, and decimals of any scale, are
+    written alike."""
+    column, kind = F.col(f"`{key}`"), frame.schema[key].dataType
+    if isinstance(kind, (FloatType, DoubleType)):
+        return (column + F.lit(0.0)).cast("string")
+    text = column.cast("string")
+    return F.regexp_replace(text, r"\.?0+$", "") if isinstance(kind, DecimalType) and kind.scale else text
 
 
 def hot_keys(

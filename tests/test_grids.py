@@ -91,6 +91,14 @@ def test_zeros_of_both_signs_meet(spark):
     assert grid and skew.join_chain(left, [right], "key", "inner", grid=grid).count() == left.join(right, "key").count() == 400
 
 
+def test_decimals_of_two_scales_meet(spark):
+    left = spark.range(120).selectExpr("cast(id % 3 * 10 AS decimal(10, 1)) / 4 AS key", "id AS a").selectExpr("cast(key AS decimal(10, 1)) AS key", "a")
+    right = spark.range(60).selectExpr("cast(cast(id % 3 * 10 AS decimal(10, 1)) / 4 AS decimal(12, 3)) AS key", "id AS b")
+    grid = skew.measure_grid(left, [right], "key", 50)
+    assert grid.frame.count() == 3
+    assert skew.join_chain(left, [right], "key", "inner", grid=grid).count() == left.join(right, "key").count() == 2400
+
+
 def test_fifty_thousand_hot_keys(spark, rows):
     left = spark.range(200_000).selectExpr("concat('k', id % 50000) AS key", "id AS a")
     right = spark.range(60_000).selectExpr("concat('k', id % 60000) AS key", "id AS b")
