@@ -309,7 +309,7 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
 
     # all other pairs between what is not linked yet: of groups first, which have the classes of all their members
     everyone = _members_of(sets, grouped, comps)
-    groups = everyone.groupBy(F.col("leader").alias("_leader")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), (F.count("*") == 1).alias("single"))
+    groups = everyone.groupBy(F.col("leader").alias("_leader")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many"))
     owned = live.join(groups, F.col("id") == F.col("_leader")).drop("_leader")
     mixed = owned.groupBy(F.col("shingle").alias("s")).agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least <> most").select("s")
     open_ = owned.join(mixed, F.col("shingle") == F.col("s"), "left_semi")
@@ -317,8 +317,10 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     a, b = _suffixed(full, "a"), _suffixed(full, "b")
     apart = (F.col("loa") != F.col("hib")) | (F.col("lob") != F.col("hia"))
     met = (F.col("shinglea") == F.col("shingleb")) & (F.col("ida") < F.col("idb")) & apart & _sizes_and_places(percent)
-    found = a.join(b, met & (~F.col("singlea") | ~F.col("singleb") | _bitmaps(percent)))
-    near = _expanded(saved(found.select("ida", "idb", "lob", "hib").distinct()), everyone, percent)
+    found = a.join(b, met & ((F.col("manya") > 1) | (F.col("manyb") > 1) | _bitmaps(percent)))
+    smaller, larger = (lambda c, s=s: F.when((F.col("manya") <= F.col("manyb")) == F.lit(s), F.col(f"{c}a")).otherwise(F.col(f"{c}b")) for s in (True, False))
+    found = found.select(smaller("id").alias("one"), larger("id").alias("two"), larger("lo").alias("lo"), larger("hi").alias("hi")).distinct()
+    near = _expanded(saved(found), everyone, percent)
     near = near.union(_within_groups(everyone, percent)).distinct()
     rest = _with_room(near, wide, percent)
     more = verified(rest.join(links, ["a", "b"], "left_anti"), docs, sets, k, percent, text)
@@ -334,11 +336,11 @@ def _members_of(sets: DataFrame, grouped: DataFrame, comps: DataFrame) -> DataFr
 
 
 def _expanded(pairs: DataFrame, everyone: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``ida, na, idb, nb`` of groups as those of their members that are in different classes and whose bitmaps
-    allow a link. Members of the first group that are in the one class of the second are left out at once."""
+    """Pairs ``ida, na, idb, nb`` of members of groups ``one, two`` that are in different classes and whose bitmaps allow
+    a link. The group of fewer members goes first, without those in the one class (``lo`` is ``hi``) of the other; members
+    of the other are compared as they are joined."""
     a, b = _suffixed(everyone, "a"), _suffixed(everyone, "b")
-    pairs = pairs.select(F.col("ida").alias("one"), F.col("idb").alias("two"), "lob", "hib")
-    open_ = (F.col("lob") != F.col("hib")) | (F.col("compa") != F.col("lob"))
+    open_ = (F.col("lo") != F.col("hi")) | (F.col("compa") != F.col("lo"))
     pairs = pairs.join(a, (F.col("one") == F.col("leadera")) & open_)
     met = (F.col("two") == F.col("leaderb")) & (F.col("compa") != F.col("compb")) & _bitmaps(percent)
     return pairs.join(b, met).select("ida", "na", "idb", "nb")
