@@ -149,3 +149,31 @@ def test_a_weak_stem_counts_from_two_words_on():
     (votes,) = seen.stem_votes([(np.zeros(0, np.uint64), known)])
     assert votes.tolist() == [quality.FLAWED, quality.NOTHING, quality.FLAWED, quality.SOUND]
     assert np.diff(seen.twice_bounds).tolist() == [1, 0, 1, 0]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_mutated_templates_and_shared_passages(spark, seed):
+    """Groups of several sizes and classes, sets near to one of them only, and passages that unrelated texts share."""
+    import random
+
+    from test_brute_force import plain_classes
+
+    from tagtable.llm import jaccard
+
+    rng = random.Random(seed)
+    passages = [[f"p{i}w{j}" for j in range(12)] for i in range(3)]
+    texts = {}
+    for t in range(14):
+        base = [f"t{t}w{j}" for j in range(rng.randrange(14, 60))]
+        for _ in range(rng.choice([1, 2, 3, 25])):
+            words = list(base)
+            for _ in range(rng.randrange(0, 4)):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(6)}"
+            if rng.random() < 0.5:
+                at = rng.randrange(len(words))
+                words[at:at] = rng.choice(passages)
+            texts[len(texts)] = " ".join(words)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    for k, percent in ((4, 85), (5, 80), (1, 50)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.classes(frame, k, percent).collect()}
+        assert got == plain_classes(texts, k, percent)
