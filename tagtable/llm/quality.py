@@ -41,7 +41,7 @@ FLAWED, NOTHING, SOUND = 0, 1, 2
 CAUTION = 1.2  # training weighs both classes alike; this favours keeping, by the same score whatever the flaws' share
 LABELLERS = {"junk": 9, "toxic": 3}
 STEM_LABELLERS = 2
-STEMS = range(3, 8)  # code points of a stem
+STEMS = (3, 5, 7)  # code points of a stem
 SURE, WEAK = 95, 80  # percent of a sign's rows that are toxic
 
 _ODD = np.zeros(256, dtype=bool)
@@ -60,13 +60,30 @@ def _within(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return total[ends] - total[starts]
 
 
-def _distinct(values: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of each row's distinct values, sorted, and the bounds of the rows."""
-    order = np.lexsort((values, row))
-    values, row = values[order], row[order]
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (values[1:] != values[:-1]) | (row[1:] != row[:-1])
-    return order[new], np.searchsorted(row[new], np.arange(rows + 1))
+def _sorted_keys(values: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, int]:
+    """Rows and the first bits of hashes, at least 40, in one number each, and how many bits the row has."""
+    bits = max(1, int(rows).bit_length())
+    return row.astype(np.uint64) << np.uint64(64 - bits) | values >> np.uint64(bits), bits
+
+
+def _bounds_of(keys: np.ndarray, bits: int, rows: int) -> np.ndarray:
+    return np.searchsorted(keys, np.arange(rows + 1, dtype=np.uint64) << np.uint64(64 - bits))
+
+
+class _Known:
+    """A sorted list of hashes, and bits that most other hashes miss."""
+
+    def __init__(self, known: np.ndarray):
+        self.known, self.marks = known, np.zeros(1 << 16, dtype=bool)
+        self.marks[(known & np.uint64(0xFFFF)).astype(np.int64)] = True
+
+    def places(self, values: np.ndarray) -> np.ndarray:
+        """Where ``values`` are known."""
+        at = np.flatnonzero(self.marks[(values & np.uint64(0xFFFF)).astype(np.int64)])
+        if not len(at) or not len(self.known):
+            return at[:0]
+        found = np.minimum(np.searchsorted(self.known, values[at]), len(self.known) - 1)
+        return at[self.known[found] == values[at]]
 
 
 class Features:
@@ -98,31 +115,43 @@ class Features:
         code = first | second << np.uint64(8) | _CLASS[last] << np.uint64(16) | stutter.astype(np.uint64) << np.uint64(24)
         self.shapes = (mix(code, 5) % np.uint64(SHAPES)).astype(np.int64) + BUCKETS
         plain = texts.lower().words(LETTERS_DIGITS)
-        order, self.vocabulary_bounds = _distinct(plain.hashes(), rows_of(plain.bounds), len(texts))
-        self.vocabulary = plain.hashes()[order]  # distinct words of each text
+        own, n = plain.hashes(), len(texts)
+        keys, bits = _sorted_keys(own, rows_of(plain.bounds), n)
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = keys[1:] != keys[:-1]
+        order, self.vocabulary_bounds = order[new], _bounds_of(keys[new], bits, n)
+        self.vocabulary = own[order]  # distinct words of each text
         self._stems(plain.texts, plain.starts[order], plain.ends[order])
 
     def _stems(self, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> None:
-        """Distinct stems of each text: beginnings of its distinct words that are shorter than the words."""
+        """Stems of each text's distinct words: their beginnings of some lengths, shorter than the words.
+
+        ``stems`` are a text's distinct ones, ``twice`` those of two words or more, both by their buckets.
+        """
         points = np.flatnonzero((texts.data & 0xC0) != 0x80)  # first bytes of code points
         first, row = np.searchsorted(points, starts), rows_of(self.vocabulary_bounds)
-        hashes, owners, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
+        hashes, owners, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for length in STEMS:
-            cut = points[np.minimum(first + length, len(points) - 1)] if len(points) else starts
-            longer = (first + length < len(points)) & (cut < ends)
-            hashes.append(mix(texts.hashes(starts[longer], cut[longer]), length))
+            longer = np.flatnonzero(first + length < len(points))
+            cut = points[first[longer] + length]
+            inside = cut < ends[longer]
+            longer, cut = longer[inside], cut[inside]
+            hashes.append(mix(texts.hashes(starts[longer], cut), length))
             owners.append(row[longer])
-            places.append(np.flatnonzero(longer))
-        values, row = np.concatenate(hashes), np.concatenate(owners)
-        order, self.stems_bounds = _distinct(values, row, len(texts))
-        self.stems = values[order]
-        # stems of two words of a text or more, and every word's stems
-        order = np.lexsort((values, row))
-        again = np.zeros(len(order), dtype=bool)
-        again[1:] = (values[order][1:] == values[order][:-1]) & (row[order][1:] == row[order][:-1])
-        twice, self.twice_bounds = _distinct(values[order][again], row[order][again], len(texts))
-        self.twice = mix(values[order][again][twice], 9)
-        self._word_stems, self._stem_words = values, np.concatenate([np.zeros(0, np.int64), *places])
+            places.append(longer)
+        self._word_stems, self._stem_words = np.concatenate(hashes), np.concatenate(places)
+        keys, bits = _sorted_keys(self._word_stems, np.concatenate(owners), len(texts))
+        keys.sort()
+        again = np.zeros(len(keys), dtype=bool)
+        again[1:] = keys[1:] == keys[:-1]
+        keys, twice = keys[~again], keys[again]
+        twice = twice[np.append(True, twice[1:] != twice[:-1])] if len(twice) else twice
+        self.stems_bounds, self.twice_bounds = (_bounds_of(k, bits, len(texts)) for k in (keys, twice))
+        keep = np.uint64(bits)  # the row's bits go, the hash's first ones are in front again
+        self.stems = (keys << keep) >> np.uint64(44)
+        self.twice = ((twice << keep) >> np.uint64(24)) & np.uint64(BUCKETS - 1)
 
     def junk_votes(self) -> list[np.ndarray]:
         """Seven labellers that know one sign of junk each, and two that know texts without any."""
@@ -162,18 +191,30 @@ class Features:
             votes.append(np.where((one > 0) | (two > 1), FLAWED, np.where(two > 0, NOTHING, SOUND)))
         return votes
 
+    def words_by_text(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct words and the texts that have them."""
+        return self.vocabulary, rows_of(self.vocabulary_bounds)
+
+    def stems_by_text(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct stems and the texts that have them."""
+        row = rows_of(self.vocabulary_bounds)[self._stem_words]
+        order = np.lexsort((self._word_stems, row))
+        values, row = self._word_stems[order], row[order]
+        new = np.ones(len(values), dtype=bool)
+        new[1:] = (values[1:] != values[:-1]) | (row[1:] != row[:-1])
+        return values[new], row[new]
+
     def _hit_words(self, known: np.ndarray) -> np.ndarray:
         """For each distinct word of the texts 1 if it has one of the stems."""
         words = np.zeros(len(self.vocabulary), dtype=np.int64)
-        if len(known):
-            at = np.minimum(np.searchsorted(known, self._word_stems), len(known) - 1)
-            words[self._stem_words[known[at] == self._word_stems]] = 1
+        words[self._stem_words[_Known(known).places(self._word_stems)]] = 1
         return words
 
     def _hashed(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """What the scorer knows by presence, with bounds: words, stems, and stems of several words."""
-        pairs = ((self.vocabulary, self.vocabulary_bounds), (self.stems, self.stems_bounds), (self.twice, self.twice_bounds))
-        return [((found % np.uint64(BUCKETS)).astype(np.int64), bounds) for found, bounds in pairs]
+        words = (self.vocabulary % np.uint64(BUCKETS)).astype(np.int64)
+        stems, twice = self.stems.astype(np.int64), self.twice.astype(np.int64)
+        return [(words, self.vocabulary_bounds), (stems, self.stems_bounds), (twice, self.twice_bounds)]
 
     def sparse(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Buckets, values and bounds of each text's features: words and stems by presence, shapes by share."""
@@ -290,9 +331,9 @@ def toxic_signs(docs: DataFrame, labels: DataFrame, labelled: int, words: int) -
             toxic, part = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
             for first, end, texts in chunks(batch.column(2)):
                 seen = Features(texts)
-                for is_stem, found, bounds in ((False, seen.vocabulary, seen.vocabulary_bounds), (True, seen.stems, seen.stems_bounds)):
-                    size = np.diff(bounds)
-                    arrays = [pa.array(np.full(len(found), is_stem)), pa.array(as_long(found)), *(pa.array(np.repeat(x[first:end], size)) for x in (part, toxic))]
+                for is_stem, (found, row) in enumerate((seen.words_by_text(), seen.stems_by_text())):
+                    row = row + first
+                    arrays = [pa.array(np.full(len(found), bool(is_stem))), pa.array(as_long(found)), pa.array(part[row]), pa.array(toxic[row])]
                     yield pa.RecordBatch.from_arrays(arrays, names=["stem", "sign", "third", "toxic"])
 
     parts = map_batches(chosen, run, "stem boolean, sign long, third long, toxic long")

@@ -133,10 +133,11 @@ def test_toxic_rows_of_three_held_out_halves(spark, labelled):
 def test_stems_speak_for_texts_without_a_known_word():
     ((_, _, made),) = chunks(pa.array(["abcdefgh", "réeuxpa ab", "abcd", "", None, "abcde xyz"]))
     seen = quality.Features(made)
-    assert np.diff(seen.stems_bounds).tolist() == [5, 4, 1, 0, 0, 2]
-    sets = [set(seen.stems[a:b].tolist()) for a, b in zip(seen.stems_bounds[:-1], seen.stems_bounds[1:], strict=True)]
-    assert sets[2] <= sets[5] <= sets[0]
-    common, none = np.sort(seen.stems[np.isin(seen.stems, list(sets[2]))][:1]), np.zeros(0, np.uint64)
+    assert np.diff(seen.stems_bounds).tolist() == [3, 2, 1, 0, 0, 1]
+    found, row = seen.stems_by_text()
+    sets = [set(found[row == i].tolist()) for i in range(6)]
+    assert [len(s) for s in sets] == [3, 2, 1, 0, 0, 1] and sets[2] == sets[5] < sets[0]
+    common, none = found[row == 2], np.zeros(0, np.uint64)
     sure, weak, silent = seen.stem_votes([(common, common), (none, common), (none, none)])
     f, n, s = quality.FLAWED, quality.NOTHING, quality.SOUND
     assert sure.tolist() == [f, s, f, s, s, f] and weak.tolist() == [n, s, n, s, s, n] and set(silent.tolist()) == {n}
@@ -145,7 +146,7 @@ def test_stems_speak_for_texts_without_a_known_word():
 def test_a_weak_stem_counts_from_two_words_on():
     ((_, _, made),) = chunks(pa.array(["abcx abcy", "abcx abcx", "abcx and ABCY", "xyz"]))
     seen = quality.Features(made)
-    known = np.sort(seen.stems[:1])
+    known = seen.stems_by_text()[0][:1]
     (votes,) = seen.stem_votes([(np.zeros(0, np.uint64), known)])
     assert votes.tolist() == [quality.FLAWED, quality.NOTHING, quality.FLAWED, quality.SOUND]
     assert np.diff(seen.twice_bounds).tolist() == [1, 0, 1, 0]
