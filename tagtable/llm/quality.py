@@ -32,8 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tagtable.llm.store import map_batches, saved, tidy
-from tagtable.llm.words import LETTERS_DIGITS, NOT_BLANK, Texts, as_long, chunks, mix, rows_of, sums
+from tagtable.llm.store import map_batches, relieved, saved, tidy
+from tagtable.llm.words import LETTERS_DIGITS, NOT_BLANK, Texts, as_long, chunks, grams, mix, rows_of, sums
 
 BUCKETS = 1 << 20
 SHAPES = 1 << 12
@@ -42,6 +42,7 @@ CAUTION = 1.2  # training weighs both classes alike; this favours keeping, by th
 LABELLERS = {"junk": 9, "toxic": 3}
 STEM_LABELLERS = 2
 STEMS = (3, 5, 7)  # code points of a stem
+SHINGLE = 3  # words of the shingles by which copies of labelled texts are told
 SURE, WEAK = 95, 80  # percent of a sign's rows that are toxic
 
 _ODD = np.zeros(256, dtype=bool)
@@ -315,30 +316,44 @@ class Model:
 def toxic_signs(docs: DataFrame, labels: DataFrame, labelled: int, words: int) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]:
     """Hashes of words, dealt to three lists, and of stems, from overlapping thirds of the rows, of toxic texts only.
 
-    They are looked for in a sample of labelled rows. A fourth list of words has the doubtful ones: of so many words
+    They are looked for in a sample of labelled rows, of which those with one smallest shingle, copies of a text and most
+    of its near copies, count once: else all words of one toxic text of many copies would seem to be toxic. A fourth list
+    of words has the doubtful ones: of so many words
     one may be in so few rows that are all toxic by chance. Of stems there are sure ones, and sure and weak ones together.
     """
     order = F.xxhash64("doc_id")
     half = labelled // 2
-    known = labels.where("toxic is not null and doc_id is not null").select("doc_id", "toxic")
+    known = labels.where("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     picked = [known.where(cond).orderBy(order, "doc_id").limit(half) for cond in ("toxic = 1", "toxic = 0")]
     sample = picked[0].unionByName(picked[1]).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    third = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(3))
-    chosen = docs.join(F.broadcast(sample), "doc_id").select("toxic", third.alias("third"), "text")  # at most `labelled` ids
+    chosen = docs.join(F.broadcast(sample), "doc_id").select("toxic", "text")  # at most `labelled` ids
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, texts in chunks(batch.column(1)):
+                words = texts.lower().words(NOT_BLANK)
+                hashes, least = words.hashes(), []
+                for a, b in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist(), strict=True):
+                    least.append(int(grams(hashes[a:b], min(SHINGLE, b - a)).min()) if b > a else 0)
+                arrays = [batch.column(0)[first:end], pa.array(as_long(np.array(least, dtype=np.uint64))), batch.column(1)[first:end]]
+                yield pa.RecordBatch.from_arrays(arrays, names=["toxic", "key", "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic, part = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-            for first, end, texts in chunks(batch.column(2)):
+            for first, _, texts in chunks(batch.column(2)):
                 seen = Features(texts)
                 for is_stem, (found, row) in enumerate((seen.words_by_text(), seen.stems_by_text())):
                     row = row + first
                     arrays = [pa.array(np.full(len(found), bool(is_stem))), pa.array(as_long(found)), pa.array(part[row]), pa.array(toxic[row])]
                     yield pa.RecordBatch.from_arrays(arrays, names=["stem", "sign", "third", "toxic"])
 
-    parts = map_batches(chosen, run, "stem boolean, sign long, third long, toxic long")
+    told = map_batches(chosen, tell, "toxic int, key long, text string")
+    once = told.groupBy("key").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+    once = saved(once.select("toxic", F.pmod("key", F.lit(3)).alias("third"), "text"))
+    parts = map_batches(once, run, "stem boolean, sign long, third long, toxic long")
     counted = saved(parts.groupBy("stem", "sign", "third").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")))
-    share = min(max(sample.agg(F.avg("toxic")).first()[0] or 0.0, 1e-6), 1 - 1e-6)
+    share = min(max(once.agg(F.avg("toxic")).first()[0] or 0.0, 1e-6), 1 - 1e-6)
 
     def best(rows: DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
         """The signs that most toxic rows have, and whether that is almost always so and more than chance."""
@@ -383,6 +398,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 8000, words: int = 6
     for flaw in LABELLERS:
         weights, bias = trained.get(flaw, (np.zeros(BUCKETS + SHAPES, np.float32), -30.0))
         model.scorers[flaw] = weights, bias - CAUTION
+    relieved(docs.sparkSession)
     return model
 
 
