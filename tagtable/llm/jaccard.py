@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tagtable.llm.components import components
-from tagtable.llm.store import map_batches, same, saved, scratch, tidy
+from tagtable.llm.store import map_batches, relieved, same, saved, scratch, tidy
 from tagtable.llm.words import Texts, as_long, chunks, list_of_longs, mix, rows_of, shingle_sets, sums
 
 COMMON = 8  # a shingle in more heads than this is ordered by their number, behind all rarer ones
@@ -306,6 +306,7 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     first = _with_room(near, wide, percent)
     links = verified(first.union(in_group), docs, sets, k, percent, text)
     comps = saved(components(links))
+    relieved(docs.sparkSession)
 
     # all other pairs between what is not linked yet: of groups first, which have the classes of all their members
     everyone = _members_of(sets, grouped, comps)
@@ -325,6 +326,7 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     rest = _with_room(near, wide, percent)
     more = verified(rest.join(links, ["a", "b"], "left_anti"), docs, sets, k, percent, text)
     comps = saved(components(links.union(more)))
+    relieved(docs.sparkSession)
     return _labelled(rows, sets, comps)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -74,6 +75,15 @@ def scratch(frame: DataFrame) -> Iterator[DataFrame]:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def relieved(spark: SparkSession) -> None:
+    """Give back what finished steps still hold in the driver: plans that Python names, then their broadcasts and shuffles.
+
+    Operators of many steps call it in between, as the driver collects garbage only when its heap is full.
+    """
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
