@@ -10,7 +10,7 @@ or a stem may be one of a single sample.
 For each flaw every labeller votes flawed, sound or nothing on every document. The votes are counted by
 pattern over all documents, and expectation-maximisation over the patterns, at most ``3 ** labellers``,
 estimates how often each labeller that votes is right on flawed and on sound documents. The posteriors label a bounded
-sample, on which a linear scorer over hashed words, stems and word shapes is trained; the scorer, not the labellers,
+sample, on which a linear scorer over hashed words, word shapes and, for toxic texts, stems is trained; the scorer, not the labellers,
 then decides for all documents.
 
 Bounds, all parameters of ``fit``: ``labelled`` rows of labels for the lists, ``words`` in a list, those of most toxic
@@ -32,15 +32,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tagtable.llm.store import map_batches, relieved, saved, tidy
+from tagtable.llm.store import map_batches, saved, tidy
 from tagtable.llm.words import LETTERS_DIGITS, NOT_BLANK, Texts, as_long, chunks, grams, mix, rows_of, sums
 
 BUCKETS = 1 << 20
 SHAPES = 1 << 12
+FEATURES = 2 * BUCKETS + SHAPES  # words, shapes, stems
 FLAWED, NOTHING, SOUND = 0, 1, 2
 CAUTION = 1.2  # training weighs both classes alike; this favours keeping, by the same score whatever the flaws' share
 LABELLERS = {"junk": 9, "toxic": 3}
+DOUBT = 0.01
 STEM_LABELLERS = 2
+STEM_WEIGHT = 0.5  # of a stem in the scorer, a word having 1; each word has several stems
 STEMS = (3, 5, 7)  # code points of a stem
 SHINGLE = 3  # words of the shingles by which copies of labelled texts are told
 SURE, WEAK = 95, 80  # percent of a sign's rows that are toxic
@@ -211,20 +214,20 @@ class Features:
         words[self._stem_words[_Known(known).places(self._word_stems)]] = 1
         return words
 
-    def _hashed(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """What the scorer knows by presence, with bounds: words, stems, and stems of several words."""
+    def _hashed(self) -> list[tuple[np.ndarray, np.ndarray, float]]:
+        """What the scorer knows by presence, with bounds and weight: words, stems, and stems of several words."""
         words = (self.vocabulary % np.uint64(BUCKETS)).astype(np.int64)
-        stems, twice = self.stems.astype(np.int64), self.twice.astype(np.int64)
-        return [(words, self.vocabulary_bounds), (stems, self.stems_bounds), (twice, self.twice_bounds)]
+        stems, twice = (x.astype(np.int64) + BUCKETS + SHAPES for x in (self.stems, self.twice))
+        return [(words, self.vocabulary_bounds, 1.0), (stems, self.stems_bounds, STEM_WEIGHT), (twice, self.twice_bounds, STEM_WEIGHT)]
 
     def sparse(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Buckets, values and bounds of each text's features: words and stems by presence, shapes by share."""
         n = len(self.counts)
         buckets, values, rows = [], [], []
-        for found, bounds in self._hashed():
+        for found, bounds, weight in self._hashed():
             size = np.diff(bounds)
             buckets.append(found)
-            values.append(np.repeat(1 / np.sqrt(np.maximum(size, 1)), size))
+            values.append(np.repeat(weight / np.sqrt(np.maximum(size, 1)), size))
             rows.append(np.repeat(np.arange(n), size))
         row = np.repeat(np.arange(n), self.counts)
         distinct, times = np.unique(row * SHAPES + self.shapes - BUCKETS, return_counts=True)
@@ -238,8 +241,8 @@ class Features:
 
     def scores(self, weights: np.ndarray, bias: float) -> np.ndarray:
         z = sums(weights[self.shapes], self.bounds) / np.maximum(self.counts, 1) + bias
-        for found, bounds in self._hashed():
-            z += sums(weights[found], bounds) / np.sqrt(np.maximum(np.diff(bounds), 1))
+        for found, bounds, weight in self._hashed():
+            z += weight * sums(weights[found], bounds) / np.sqrt(np.maximum(np.diff(bounds), 1))
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -276,6 +279,7 @@ def posteriors(counts: dict[int, int], labellers: int, rounds: int = 100) -> tup
         right = (bad @ flawed + good @ sound + 4) / (n @ (flawed + sound) + 5)
         finds = np.where(one_sided, np.maximum(right, 0.55), (bad @ flawed + 4) / (bad @ (flawed + sound) + 5))
         spares = np.where(one_sided, np.maximum(right, 0.55), (good @ sound + 4) / (good @ (flawed + sound) + 5))
+        finds, spares = (np.clip(x, DOUBT, 1 - DOUBT) for x in (finds, spares))
     prior = float(np.clip((p @ n + 1) / (n.sum() + 5), 0.001, 0.999))
     return dict(zip(keys, p.tolist(), strict=True)), prior, right.tolist()
 
@@ -284,7 +288,7 @@ def train(
     buckets: np.ndarray, values: np.ndarray, bounds: np.ndarray, target: np.ndarray, rounds: int = 120, penalty: float = 1e-5
 ) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic scorer for soft labels, both classes weighing the same."""
-    n, dims = len(target), BUCKETS + SHAPES
+    n, dims = len(target), FEATURES
     weights, bias, squares, bias_square = np.zeros(dims), 0.0, np.full(dims, 1e-8), 1e-8
     if not n:
         return weights, -30.0
@@ -396,9 +400,8 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 8000, words: int = 6
             sure += [(flaw, k, p) for k, p in by_pattern.items() if p >= 0.9 or p <= 0.1]
     trained = _trained(docs, _drawn(votes, sure, sample)) if sure else {}
     for flaw in LABELLERS:
-        weights, bias = trained.get(flaw, (np.zeros(BUCKETS + SHAPES, np.float32), -30.0))
+        weights, bias = trained.get(flaw, (np.zeros(FEATURES, np.float32), -30.0))
         model.scorers[flaw] = weights, bias - CAUTION
-    relieved(docs.sparkSession)
     return model
 
 
@@ -438,6 +441,9 @@ def _trained(docs: DataFrame, drawn: DataFrame) -> dict[str, tuple[np.ndarray, f
         for batch in batches:
             for first, end, texts in chunks(batch.column(3)):
                 buckets, values, bounds = Features(texts).sparse()
+                # stems tell toxic words, not how a text is made
+                junk = np.array([f == "junk" for f in batch.column(0)[first:end].to_pylist()], dtype=bool)
+                values[junk[rows_of(bounds)] & (buckets >= BUCKETS + SHAPES)] = 0
                 cut = pa.array(bounds.astype(np.int32))
                 lists = [pa.ListArray.from_arrays(cut, pa.array(x)) for x in (buckets.astype(np.int32), values.astype(np.float32))]
                 arrays = [*(batch.column(i)[first:end] for i in range(3)), *lists]

@@ -60,6 +60,7 @@ def saved(frame: DataFrame) -> DataFrame:
     path = work_folder(spark)
     with tidy(spark):
         frame.write.parquet(path)
+    relieved(spark)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -78,7 +79,7 @@ def scratch(frame: DataFrame) -> Iterator[DataFrame]:
 def relieved(spark: SparkSession) -> None:
     """Give back what finished steps still hold in the driver: plans that Python names, then their broadcasts and shuffles.
 
-    Operators of many steps call it in between, as the driver collects garbage only when its heap is full.
+    The driver by itself collects garbage only when its heap is full, which an operator of many steps fills with plans.
     """
     gc.collect()
     spark._jvm.java.lang.System.gc()

@@ -98,6 +98,7 @@ def plain_posteriors(counts, labellers, rounds=100):
                 finds[i] = spares[i] = max(right[i], 0.55)
             else:
                 finds[i], spares[i] = (bad[f] + 4) / (bad[f] + bad[s] + 5), (good[s] + 4) / (good[f] + good[s] + 5)
+            finds[i], spares[i] = (min(max(x, 0.01), 0.99) for x in (finds[i], spares[i]))
     return p, right
 
 
