@@ -277,9 +277,9 @@ def posteriors(counts: dict[int, int], labellers: int, rounds: int = 100) -> tup
         p = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
         bad, good = n * p, n * (1 - p)
         right = (bad @ flawed + good @ sound + 4) / (n @ (flawed + sound) + 5)
-        finds = np.where(one_sided, np.maximum(right, 0.55), (bad @ flawed + 4) / (bad @ (flawed + sound) + 5))
-        spares = np.where(one_sided, np.maximum(right, 0.55), (good @ sound + 4) / (good @ (flawed + sound) + 5))
-        finds, spares = (np.clip(x, DOUBT, 1 - DOUBT) for x in (finds, spares))
+        alone = np.clip(right, 0.55, 1 - DOUBT)
+        finds = np.where(one_sided, alone, (bad @ flawed + 4) / (bad @ (flawed + sound) + 5))
+        spares = np.where(one_sided, alone, (good @ sound + 4) / (good @ (flawed + sound) + 5))
     prior = float(np.clip((p @ n + 1) / (n.sum() + 5), 0.001, 0.999))
     return dict(zip(keys, p.tolist(), strict=True)), prior, right.tolist()
 

@@ -95,10 +95,9 @@ def plain_posteriors(counts, labellers, rounds=100):
             f, s = quality.FLAWED, quality.SOUND
             right[i] = (bad[f] + good[s] + 4) / (bad[f] + bad[s] + good[f] + good[s] + 5)
             if len(sides[i]) < 2:
-                finds[i] = spares[i] = max(right[i], 0.55)
+                finds[i] = spares[i] = min(max(right[i], 0.55), 0.99)
             else:
                 finds[i], spares[i] = (bad[f] + 4) / (bad[f] + bad[s] + 5), (good[s] + 4) / (good[f] + good[s] + 5)
-            finds[i], spares[i] = (min(max(x, 0.01), 0.99) for x in (finds[i], spares[i]))
     return p, right
 
 
