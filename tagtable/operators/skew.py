@@ -14,7 +14,7 @@ from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, DataType, DecimalType, DoubleType, FloatType, MapType, StructType, VariantType
+from pyspark.sql.types import ArrayType, DataType, DecimalType, DoubleType, FloatType, MapType, StringType, StructType, VariantType
 
 from tagtable.session import work_folder
 
@@ -22,6 +22,7 @@ ROWS_PER_TASK = 2_000_000
 LISTED = 10_000  # hot keys that are broadcast; more are written and joined
 LISTED_CHARS = 1_000
 SPREAD = 64
+BUCKETS = 1 << 16  # of keys by hash, in which rows are counted to tell which keys are worth spreading
 
 
 # --- tables of hot keys
@@ -32,10 +33,11 @@ class Grid:
 
     ``frame`` has ``key``, as text, and ``g``, the numbers of parts, of the left side first; it is None without hot
     keys. ``nulls`` is the number of parts of left rows without a key. ``listed`` tells that the frame is small.
+    ``heavy`` are the buckets of keys of over ``ROWS_PER_TASK`` rows, None if they are not known.
     """
 
-    def __init__(self, frame: DataFrame | None, listed: bool = True, nulls: int = 1):
-        self.frame, self.listed, self.nulls = frame, listed, max(nulls, 1)
+    def __init__(self, frame: DataFrame | None, listed: bool = True, nulls: int = 1, heavy: Sequence[int] | None = None):
+        self.frame, self.listed, self.nulls, self.heavy = frame, listed, max(nulls, 1), heavy
 
     def __bool__(self) -> bool:
         return self.frame is not None or self.nulls > 1
@@ -50,7 +52,7 @@ class Grid:
         if self.listed:
             joined = frame.join(F.broadcast(table), F.col(text) == F.col(other), "left")
         else:
-            joined = spread_join(frame, table, text, other, SPREAD)
+            joined = spread_join(frame, table.hint("merge"), text, other, heavy=self.heavy)
         return joined.drop(text, other)
 
 
@@ -115,9 +117,9 @@ def hot_keys(
     if not nulls:
         counts = counts.where(F.col("key").isNotNull())
     parts = F.ceil(F.col("count") / rows_per_task).cast("int")
-    hot, listed = _kept(counts.select("t", "key", F.array(parts).alias("g")))
+    hot, listed, heavy = _kept(counts.select("t", "key", F.array(parts).alias("g"), F.col("count").alias("rows")))
     for name in large if hot is not None else []:
-        found[name] = HotKeys(_grid(hot.where(F.col("t") == name).drop("t"), listed, nulls))
+        found[name] = HotKeys(_grid(hot.where(F.col("t") == name).drop("t"), listed, nulls, heavy))
     return found
 
 
@@ -160,30 +162,53 @@ def grid_of_counts(counts: DataFrame, sides: int, rows_per_task: int = ROWS_PER_
         f"'g', concat(a.g, array(named_struct('side', x.side, 'parts', cast(greatest(1, ceil(x.n / {share})) AS int))))), "
         "a -> transform(array_sort(a.g), s -> s.parts))"
     )
-    hot, listed = _kept(counts.where(made > rows_per_task).select("key", F.expr(cut).alias("g")))
-    return Grid(None) if hot is None else _grid(hot, listed, nulls)
+    most = F.greatest(*[F.col(f"n{j}") for j in range(sides)], F.lit(1))
+    hot, listed, heavy = _kept(counts.where(made > rows_per_task).select("key", F.expr(cut).alias("g"), most.alias("rows")))
+    return Grid(None) if hot is None else _grid(hot, listed, nulls, heavy)
 
 
-def _grid(hot: DataFrame, listed: bool, nulls: bool) -> Grid:
+def _grid(hot: DataFrame, listed: bool, nulls: bool, heavy: Sequence[int] | None) -> Grid:
     """The grid of a kept table, whose row without a key, if any, is told apart."""
     missing = hot.where(F.col("key").isNull()).first() if nulls else None
     named = hot.where(F.col("key").isNotNull()) if nulls else hot
-    return Grid(named if not missing or named.take(1) else None, listed, missing["g"][0] if missing else 1)
+    return Grid(named if not missing or named.take(1) else None, listed, missing["g"][0] if missing else 1, heavy)
 
 
-def _kept(hot: DataFrame) -> tuple[DataFrame | None, bool]:
-    """A table of hot keys, computed once: None if empty, local and ``True`` if of a checked size, else written."""
+def _kept(counted: DataFrame) -> tuple[DataFrame | None, bool, list[int] | None]:
+    """A table of hot keys without their ``rows``, computed once: None if empty, local and ``True`` if of a checked size,
+    else written; and the buckets of keys of over ``ROWS_PER_TASK`` rows."""
+    hot = counted.drop("rows")
     cut = [F.substring(c, 1, LISTED_CHARS + 1).alias(c) if c == "key" else F.col(c) for c in hot.columns]
-    rows = hot.select(*cut).limit(LISTED + 1).toArrow()
+    rows = counted.select(*cut, "rows").limit(LISTED + 1).toArrow()
     if not rows.num_rows:
-        return None, True
+        return None, True, None
     longest = max(len(k or "") for k in rows.column("key").to_pylist())
     spark = hot.sparkSession
-    if rows.num_rows <= LISTED and longest <= LISTED_CHARS:
-        return spark.createDataFrame(rows, hot.schema), True
-    path = work_folder(spark)
-    hot.write.parquet(path)
-    return spark.read.schema(hot.schema).parquet(path), False
+    listed = rows.num_rows <= LISTED and longest <= LISTED_CHARS
+    if listed:
+        kept = spark.createDataFrame(rows, counted.schema)
+    else:
+        path = work_folder(spark)
+        counted.write.parquet(path)
+        kept = spark.read.schema(counted.schema).parquet(path)
+    heavy = []
+    if not listed or max(rows.column("rows").to_pylist()) > ROWS_PER_TASK:
+        many = kept.where(F.col("key").isNotNull() & (F.col("rows") > ROWS_PER_TASK)).select(_bucket(F.col("key")).alias("b"))
+        heavy = [r["b"] for r in many.distinct().collect()]
+    return kept.drop("rows"), listed, heavy
+
+
+def _bucket(text: Column) -> Column:
+    return F.when(text.isNotNull(), F.pmod(F.xxhash64(text), F.lit(BUCKETS)).cast("int"))
+
+
+def heavy_buckets(frame: DataFrame, text: Column) -> list[int]:
+    """The buckets of keys, as text, with over ``ROWS_PER_TASK`` rows; each key of that many rows is in one of them.
+
+    A bucket is counted within tasks first, so that the shuffle is small however many keys there are.
+    """
+    counts = frame.select(_bucket(text).alias("b")).where("b IS NOT NULL").groupBy("b").count()
+    return [r["b"] for r in counts.where(F.col("count") > ROWS_PER_TASK).collect()]
 
 
 def _given(spark: SparkSession, splits: Splits | None) -> Grid:
@@ -213,7 +238,10 @@ def _combined(spark: SparkSession, splits: Sequence[Splits | None]) -> Grid:
     tables = [g.frame.select("key", F.lit(side).alias("side"), F.col("g")[0].alias("parts")) for side, g in named]
     parts = [F.coalesce(F.max(F.when(F.col("side") == i, F.col("parts"))), F.lit(1)) for i in range(len(splits))]
     frame = _union(tables).groupBy("key").agg(F.array(*parts).alias("g"))
-    return Grid(frame, all(g.listed for _, g in named), grids[0].nulls)
+    listed = all(g.listed for _, g in named)
+    known = [g.heavy for _, g in named]
+    heavy = None if None in known else sorted({b for some in known for b in some})
+    return Grid(frame, listed, grids[0].nulls, heavy)
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -327,7 +355,8 @@ def join_chain(
     cell, parts, met = (free_name(n, left, *rights) for n in ("_cell", "_parts", "_matched"))
     left = _celled(left, key, grid, 0, sides, parts, cell)
     for side, right in enumerate(rights, 1):
-        right = _celled(right, key, grid, side, sides, parts, cell).drop(parts)
+        # Spark's estimate of a size does not count the copies, so it must not choose to broadcast them
+        right = _celled(right, key, grid, side, sides, parts, cell).drop(parts).hint("merge")
         if how == "left":
             right = right.withColumn(met, F.lit(True))
         left = left.join(right, [key, cell], how)
@@ -352,17 +381,39 @@ def split_lookup(left: DataFrame, right: DataFrame, key: str, second: str, tasks
         & F.col(second).eqNullSafe(F.col(second2))
         & (F.col(own) == F.col(other))
     )
-    return left.join(right, on).drop(key2, second2, own, other)
+    return left.join(right.hint("merge"), on).drop(key2, second2, own, other)  # copies that no estimate counts
 
 
-def spread_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread: int = SPREAD) -> DataFrame:
-    """Left join to a right side of moderate size and unique keys, every key spread over ``spread`` tasks.
+def spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    spread: int = SPREAD,
+    heavy: Sequence[int] | None = None,
+) -> DataFrame:
+    """Left join to unique keys; keys with many left rows are spread over ``spread`` tasks, as left rows without a key are.
 
-    For a left side whose keys are not worth measuring: each right row is copied ``spread`` times, and left
-    rows without a key are spread as well.
+    Only right rows of such keys are copied: those in the buckets ``heavy``, which are counted here if they are not
+    given. Other keys go to one task each. Keys that are not both plain strings are all spread.
     """
-    own, other = (free_name(n, left, right) for n in ("_left_split", "_right_split"))
-    left = left.withColumn(own, F.pmod(place_of(left), F.lit(spread)).cast("int"))
-    right = right.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    own, other, mark = (free_name(n, left, right) for n in ("_left_split", "_right_split", "_heavy"))
+    plain = all(f.select(key).schema[0].dataType == StringType() for f, key in ((left, left_key), (right, right_key)))
+    many = F.lit(True)
+    if plain:
+        heavy = heavy_buckets(left, F.col(left_key)) if heavy is None else heavy
+        many = F.lit(False)
+        if heavy:
+            spark, number = left.sparkSession, free_name("_bucket", left, right)
+            marks = spark.createDataFrame(pa.table({number: pa.array(heavy, pa.int32()), mark: pa.array([True] * len(heavy))}))
+            marked = lambda f, key: f.join(F.broadcast(marks), _bucket(F.col(key)) == F.col(number), "left").drop(number)
+            left, right, many = marked(left, left_key), marked(right, right_key), F.coalesce(mark, F.lit(False))
+    dealt = many | F.col(left_key).isNull()
+    left = left.withColumn(own, F.when(dealt, F.pmod(place_of(left), F.lit(spread)).cast("int")).otherwise(0))
+    copies = F.when(many, F.lit(spread)).otherwise(1)
+    right = right.withColumn(other, F.explode(F.sequence(F.lit(0), copies - 1)))
+    if heavy or not plain:
+        right = right.hint("merge")  # no estimate counts the copies
+    left, right = left.drop(mark), right.drop(mark)
     on = (F.col(left_key) == F.col(right_key)) & (F.col(own) == F.col(other))
     return left.join(right, on, "left").drop(own, other)

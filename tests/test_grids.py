@@ -225,3 +225,54 @@ def test_first_rows_with_ties_and_clashing_names(frame, rows, monkeypatch):
     assert len(rows(got)) == 21
     assert rows(got.where("k = 'a'"), "_held") == [(f"{i:03}",) for i in range(90) if i % 3][:7]
     assert perkey.limit_by(data.limit(0), ["k"], order, 7).count() == 0
+
+
+def test_keys_of_few_rows_are_not_copied_to_be_marked(unmerged, rows):
+    left = unmerged.range(60_000).selectExpr("if(id % 9 = 0, null, concat('k', id % 20000)) AS key", "id AS a")
+    right = unmerged.range(20_000).selectExpr("concat('k', id) AS key", "id AS b")
+    grid = skew.measure_grid(left, [right], "key", 1)
+    assert not grid.listed and grid.heavy == []
+    joined = skew.join_chain(left, [right], "key", "inner", grid=grid)
+    assert joined.count() == left.join(right, "key").count()
+    table = grid.frame.withColumnRenamed("key", "known")
+    met = skew.spread_join(left, table, "key", "known", heavy=grid.heavy)
+    met.collect()
+    text = met._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in text
+    at = {r["p"] for r in met.select("key", F.spark_partition_id().alias("p")).collect() if r["key"] is None}
+    assert len(at) == 8  # rows without a key are spread all the same
+
+
+def copies_made(frame):
+    """Rows that the generators of a plan make."""
+    frame.collect()
+    plan, found = frame._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            return walk(node.plan())
+        if node.nodeName() == "Generate":
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    return found
+
+
+def test_only_heavy_keys_are_copied(unmerged, rows, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
+    data = unmerged.range(900).selectExpr("if(id < 300, 'hot', if(id < 500, null, concat('k', id))) AS code", "id AS a")
+    names = unmerged.range(1000).selectExpr("if(id = 0, 'hot', concat('k', id)) AS known", "id AS name")
+    got = skew.spread_join(data, names, "code", "known", 16)
+    assert rows(got) == rows(data.join(names, F.col("code") == F.col("known"), "left"))
+    (made,) = copies_made(got)
+    assert 1000 + 15 <= made < 1000 + 15 * 20  # the rest shares no bucket, or few do
+    at = {(r["code"], r["p"]) for r in got.select("code", F.spark_partition_id().alias("p")).collect()}
+    assert len([p for code, p in at if code == "hot"]) > 4 and len([p for code, p in at if code is None]) > 4
+    numbers = unmerged.range(50).selectExpr("cast(id % 5 AS int) AS code", "id AS a")
+    known = unmerged.createDataFrame([("01", "one"), ("2", "two")], "known string, name string")
+    assert rows(skew.spread_join(numbers, known, "code", "known", 4)) == rows(numbers.join(known, F.col("code") == F.col("known"), "left"))
