@@ -5,6 +5,7 @@ from hypothesis import given, settings, strategies as st
 
 from tagtable.functions import decode
 from tagtable.operators.joins import lookup_default
+from tagtable.session import work_folder
 from tagtable.sources import dictionary
 from tagtable.sources.dictionary import CodeBook
 
@@ -115,3 +116,22 @@ def test_large_dictionary_is_not_inlined(book, monkeypatch):
 def test_long_name_counts_as_large(frame):
     book = CodeBook(frame("code,name", [("A", "x" * 1001)]))
     assert not book.fits()
+
+
+def plain_joins(frame):
+    """Joins with the dictionary are by merge or in place; the others may be broadcast."""
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("SortMergeJoin")
+
+
+def test_large_dictionaries_are_not_broadcast(spark, rows):
+    """Files of many short codes are small, and what Spark would take for small enough to broadcast is not."""
+    path = work_folder(spark)
+    spark.range(12_000).selectExpr("concat('c', id) AS code", "concat('name ', id) AS name").write.parquet(path)
+    book = CodeBook(spark.read.parquet(path))
+    codes = spark.range(300).selectExpr("id", "concat_ws('\u0002', concat('c', id), concat('c', 2 * id)) AS codes", "concat('c', id) AS code")
+    decode.register_decoders(spark, book, book)
+    by_join = lookup_default(decode.with_code_list_names(codes, "codes", book, "names"), "code", book, "name").select("id", "names", "name")
+    by_sql = codes.selectExpr("id", "decode_codes(codes) AS names", "decode_code(code) AS name")
+    assert rows(by_join) == rows(by_sql) and by_join.where("id = 7").first()[1:] == ("name 7,name 14", "name 7")
+    for frame in (by_join, by_sql):
+        assert plain_joins(frame) >= 2
