@@ -12,7 +12,8 @@ behind them the others by that number. Two sets that link share a shingle among
 3. Groups that share a prefix shingle make a group pair, if sizes and places of the shingle leave room for a link,
    and, for groups of one, the bitmaps of the sets. A bitmap has the parity of the shingles by hash; bits in which
    two of them differ are shingles that only one set has. Few sets share a rare shingle, whatever the table's size,
-   so pairs grow with the sets.
+   so pairs grow with the sets. Near copies share dozens of prefix shingles; their pair is made at the first of these,
+   and left out at one that has another of them among the ``BEFORE`` shingles in front of it in both prefixes.
 4. Pairs are expanded to members, filtered by bitmaps and verified by the sets themselves, which are read from the
    texts again for the nodes of pairs only.
 
@@ -35,7 +36,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tagtable.llm.components import components
 from tagtable.llm.store import map_batches, same, saved, scratch, tidy
@@ -44,6 +45,7 @@ from tagtable.llm.words import Texts, as_long, chunks, list_of_longs, mix, rows_
 COMMON = 8  # a shingle in more heads than this is ordered by their number, behind all rarer ones
 BITMAP = 2048  # bits of a set's bitmap, of which a short one with an eighth of them is folded
 FOLDS = 8
+BEFORE = 8  # shingles in front of a prefix shingle by which a pair is known to have met before
 FILTER_BITS = 24
 PAIRS_AT_ONCE = 128
 SETS_AT_ONCE = 256
@@ -313,11 +315,8 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     owned = live.join(groups, F.col("id") == F.col("_leader")).drop("_leader")
     mixed = owned.groupBy(F.col("shingle").alias("s")).agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least <> most").select("s")
     open_ = owned.join(mixed, F.col("shingle") == F.col("s"), "left_semi")
-    full = saved(open_.join(short, F.col("id") == F.col("_i")).drop("_i").withColumnRenamed("b", "bits"))
-    a, b = _suffixed(full, "a"), _suffixed(full, "b")
-    apart = (F.col("loa") != F.col("hib")) | (F.col("lob") != F.col("hia"))
-    met = (F.col("shinglea") == F.col("shingleb")) & (F.col("ida") < F.col("idb")) & apart & _sizes_and_places(percent)
-    found = a.join(b, met & ((F.col("manya") > 1) | (F.col("manyb") > 1) | _bitmaps(percent)))
+    full = saved(_with_those_before(open_).join(short, F.col("id") == F.col("_i")).drop("_i").withColumnRenamed("b", "bits"))
+    found = _met(full, percent)
     smaller, larger = (lambda c, s=s: F.when((F.col("manya") <= F.col("manyb")) == F.lit(s), F.col(f"{c}a")).otherwise(F.col(f"{c}b")) for s in (True, False))
     found = found.select(smaller("id").alias("one"), larger("id").alias("two"), larger("lo").alias("lo"), larger("hi").alias("hi")).distinct()
     near = _expanded(saved(found), everyone, percent)
@@ -328,6 +327,24 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     return _labelled(rows, sets, comps)
 
 
+def _with_those_before(posted: DataFrame) -> DataFrame:
+    """``before``: up to ``BEFORE`` shingles that are posted for the same set next in front of each."""
+    ahead = Window.partitionBy("id").orderBy("place").rowsBetween(-BEFORE, -1)
+    return posted.withColumn("before", F.collect_list("shingle").over(ahead))
+
+
+def _met(posted: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups in different classes that meet at a shingle, where sizes, places and bitmaps allow a link.
+
+    A pair that links passes at each shingle that it shares, so it is enough that none is left out at the first of them.
+    """
+    a, b = _suffixed(posted, "a"), _suffixed(posted, "b")
+    apart = (F.col("loa") != F.col("hib")) | (F.col("lob") != F.col("hia"))
+    met = (F.col("shinglea") == F.col("shingleb")) & (F.col("ida") < F.col("idb")) & apart & _sizes_and_places(percent)
+    room = (F.col("manya") > 1) | (F.col("manyb") > 1) | _bitmaps(percent)
+    return a.join(b, met & room & ~F.arrays_overlap("beforea", "beforeb"))
+
+
 def _members_of(sets: DataFrame, grouped: DataFrame, comps: DataFrame) -> DataFrame:
     """``leader, id, n, comp, bits`` of all sets, those alone being their own leaders."""
     led = sets.select("id", "n", "bits").join(grouped.withColumnRenamed("id", "_member"), F.col("id") == F.col("_member"), "left")
