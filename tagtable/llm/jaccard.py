@@ -323,7 +323,8 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     near = near.union(_within_groups(everyone, percent)).distinct()
     rest = _with_room(near, wide, percent)
     more = verified(rest.join(links, ["a", "b"], "left_anti"), docs, sets, k, percent, text)
-    comps = saved(components(links.union(more)))
+    stars = comps.select(F.col("id").alias("a"), F.col("comp").alias("b"))  # what the links so far make
+    comps = saved(components(stars.union(more)))
     return _labelled(rows, sets, comps)
 
 
