@@ -19,8 +19,11 @@ behind them the others by that number. Two sets that link share a shingle among
 
 Only classes are asked for, so what is linked already is not compared again. First, one random group at each
 shingle is compared with the others there, as well as leaders with their members. What that links is united.
+In a large family of texts that are just near enough, that one group links with a part only, and the rest would make
+pairs with all of it. So as long as what a round linked, times the classes it is in, is more than the posted rows, each
+shingle's groups meet another one of them, by one of ``ORDERS`` random orders, if their classes differ, and are united again.
 Then all remaining pairs between different classes, within groups too, are made, expanded and verified. A family of near copies thus
-takes as many comparisons as it has members, and no link between different classes is lost.
+takes a few comparisons for each member, and no link between different classes is lost.
 
 Broadcast is a Bloom filter of fixed size of the rows whose sets are wanted, which only saves work. Ids and lists of
 documents never come to the driver.
@@ -45,6 +48,7 @@ from tagtable.llm.words import Texts, as_long, chunks, list_of_longs, mix, rows_
 COMMON = 8  # a shingle in more heads than this is ordered by their number, behind all rarer ones
 BITMAP = 2048  # bits of a set's bitmap, of which a short one with an eighth of them is folded
 FOLDS = 8
+ORDERS = 16  # by which groups that others are compared with are chosen, after the first round
 BEFORE = 8  # shingles in front of a prefix shingle by which a pair is known to have met before
 FILTER_BITS = 24
 PAIRS_AT_ONCE = 128
@@ -299,35 +303,67 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text")
     short, wide = (sets.select(F.col("id").alias("_i"), F.col(c).alias("b")) for c in ("bits", "wide"))
 
     # one group at each shingle with the others there, and leaders with their members
-    dice = F.struct(F.xxhash64("id"), "id", "n", "place")
-    middle = live.groupBy(F.col("shingle").alias("s")).agg(F.min(dice).alias("m"))
-    spokes = live.join(middle, F.col("shingle") == F.col("s")).where(F.col("m.id") != F.col("id"))
-    spokes = spokes.select(F.col("m.id").alias("ida"), F.col("m.n").alias("na"), F.col("m.place").alias("placea"), F.col("id").alias("idb"), F.col("n").alias("nb"), F.col("place").alias("placeb"))
     in_group = grouped.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-    near = spokes.where(_sizes_and_places(percent)).select("ida", "na", "idb", "nb").distinct()
-    first = _with_room(near, wide, percent)
+    first = _with_room(_spokes(live.withColumn("own", F.col("id")), percent), wide, percent)
     links = verified(first.union(in_group), docs, sets, k, percent, text)
     comps = saved(components(links))
+    everyone, open_ = _open(live, sets, grouped, comps)
+
+    # others there, while large families may have many members that the last one did not link with
+    turn = 0
+    while _still_apart(links, comps) > live.count():
+        turn += 1
+        links = verified(_with_room(_spokes(open_, percent, ORDERS, turn), wide, percent), docs, sets, k, percent, text)
+        comps = saved(components(_stars(comps).union(links)))
+        everyone, open_ = _open(live, sets, grouped, comps)
 
     # all other pairs between what is not linked yet: of groups first, which have the classes of all their members
-    everyone = _members_of(sets, grouped, comps)
-    groups = everyone.groupBy(F.col("leader").alias("_leader")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many"))
-    owned = live.join(groups, F.col("id") == F.col("_leader")).drop("_leader")
-    mixed = owned.groupBy(F.col("shingle").alias("s")).agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least <> most").select("s")
-    open_ = owned.join(mixed, F.col("shingle") == F.col("s"), "left_semi")
-    full = saved(_with_those_before(open_).join(short, F.col("id") == F.col("_i")).drop("_i").withColumnRenamed("b", "bits"))
+    full = saved(_with_those_before(open_.drop("own")).join(short, F.col("id") == F.col("_i")).drop("_i").withColumnRenamed("b", "bits"))
     found = _met(full, percent)
     smaller, larger = (lambda c, s=s: F.when((F.col("manya") <= F.col("manyb")) == F.lit(s), F.col(f"{c}a")).otherwise(F.col(f"{c}b")) for s in (True, False))
     found = found.select(smaller("id").alias("one"), larger("id").alias("two"), larger("lo").alias("lo"), larger("hi").alias("hi")).distinct()
     near = _expanded(saved(found), everyone, percent)
     near = near.union(_within_groups(everyone, percent)).distinct()
-    rest = _with_room(near, wide, percent)
-    more = verified(rest.join(links, ["a", "b"], "left_anti"), docs, sets, k, percent, text)
-    stars = comps.select(F.col("id").alias("a"), F.col("comp").alias("b"))  # what the links so far make
-    comps = saved(components(stars.union(more)))
+    more = verified(_with_room(near, wide, percent), docs, sets, k, percent, text)
+    comps = saved(components(_stars(comps).union(more)))
     return _labelled(rows, sets, comps)
 
 
+def _spokes(posted: DataFrame, percent: int, orders: int = 1, turn: int = 0) -> DataFrame:
+    """Pairs ``ida, na, idb, nb`` of one group at each shingle with those there of another class, ``own``, where sizes
+    and places allow a link. Each of ``orders`` random orders, new ones at each ``turn``, has its part of the shingles."""
+    dice = F.struct(F.xxhash64("id", F.pmod("shingle", F.lit(orders)), F.lit(turn)), "id", "n", "place", "own")
+    middle = posted.groupBy(F.col("shingle").alias("s")).agg(F.min(dice).alias("m"))
+    spokes = posted.join(middle, F.col("shingle") == F.col("s")).where(F.col("m.own") != F.col("own"))
+    spokes = spokes.select(F.col("m.id").alias("ida"), F.col("m.n").alias("na"), F.col("m.place").alias("placea"), F.col("id").alias("idb"), F.col("n").alias("nb"), F.col("place").alias("placeb"))
+    return spokes.where(_sizes_and_places(percent)).select("ida", "na", "idb", "nb").distinct()
+
+
+def _open(live: DataFrame, sets: DataFrame, grouped: DataFrame, comps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All sets with their classes, and the posted groups at shingles of several classes: ``lo`` and ``hi`` are the
+    least and the largest class of a group's ``many`` members, ``own`` is its leader's."""
+    everyone = _members_of(sets, grouped, comps)
+    own = F.max(F.when(F.col("id") == F.col("leader"), F.col("comp"))).alias("own")
+    groups = everyone.groupBy(F.col("leader").alias("_leader")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many"), own)
+    owned = live.join(groups, F.col("id") == F.col("_leader")).drop("_leader")
+    mixed = owned.groupBy(F.col("shingle").alias("s")).agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least <> most").select("s")
+    return everyone, owned.join(mixed, F.col("shingle") == F.col("s"), "left_semi")
+
+
+def _stars(comps: DataFrame) -> DataFrame:
+    """What the links so far make."""
+    return comps.select(F.col("id").alias("a"), F.col("comp").alias("b"))
+
+
+def _still_apart(links: DataFrame, comps: DataFrame) -> int:
+    """How many pairs members of families would make that as many members don't belong to yet as were linked last."""
+    last = links.join(comps, F.col("a") == F.col("id")).groupBy("comp").agg(F.count("*").alias("found"))
+    sizes = comps.groupBy(F.col("comp").alias("_comp")).agg(F.count("*").alias("size"))
+    pairs = last.join(sizes, F.col("comp") == F.col("_comp")).agg(F.sum(F.col("found") * F.col("size")).alias("pairs"))
+    with tidy(links.sparkSession):
+        return pairs.first()["pairs"] or 0
+
+
 def _with_those_before(posted: DataFrame) -> DataFrame:
     """``before``: up to ``BEFORE`` shingles that are posted for the same set next in front of each."""
     ahead = Window.partitionBy("id").orderBy("place").rowsBetween(-BEFORE, -1)
