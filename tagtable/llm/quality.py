@@ -24,7 +24,7 @@ result; other columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tagtable.llm.store import map_batches, saved, tidy
-from tagtable.llm.words import LETTERS_DIGITS, NOT_BLANK, Texts, as_long, chunks, grams, mix, rows_of, sums
+from tagtable.llm.words import LETTERS_DIGITS, NOT_BLANK, Texts, as_long, chunks, grams, mix, rows_of, sums, sums_from
 
 BUCKETS = 1 << 20
 SHAPES = 1 << 12
@@ -47,6 +47,8 @@ STEM_WEIGHT = 0.5  # of a stem in the scorer, a word having 1; each word has sev
 STEMS = (3, 5, 7)  # code points of a stem
 SHINGLE = 3  # words of the shingles by which copies of labelled texts are told
 SURE, WEAK = 95, 80  # percent of a sign's rows that are toxic
+SCORED_BYTES = 1 << 20  # of texts over which the scorer's running totals go on
+TRAINED_AT_ONCE = 1 << 18  # features of texts
 
 _ODD = np.zeros(256, dtype=bool)
 _ODD[[*b"!#$%&*+/<=>@[]\\^_`{|}~"]] = True
@@ -239,10 +241,14 @@ class Features:
         bounds = np.searchsorted(row[order], np.arange(n + 1))
         return np.concatenate(buckets)[order], np.concatenate(values)[order], bounds
 
-    def scores(self, weights: np.ndarray, bias: float) -> np.ndarray:
-        z = sums(weights[self.shapes], self.bounds) / np.maximum(self.counts, 1) + bias
-        for found, bounds, weight in self._hashed():
-            z += weight * sums(weights[found], bounds) / np.sqrt(np.maximum(np.diff(bounds), 1))
+    def scores(self, weights: np.ndarray, bias: float, carried: list[float] | None = None) -> np.ndarray:
+        """Of each text; ``carried`` has the running totals of the texts before and gets those after these."""
+        carried = [0.0] * 4 if carried is None else carried
+        of_shapes, carried[0] = sums_from(weights[self.shapes], self.bounds, carried[0])
+        z = of_shapes / np.maximum(self.counts, 1) + bias
+        for i, (found, bounds, weight) in enumerate(self._hashed(), 1):
+            of_found, carried[i] = sums_from(weights[found], bounds, carried[i])
+            z += weight * of_found / np.sqrt(np.maximum(np.diff(bounds), 1))
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -287,24 +293,63 @@ def posteriors(counts: dict[int, int], labellers: int, rounds: int = 100) -> tup
 def train(
     buckets: np.ndarray, values: np.ndarray, bounds: np.ndarray, target: np.ndarray, rounds: int = 120, penalty: float = 1e-5
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic scorer for soft labels, both classes weighing the same."""
-    n, dims = len(target), FEATURES
-    weights, bias, squares, bias_square = np.zeros(dims), 0.0, np.full(dims, 1e-8), 1e-8
+    """Weights and bias of a logistic scorer for soft labels, both classes weighing the same.
+
+    Only features that occur have a place while it learns, and a round goes through some texts at a time.
+    """
+    n = len(target)
     if not n:
-        return weights, -30.0
-    heavy = np.where(target > 0.5, 0.5 / max(1, (target > 0.5).sum()), 0.5 / max(1, (target <= 0.5).sum()))
+        return np.zeros(FEATURES), -30.0
     size = np.diff(bounds)
+    ends = np.unique(np.searchsorted(bounds, np.arange(TRAINED_AT_ONCE, bounds[-1] + TRAINED_AT_ONCE, TRAINED_AT_ONCE), side="right") - 1)
+    cuts = np.unique([0, *ends.tolist(), n]).tolist()
+    parts = [(a, b, int(bounds[a]), int(bounds[b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    occurs = np.zeros(FEATURES, dtype=bool)
+    for _, _, first, end in parts:
+        occurs[buckets[first:end]] = True
+    dims, place = int(occurs.sum()), np.cumsum(occurs, dtype=np.int32) - np.int32(1)
+    own = np.empty(len(buckets), dtype=np.int32)
+    for _, _, first, end in parts:
+        own[first:end] = place[buckets[first:end]]
+    del place
+    weights, bias, squares, bias_square = np.zeros(dims), 0.0, np.full(dims, 1e-8), 1e-8
+    heavy = np.where(target > 0.5, 0.5 / max(1, (target > 0.5).sum()), 0.5 / max(1, (target <= 0.5).sum()))
     for _ in range(rounds):
-        z = sums(weights[buckets] * values, bounds) + bias
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) * heavy
-        slope = np.bincount(buckets, np.repeat(error, size) * values, minlength=dims)
+        z, carried = np.empty(n), 0.0
+        for a, b, first, end in parts:
+            z[a:b], carried = sums_from(weights[own[first:end]] * values[first:end], bounds[a : b + 1] - first, carried)
+        error = (1 / (1 + np.exp(-np.clip(z + bias, -30, 30))) - target) * heavy
+        slope = np.zeros(dims)
+        for a, b, first, end in parts:
+            np.add.at(slope, own[first:end].astype(np.intp), np.repeat(error[a:b], size[a:b]) * values[first:end])
         slope += penalty * weights
         squares += slope**2
         weights -= 0.5 * slope / np.sqrt(squares)
         bias_slope = error.sum()
         bias_square += bias_slope**2
         bias -= 0.5 * bias_slope / np.sqrt(bias_square)
-    return weights, bias
+    out = np.zeros(FEATURES)
+    out[occurs] = weights
+    return out, bias
+
+
+def _in_order(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets, values, bounds and targets of described texts by their keys; batches are copied one at a time."""
+    order = np.argsort(rows.column("key").to_numpy(), kind="stable")
+    sizes = np.concatenate([np.zeros(0, np.int64), *(b.column("buckets").value_lengths().to_numpy() for b in rows.to_batches())])
+    bounds = np.zeros(len(sizes) + 1, dtype=np.int64)
+    np.cumsum(sizes[order], out=bounds[1:])
+    starts = np.empty(len(sizes), dtype=np.int64)
+    starts[order] = bounds[:-1]
+    buckets, values = np.empty(bounds[-1], dtype=np.int32), np.empty(bounds[-1], dtype=np.float32)
+    first = 0
+    for batch in rows.to_batches():
+        end = first + len(batch)
+        size = sizes[first:end]
+        to = np.repeat(starts[first:end] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        buckets[to], values[to] = (batch.column(c).flatten().to_numpy() for c in ("buckets", "values"))
+        first = end
+    return buckets, values, bounds, rows.column("target").to_numpy()[order]
 
 
 @dataclass
@@ -450,11 +495,7 @@ def _trained(docs: DataFrame, drawn: DataFrame) -> dict[str, tuple[np.ndarray, f
                 yield pa.RecordBatch.from_arrays(arrays, names=["flaw", "key", "target", "buckets", "values"])
 
     def learn(rows: pa.Table) -> pa.Table:
-        rows = rows.take(pa.array(np.argsort(rows.column("key").to_numpy(), kind="stable")))
-        buckets, values = (rows.column(c).combine_chunks() for c in ("buckets", "values"))
-        lengths = buckets.value_lengths().to_numpy()
-        bounds = np.concatenate([[0], np.cumsum(lengths)])
-        weights, bias = train(buckets.flatten().to_numpy(), values.flatten().to_numpy(), bounds, rows.column("target").to_numpy())
+        weights, bias = train(*_in_order(rows))
         columns = {"flaw": rows.column("flaw")[:1], "weights": pa.array([weights.astype("<f4").tobytes()], pa.binary()), "bias": pa.array([float(bias)])}
         return pa.table(columns)
 
@@ -468,16 +509,26 @@ def _trained(docs: DataFrame, drawn: DataFrame) -> dict[str, tuple[np.ndarray, f
     return {r["flaw"]: (np.frombuffer(r["weights"], dtype="<f4"), r["bias"]) for r in found}
 
 
+def _scored(
+    column: pa.Array, scorers: Sequence[tuple[np.ndarray, float]]
+) -> Iterator[tuple[int, int, np.ndarray, list[np.ndarray]]]:
+    """First row, end row, words of each text and its scores, for consecutive parts of a column of texts."""
+    for begin, over, _ in chunks(column, SCORED_BYTES):
+        carried = [[0.0] * 4 for _ in scorers]
+        for first, end, texts in chunks(column[begin:over]):
+            seen = Features(texts)
+            scores = [seen.scores(w, b, c) for (w, b), c in zip(scorers, carried, strict=True)]
+            yield begin + first, begin + end, seen.counts, scores
+
+
 def classify(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id`` with ``junk`` and ``toxic``, scores from 0 to 1, and ``keep``: neither is above a half."""
     shared = docs.sparkSession.sparkContext.broadcast((model.scorers["junk"], model.scorers["toxic"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, texts in chunks(batch.column(1)):
-                seen = Features(texts)
-                junk, toxic = (seen.scores(w, b) for w, b in shared.value)
-                junk = np.where(seen.counts == 0, 1.0, junk)
+            for first, end, counts, (junk, toxic) in _scored(batch.column(1), shared.value):
+                junk = np.where(counts == 0, 1.0, junk)
                 arrays = [batch.column(0)[first:end], pa.array(junk), pa.array(toxic), pa.array((junk <= 0.5) & (toxic <= 0.5))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "junk", "toxic", "keep"])
 
@@ -493,10 +544,8 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [np.zeros(0, dtype=bool)]
-            for _, _, texts in chunks(batch.column(at)):
-                seen = Features(texts)
-                junk, toxic = (seen.scores(w, b) for w, b in shared.value)
-                keep.append((seen.counts > 0) & (junk <= 0.5) & (toxic <= 0.5))
+            for _, _, counts, (junk, toxic) in _scored(batch.column(at), shared.value):
+                keep.append((counts > 0) & (junk <= 0.5) & (toxic <= 0.5))
             yield batch.filter(pa.array(np.concatenate(keep)))
 
     return map_batches(docs, run, docs.schema)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20  # texts are worked on in chunks of about this size, which bounds memory
+CHUNK_BYTES = 1 << 18  # texts are worked on in chunks of about this size, which bounds what a worker holds and keeps
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -161,9 +161,18 @@ def distinct_sorted(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of ragged rows; 0 for an empty row. Unsigned numbers wrap around."""
-    total = np.zeros(len(values) + 1, dtype=values.dtype)
-    np.cumsum(values, out=total[1:])
-    return total[bounds[1:]] - total[bounds[:-1]]
+    return sums_from(values, bounds, 0)[0]
+
+
+def sums_from(values: np.ndarray, bounds: np.ndarray, carried: float) -> tuple[np.ndarray, float]:
+    """``sums`` with a running total that begins at ``carried``, and where it ends.
+
+    Rows summed part by part, each from the end of the one before, round as they would all at once.
+    """
+    total = np.empty(len(values) + 1, dtype=values.dtype)
+    total[0], total[1:] = carried, values
+    np.cumsum(total, out=total)
+    return total[bounds[1:]] - total[bounds[:-1]], total[-1]
 
 
 def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Texts]]:
