@@ -90,7 +90,7 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
             .groupBy("source")
             .agg(F.min(F.struct("bucket", (F.col("left") - F.col("upto") + F.col("words")).alias("left"))).alias("first"))
         )
-        at = over.select("source", "first.bucket", "first.left")
+        at = saved(over.select("source", "first.bucket", "first.left"))  # read twice a level: else plans double
     return at.select("source", F.col("bucket").alias("threshold"))
 
 
