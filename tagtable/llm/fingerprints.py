@@ -7,7 +7,8 @@ a chunk at once.
 
 Search: 128 bits make 8 blocks. Fingerprints that differ in ``radius`` <= 6 bits agree in 2 blocks at least, so
 each pair of blocks is one table keyed by those blocks; a pair of fingerprints is found in the table of its
-first two equal blocks only, and its distance is counted. Equal fingerprints are looked up once.
+first two equal blocks only, and its distance is counted. Equal fingerprints are looked up once. The tables are
+joined by shuffle, never broadcast, and keys with very many pairs are cut into cells (``operators.skew``).
 
 Defined cases: a missing text is an empty one, whose fingerprint is 0; repeated rows get a fingerprint each;
 texts of any length are read whole; an empty table gives an empty result; other columns are not looked at.
@@ -25,8 +26,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tagtable.llm.store import map_batches, same, saved
+from tagtable.llm.store import map_batches, same, saved, tidy
 from tagtable.llm.words import NOT_BLANK, Texts, chunks, grams, mix, rows_of
+from tagtable.operators.skew import BUCKETS, ROWS_PER_TASK, Grid, grid_of_counts, join_chain
 
 BITS = 128
 BLOCKS = 8
@@ -127,22 +129,42 @@ def block_tables(prints: DataFrame) -> DataFrame:
     return prints.withColumn("t", F.explode(F.array(*rows))).select(*prints.columns, "t.key", "t.low", "t.want")
 
 
-def search(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+def search(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``q1, q2, f1, f2, distance``: for each fingerprint of ``queries`` all those of ``prints`` within ``radius``."""
     if radius > RADIUS:
         raise ValueError(f"tables of two blocks find distances up to {RADIUS}")
     asked = block_tables(queries.select("f1", "f2").distinct())
-    asked = asked.select(F.col("f1").alias("q1"), F.col("f2").alias("q2"), F.col("key").alias("qkey"))
-    known = block_tables(prints.select("f1", "f2").distinct())
+    asked = asked.select(F.col("f1").alias("q1"), F.col("f2").alias("q2"), "key", "low", "want")
+    known = block_tables(prints.select("f1", "f2").distinct()).select("f1", "f2", "key")
     q, f = (F.col("q1"), F.col("q2")), (F.col("f1"), F.col("f2"))
     x = (q[0].bitwiseXOR(f[0]), q[1].bitwiseXOR(f[1]))
     equal = sum(F.when(_block(x, b) == 0, 1 << b).otherwise(0) for b in range(BLOCKS))
     first = equal.bitwiseAND(F.col("low")) == F.col("want")
     near = distance(q, f) <= radius
-    pairs = asked.join(known, (F.col("qkey") == F.col("key")) & near & first)
+    grid = crowded(known, asked, rows_per_task)
+    # Spark's estimate of a size does not count the 28 tables, so it must not choose to broadcast either side
+    pairs = join_chain(known.hint("merge"), [asked.hint("merge")], "key", "inner", grid=grid).where(near & first)
     return pairs.select("q1", "q2", "f1", "f2", distance(q, f).alias("distance"))
 
 
+def crowded(known: DataFrame, asked: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Grid:
+    """The keys of block tables with over ``rows_per_task`` pairs, cut so that a task makes no more of them.
+
+    Rows are counted by hash bucket first, a small shuffle, and by key only in buckets with that many pairs.
+    """
+    sides = [frame.select("key", *[F.lit(int(i == j)).cast("long").alias(f"n{j}") for j in range(2)]) for i, frame in enumerate((known, asked))]
+    rows = sides[0].unionAll(sides[1]).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
+    sums = [F.sum(f"n{j}").alias(f"n{j}") for j in range(2)]
+    with tidy(known.sparkSession):
+        counts = rows.groupBy("bucket").agg(*sums)
+        full = [r["bucket"] for r in counts.where(F.col("n0").cast("double") * F.col("n1") > rows_per_task).select("bucket").collect()]
+        if not full:
+            return Grid(None)
+        buckets = known.sparkSession.createDataFrame(pa.table({"full": pa.array(full, pa.int32())}))
+        counts = rows.join(F.broadcast(buckets), F.col("bucket") == F.col("full")).groupBy("key").agg(*sums)
+        return grid_of_counts(counts.withColumn("key", F.col("key").cast("string")), 2, rows_per_task)
+
+
 def compared_with_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of each row's text, of its edited text and of the next row's text, by descending ``doc_id``.
 
@@ -176,8 +198,8 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
     rows = saved(map_batches(dealt.sortWithinPartitions(*by), walk, ends))
     done = rows.where(F.col("tail").isNull()).drop("part", "head", "tail")
     # a row or two for each partition; only the partitions' numbers are put in order
-    heads = rows.where(F.col("head").isNotNull()).select(F.col("part").alias("following"), F.col("head").alias("next"))
-    tails = rows.where(F.col("tail").isNotNull()).select("part", "doc_id", "tail")
+    heads = rows.where(F.col("head").isNotNull()).select(F.col("part").alias("following"), F.col("head").alias("next")).hint("merge")
+    tails = rows.where(F.col("tail").isNotNull()).select("part", "doc_id", "tail").hint("merge")
     ring = Window.orderBy("own")
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     after = F.coalesce(F.lead("own").over(ring), F.first("own").over(whole)).alias("after")
@@ -223,9 +245,9 @@ def searched(prints: DataFrame, asked: Column, radius: int = RADIUS) -> DataFram
     counts = prints.groupBy("f1", "f2").agg(F.count("*").alias("n"))
     found = search(prints.where(asked), prints, radius)
     f = counts.select(F.col("f1").alias("c1"), F.col("f2").alias("c2"), "n")
-    near = found.join(f, (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")))
+    near = found.join(f.hint("merge"), (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")))
     near = near.groupBy("q1", "q2").agg(F.sum("n").alias("n_all"))
     on = same(F.col("f1"), F.col("q1")) & same(F.col("f2"), F.col("q2"))
-    told = prints.where(asked).join(near, on).withColumn("n_within", F.col("n_all") - 1)
+    told = prints.where(asked).join(near.hint("merge"), on).withColumn("n_within", F.col("n_all") - 1)
     rest = prints.where(~F.coalesce(asked, F.lit(False))).withColumn("n_within", F.lit(None).cast("long"))
     return told.select(*rest.columns).unionByName(rest)
