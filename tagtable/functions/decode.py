@@ -7,16 +7,21 @@ the end of this module (or of ``operators.joins``) do the same work.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tagtable.operators.skew import free_name, spread_join
+from tagtable.session import drop_folder, shuffles_dropped, work_folder
 from tagtable.sources.dictionary import CodeBook
 from tagtable.specs import CODE_SEPARATOR
 
 INLINE_CODES = 50  # a map literal is searched from the front for every code
+SLICE_CODES = 5_000_000  # codes of a table from which large dictionaries name it in slices
+SLICES = 6
 
 
 def sql_text(value: str) -> str:
@@ -127,8 +132,44 @@ def with_names(
     """Add names of several coded columns, each given as ``(column, dictionary, whether it is a list, name)``.
 
     The dictionaries are joined once, however many columns there are. Where a column has a name of the added ones, it
-    is replaced.
+    is replaced. Large dictionaries name many codes in slices of the rows, one after another, whose shuffle files are gone
+    when the next begins; the rows with their names are then written and read.
     """
+    if not all(book.fits() for _, book, *_ in coded) and not re.search(r"\b(void|interval)\b|struct<>", frame.schema.simpleString()):
+        slices = min(SLICES, _codes(frame, coded) // SLICE_CODES + 1)
+        if slices > 1:
+            return _named_in_slices(frame, coded, on_unknown, slices)
+    return _named(frame, coded, on_unknown)
+
+
+def _codes(frame: DataFrame, coded: Sequence[tuple[str, CodeBook, bool, str]]) -> int:
+    """How many codes the coded columns have, those of a list counted by its separators."""
+    columns = [(F.col(f"`{column}`").cast("string"), is_list) for column, _, is_list, _ in coded]
+    counts = [F.length(c) - F.length(F.translate(c, CODE_SEPARATOR, "")) + 1 if is_list else F.when(c.isNotNull(), 1) for c, is_list in columns]
+    return frame.agg(F.sum(sum(F.coalesce(n, F.lit(0)).cast("long") for n in counts))).first()[0] or 0
+
+
+def _named_in_slices(frame: DataFrame, coded: Sequence[tuple[str, CodeBook, bool, str]], on_unknown: str, slices: int) -> DataFrame:
+    """``_named`` of the rows by hash of their codes, a slice at a time; equal codes are in one slice."""
+    spark, path = frame.sparkSession, work_folder(frame.sparkSession)
+    place = F.pmod(F.xxhash64(*[F.col(f"`{column}`") for column, *_ in coded]), F.lit(slices)).cast("int")
+    plain = lambda schema: StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)])
+    kept = plain(frame.schema)
+    with shuffles_dropped(spark):
+        rows = frame.select("*", place).toDF(*kept.names, "slice")
+        rows.write.partitionBy("slice").parquet(f"{path}/rows", compression="zstd")
+        for i in range(slices):
+            rows = spark.read.schema(StructType([*kept.fields, StructField("slice", IntegerType())])).parquet(f"{path}/rows")
+            rows = rows.where(F.col("slice") == i).drop("slice").toDF(*frame.columns)
+            named = _named(rows, coded, on_unknown)
+            named.toDF(*plain(named.schema).names).write.parquet(f"{path}/named/{i}", compression="zstd")
+            drop_folder(spark, f"{path}/rows/slice={i}")
+    written = spark.read.schema(plain(named.schema)).parquet(*[f"{path}/named/{i}" for i in range(slices)])
+    return written.toDF(*named.columns)
+
+
+def _named(frame: DataFrame, coded: Sequence[tuple[str, CodeBook, bool, str]], on_unknown: str) -> DataFrame:
+    """The frame with its names, as a plan of joins."""
     keys = [free_name(f"_key{i}", frame) for i in range(len(coded))]
     keyed = frame.withColumns({key: code_key(coded, i, F.col(f"`{coded[i][0]}`")) for i, key in enumerate(keys)})
     names = code_names(frame, coded, on_unknown)
