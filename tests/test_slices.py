@@ -50,3 +50,12 @@ def test_frames_that_can_not_be_written_stay_in_one_plan(spark, frame, sliced):
     codes = spark.range(40).selectExpr("id", "'A' AS codes", "NULL AS nothing")
     got = decode.with_code_list_names(codes, "codes", book_of(frame), "names")
     assert {r.names for r in got.collect()} == {"nameA"} and got.count() == 40
+
+
+@pytest.mark.parametrize("on_unknown", ["truncate", "skip"])
+def test_sql_function_joins_its_groups_once(spark, frame, sliced, on_unknown):
+    """The groups of lists are joined to the rows, not to the distinct lists before."""
+    decode.register_decoders(spark, book_of(frame), book_of(frame), on_unknown)
+    got = frame("id string, codes string", [(str(i), c) for i, c in enumerate(CASES)] * 2).selectExpr("id", "decode_codes(codes) AS n")
+    assert sorted((r.id, r.n) for r in got.collect()) == sorted([(str(i), model(c, on_unknown)) for i, c in enumerate(CASES)] * 2)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
